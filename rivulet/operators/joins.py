@@ -44,9 +44,11 @@ def natural_join(sides: list[DataFrame], out_fields: list[str],
     joined = reduce(step, sides)
     if strict:
         n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        joined = joined.where(
-            F.when(n > 1, F.raise_error(F.lit("duplicate input for a join key")))
-            .otherwise(F.lit(True)))
+        joined = (joined.withColumn("_matches", n)
+                  .where(F.when(F.col("_matches") > 1,
+                                F.raise_error(F.lit("duplicate input for a join key")))
+                         .otherwise(F.lit(True)))
+                  .drop("_matches"))
     return joined.select(*out_fields)
 
 

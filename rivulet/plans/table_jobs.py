@@ -1 +1,388 @@
-"""placeholder"""
+"""Queries over the TPC-H-like tables and ``events``: scans, parsers, joins,
+keyed aggregates, rankings and reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rivulet.functions import records as RC
+from rivulet.functions import text as TX
+from rivulet.operators import aggregates as AG
+from rivulet.operators import joins as JN
+from rivulet.operators import topk as TK
+from rivulet.operators.reach import reach as reach_op
+from rivulet.plans.derived import listings, stock_lines
+from rivulet.plans.registry import register
+from rivulet.sinks.reports import count_report as count_report_op
+from rivulet.sinks.reports import topn_report as topn_report_op
+from rivulet.session import scratch_path, table
+from rivulet.sources import files as FS
+
+# ---------------------------------------------------------------- sources
+
+_CSV_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+             "l_returnflag", "l_linestatus"]
+
+
+def _write_lineitem_csv(spark, sf_dir, header):
+    path = scratch_path(spark, "csv_scan")
+    (table(spark, sf_dir, "lineitem").select(*_CSV_COLS)
+     .write.option("sep", ";").option("header", str(header).lower()).csv(path))
+    return path
+
+
+@register("csv_scan", """
+SELECT CAST(l_orderkey AS VARCHAR) AS field_0, CAST(l_partkey AS VARCHAR) AS field_1,
+       CAST(l_suppkey AS VARCHAR) AS field_2, CAST(l_linenumber AS VARCHAR) AS field_3,
+       l_returnflag AS field_4, l_linestatus AS field_5
+FROM lineitem""")
+def csv_scan(spark, sf_dir):
+    """lineitem written as ';'-separated text without header, scanned back."""
+    return FS.csv_scan(spark, _write_lineitem_csv(spark, sf_dir, False), sep=";")
+
+
+@register("csv_scan_header", """
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
+       CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+       l_returnflag, l_linestatus
+FROM lineitem""")
+def csv_scan_header(spark, sf_dir):
+    """Same file with a header row: names come from it, the row is skipped."""
+    return FS.csv_scan(spark, _write_lineitem_csv(spark, sf_dir, True), sep=";", header=True)
+
+
+@register("lookup_last_wins", """
+SELECT CAST(o_custkey AS VARCHAR) AS key, arg_max(o_orderpriority, o_orderkey) AS value
+FROM orders GROUP BY o_custkey""")
+def lookup_last_wins(spark, sf_dir):
+    """orders as a tab-separated lookup file (custkey -> priority, in
+    orderkey order); loading it keeps the last line of each key."""
+    path = scratch_path(spark, "lookup")
+    (table(spark, sf_dir, "orders").orderBy("o_orderkey")
+     .select(F.concat_ws("\t", F.col("o_custkey").cast("string"), "o_orderpriority"))
+     .write.text(path))
+    return FS.load_lookup(spark, path)
+
+
+# ---------------------------------------------------------------- stock lines
+
+@register("stock_extract", """
+SELECT l_returnflag AS exchange, CAST(l_suppkey AS VARCHAR) AS symbol,
+       l_extendedprice * l_quantity AS market_cap
+FROM lineitem""")
+def stock_extract(spark, sf_dir):
+    return RC.parse_stock_line(stock_lines(spark, sf_dir))
+
+
+WATCH_LIST = ["A:1", "N:2", "R:3"]
+
+
+@register("stock_watchlist", """
+SELECT l_returnflag || ':' || CAST(l_suppkey AS VARCHAR) AS symbol,
+       strftime(l_shipdate, '%Y-%m-%d') AS date, l_extendedprice AS high, l_tax AS low
+FROM lineitem
+WHERE l_returnflag || ':' || CAST(l_suppkey AS VARCHAR) IN ('A:1', 'N:2', 'R:3')""")
+def stock_watchlist(spark, sf_dir):
+    return RC.stock_watch(stock_lines(spark, sf_dir), WATCH_LIST)
+
+
+@register("max_by_symbol", """
+SELECT l_returnflag AS exchange, CAST(l_suppkey AS VARCHAR) AS symbol,
+       max(l_extendedprice * l_quantity) AS market_cap
+FROM lineitem GROUP BY l_returnflag, l_suppkey""")
+def max_by_symbol(spark, sf_dir):
+    parsed = RC.parse_stock_line(stock_lines(spark, sf_dir))
+    return AG.max_by_key(parsed, ["exchange", "symbol"], "market_cap", "market_cap")
+
+
+# ---------------------------------------------------------------- listings
+
+_LISTINGS_SQL = r"""
+  SELECT p_brand AS city, CAST(p_partkey AS VARCHAR) AS link,
+         p_name || ' $' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || ' '
+           || CAST(p_size AS VARCHAR) || ' sqft' AS title
+  FROM part"""
+
+_PRICED_SQL = rf"""
+  SELECT city, link, title,
+         TRY_CAST(regexp_extract(title, '\$[\s]*([\d]+)', 1) AS INTEGER) AS price
+  FROM ({_LISTINGS_SQL})"""
+
+_LOWEST5_SQL = f"""
+  SELECT city, link, title, price, rank FROM (
+    SELECT city, link, title, price,
+           row_number() OVER (PARTITION BY city ORDER BY price, link) AS rank
+    FROM (SELECT city, link, min(price) AS price, arg_min(title, price) AS title
+          FROM ({_PRICED_SQL}) WHERE price IS NOT NULL GROUP BY city, link))
+  WHERE rank <= 5"""
+
+
+def _priced(spark, sf_dir):
+    ls = listings(spark, sf_dir)
+    return (ls.withColumn("price", TX.regex_number("title", TX.PRICE_PATTERN))
+            .where(F.col("price").isNotNull()))
+
+
+def _lowest5(spark, sf_dir):
+    return TK.lowest_n_per_group(_priced(spark, sf_dir), "city", "link", "price", 5,
+                                 carry=["title"])
+
+
+@register("regex_number", f"SELECT city, link, price FROM ({_PRICED_SQL}) WHERE price IS NOT NULL")
+def regex_number(spark, sf_dir):
+    return _priced(spark, sf_dir).select("city", "link", "price")
+
+
+@register("lowest_n_per_group", f"SELECT city, link, title, price, rank FROM ({_LOWEST5_SQL})")
+def lowest_n_per_group(spark, sf_dir):
+    return _lowest5(spark, sf_dir).select("city", "link", "title", "price", "rank")
+
+
+@register("lowest_n_sqft_per_group", rf"""
+SELECT city, link, sqft, rank FROM (
+  SELECT city, link, sqft, row_number() OVER (PARTITION BY city ORDER BY sqft, link) AS rank
+  FROM (SELECT city, link, min(sqft) AS sqft FROM (
+          SELECT city, link,
+                 TRY_CAST(regexp_extract(title, '([\d]+)[\s]*sqft', 1) AS INTEGER) AS sqft
+          FROM ({_LISTINGS_SQL})) WHERE sqft IS NOT NULL GROUP BY city, link))
+WHERE rank <= 10""")
+def lowest_n_sqft_per_group(spark, sf_dir):
+    ls = listings(spark, sf_dir).withColumn("sqft", TX.regex_number("title", TX.SQFT_PATTERN))
+    return TK.lowest_n_per_group(ls.where(F.col("sqft").isNotNull()), "city", "link",
+                                 "sqft", 10).select("city", "link", "sqft", "rank")
+
+
+@register("lowest_n_overall", f"""
+SELECT city, link, title, price, row_number() OVER (ORDER BY price, link) AS rank
+FROM ({_LOWEST5_SQL}) ORDER BY price, link LIMIT 5""")
+def lowest_n_overall(spark, sf_dir):
+    """Two-level ranking: the overall list is fed only by per-city winners."""
+    winners = _lowest5(spark, sf_dir).drop("rank")
+    return TK.top_n(winners, 5, ["price", "link"]).select(
+        "city", "link", "title", "price", "rank")
+
+
+@register("topn_report", f"""
+SELECT city, rank,
+       printf('[%s], %s: [%d]  with title [%s] and link [%s].',
+              city, 'Top5PriceByCity', price, title, link) AS line
+FROM ({_LOWEST5_SQL})""")
+def topn_report(spark, sf_dir):
+    return topn_report_op(_lowest5(spark, sf_dir), "Top5PriceByCity")
+
+
+# ---------------------------------------------------------------- dimension counts
+
+_ORDER_COUNTS_SQL = """
+  SELECT c_custkey, c_name, CAST(count(o_orderkey) AS BIGINT) AS count
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+  GROUP BY c_custkey, c_name"""
+
+
+def _order_counts(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = table(spark, sf_dir, "orders").select("o_custkey")
+    return AG.zero_filled_counts(cust, orders, "c_custkey", "o_custkey")
+
+
+@register("zero_filled_counts", _ORDER_COUNTS_SQL)
+def zero_filled_counts(spark, sf_dir):
+    """Every customer with its number of orders, 0 when it has none."""
+    return _order_counts(spark, sf_dir).select("c_custkey", "c_name", "count")
+
+
+@register("count_report", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS key,
+       printf('[%3d] people said "[%s]" (Hello!) in [%s].', count, c_name,
+              CAST(c_custkey AS VARCHAR)) AS line
+FROM ({_ORDER_COUNTS_SQL})""")
+def count_report(spark, sf_dir):
+    counts = _order_counts(spark, sf_dir).withColumn(
+        "key", F.col("c_custkey").cast("string"))
+    return count_report_op(counts, key="key", value="c_name", count="count")
+
+
+# ---------------------------------------------------------------- joins
+
+@register("natural_join_2", """
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer""")
+def natural_join_2(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    left = c.select("c_custkey", "c_name", "c_nationkey")
+    right = c.select("c_acctbal", "c_mktsegment", "c_custkey")
+    return JN.natural_join([left, right], ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"],
+                           strict=True)
+
+
+@register("natural_join_3", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def natural_join_3(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    sides = [c.select("c_custkey", "c_name"), c.select("c_nationkey", "c_custkey"),
+             c.select("c_custkey", "c_acctbal", "c_mktsegment")]
+    return JN.natural_join(sides, ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                   "c_mktsegment"], strict=True)
+
+
+def _part_suppliers(spark, sf_dir):
+    """Tweeters of a part: the distinct suppliers that shipped it."""
+    return (table(spark, sf_dir, "lineitem")
+            .select(F.col("l_partkey").alias("url"), F.col("l_suppkey").alias("tweeter"))
+            .distinct())
+
+
+def _supplier_followers(spark, sf_dir):
+    """Followers of a supplier: the customers of its nation."""
+    s = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("tweeter"), F.col("s_nationkey").alias("nation"))
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("follower"), F.col("c_nationkey").alias("nation"))
+    return s.join(c, "nation").select("tweeter", "follower")
+
+
+def _part_requests(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("request_id"), F.col("p_partkey").alias("url"))
+
+
+@register("lookup_join", """
+SELECT DISTINCT p_partkey, l_suppkey AS s_suppkey, s_name
+FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey""")
+def lookup_join(spark, sf_dir):
+    req = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("url"))
+    members = JN.lookup_join(req, _part_suppliers(spark, sf_dir), "url")
+    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("tweeter"), "s_name")
+    return (members.join(sup, "tweeter")
+            .select(F.col("url").alias("p_partkey"), F.col("tweeter").alias("s_suppkey"),
+                    "s_name"))
+
+
+_REACH_SQL = """
+WITH t AS (SELECT DISTINCT l_partkey AS url, l_suppkey AS tweeter FROM lineitem),
+     f AS (SELECT s_suppkey AS tweeter, c_custkey AS follower
+           FROM supplier JOIN customer ON c_nationkey = s_nationkey)
+SELECT p_partkey AS request_id, CAST(count(DISTINCT f.follower) AS BIGINT) AS reach
+FROM part LEFT JOIN t ON t.url = p_partkey LEFT JOIN f ON f.tweeter = t.tweeter
+GROUP BY p_partkey"""
+
+
+@register("reach", _REACH_SQL)
+def reach(spark, sf_dir):
+    """Reach of every part: distinct customers in the nations of its suppliers."""
+    return reach_op(_part_requests(spark, sf_dir), _part_suppliers(spark, sf_dir),
+                    _supplier_followers(spark, sf_dir))
+
+
+@register("reach_approx")
+def reach_approx(spark, sf_dir):
+    """Same with a HyperLogLog++ distinct count (rows-only check)."""
+    return reach_op(_part_requests(spark, sf_dir), _part_suppliers(spark, sf_dir),
+                    _supplier_followers(spark, sf_dir), approx=True)
+
+
+# ---------------------------------------------------------------- keyed table
+
+STATUSES = ["F", "O", "P"]
+
+_KV_SQL = """
+  SELECT o_custkey, o_orderstatus, arg_max(o_totalprice, o_orderkey) AS o_totalprice
+  FROM orders GROUP BY o_custkey, o_orderstatus"""
+
+
+def latest_per_key(orders):
+    """The keyed table: latest (by orderkey) total price per (customer, status)."""
+    return (orders.groupBy("o_custkey", "o_orderstatus")
+            .agg(F.max_by("o_totalprice", "o_orderkey").alias("o_totalprice")))
+
+
+@register("keyed_lookup", f"""
+SELECT c_custkey, status, kv.o_totalprice
+FROM customer CROSS JOIN (VALUES ('F'), ('O'), ('P')) s(status)
+LEFT JOIN ({_KV_SQL}) kv ON kv.o_custkey = c_custkey AND kv.o_orderstatus = status""")
+def keyed_lookup(spark, sf_dir):
+    """Batch get of (customer, status) keys; a missing key gives NULL."""
+    req = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.explode(F.array(*[F.lit(s) for s in STATUSES])).alias("status"))
+    kv = latest_per_key(table(spark, sf_dir, "orders")).select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("status"),
+        "o_totalprice")
+    return JN.keyed_lookup(req, kv, ["c_custkey", "status"]).select(
+        "c_custkey", "status", "o_totalprice")
+
+
+@register("composite_key", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || ':' || o_orderstatus AS key FROM orders""")
+def composite_key(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", TX.composite_key("o_custkey", "o_orderstatus").alias("key"))
+
+
+# ---------------------------------------------------------------- events: counts
+
+def _batched_events(spark, sf_dir):
+    """events with the micro-batch each would arrive in (three batches)."""
+    return table(spark, sf_dir, "events").withColumn("batch_id", F.col("event_id") % 3)
+
+
+@register("global_count", "SELECT count(*) AS count FROM events")
+def global_count(spark, sf_dir):
+    return AG.global_count(table(spark, sf_dir, "events"))
+
+
+_CWP_SQL = """
+  WITH pb AS (SELECT user_id, event_id % 3 AS batch_id, count(*) AS n FROM events GROUP BY 1, 2),
+       r AS (SELECT user_id, batch_id,
+                    sum(n) OVER (PARTITION BY user_id ORDER BY batch_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS count
+             FROM pb)
+  SELECT user_id, batch_id, CAST(count AS BIGINT) AS count,
+         CAST(lag(count) OVER (PARTITION BY user_id ORDER BY batch_id) AS BIGINT) AS prev_count
+  FROM r"""
+
+
+@register("count_with_prev", _CWP_SQL)
+def count_with_prev(spark, sf_dir):
+    return AG.count_with_prev(_batched_events(spark, sf_dir), "user_id", "batch_id")
+
+
+@register("count_histogram", """
+SELECT n // 10 AS bucket, count(*) AS n_keys
+FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) GROUP BY 1""")
+def count_histogram(spark, sf_dir):
+    counts = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("count"))
+    return AG.count_histogram(counts)
+
+
+@register("histogram_deltas", f"""
+WITH cwp AS ({_CWP_SQL}),
+d AS (SELECT batch_id, count // 10 AS bucket, 1 AS delta FROM cwp
+      WHERE prev_count IS NULL OR count // 10 <> prev_count // 10
+      UNION ALL
+      SELECT batch_id, prev_count // 10 AS bucket, -1 AS delta FROM cwp
+      WHERE prev_count IS NOT NULL AND count // 10 <> prev_count // 10),
+t AS (SELECT batch_id, bucket, sum(delta) AS delta FROM d GROUP BY 1, 2)
+SELECT batch_id, bucket,
+       CAST(sum(delta) OVER (PARTITION BY bucket ORDER BY batch_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_keys
+FROM t""")
+def histogram_deltas(spark, sf_dir):
+    updates = AG.count_with_prev(_batched_events(spark, sf_dir), "user_id", "batch_id")
+    return AG.histogram_deltas(updates)
+
+
+@register("hour_of_day", """
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour FROM events""")
+def hour_of_day(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", RC.hour_of_day("ts").alias("hour"))
+
+
+@register("repartition_checks")
+def repartition_checks(spark, sf_dir):
+    """Random and hash redistribution (rows-only): every row survives a
+    round-robin repartition followed by a hash repartition on user_id."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    n = spark.sparkContext.defaultParallelism
+    return (ev.repartition(n).repartition(n, "user_id")
+            .withColumn("partition", F.spark_partition_id()))
