@@ -27,8 +27,11 @@ def top_n(df: DataFrame, n: int, order, by=(), rank: str = "rank") -> DataFrame:
         # A global ranking: Spark plans orderBy+limit as TakeOrderedAndProject
         # (per-task top-n, then a merge of n rows per task).
         return (df.orderBy(*_order(order)).limit(n)
-                .withColumn(rank, F.row_number().over(w)))
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+                .withColumn(rank, F.row_number().over(w).cast("bigint")))
+    # Filter on the bare row_number so Spark infers the WindowGroupLimit,
+    # then widen the rank to bigint.
+    return (df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+            .withColumn(rank, F.col(rank).cast("bigint")))
 
 
 def top_by_count(counts: DataFrame, obj: str, n: int, by=(), count: str = "count",
