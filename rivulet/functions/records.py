@@ -55,6 +55,15 @@ def stock_watch(df: DataFrame, watch=None, line: str = "str") -> DataFrame:
                      & F.col("low").isNotNull())
 
 
+def epoch_millis(ts) -> Column:
+    """Milliseconds since 1970-01-01 of a ``timestamp_ntz`` holding UTC wall
+    time, independent of the session time zone (truncated, like the
+    reference's millisecond clock)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_diff("MILLISECOND",
+                            F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
 def hour_of_day(ts) -> Column:
     """Hour (0-23) of a timestamp in the session time zone (UTC)."""
     return F.hour(F.col(ts) if isinstance(ts, str) else ts)

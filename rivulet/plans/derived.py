@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.functions.records import epoch_millis
 from rivulet.session import table
 
 # Fixed values of the renderings (the oracles restate them):
@@ -26,10 +27,14 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def stock_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as daily-price lines:
-    flag, suppkey, date, discount, extendedprice, tax, extendedprice,
-    quantity, 0 -- so field 6 * field 7 = extendedprice * quantity."""
-    li = table(spark, sf_dir, "lineitem")
+    """``lineitem`` as daily-price lines (see :func:`render_stock_lines`)."""
+    return render_stock_lines(table(spark, sf_dir, "lineitem"))
+
+
+def render_stock_lines(li: DataFrame) -> DataFrame:
+    """Lines ``flag, suppkey, date, discount, extendedprice, tax,
+    extendedprice, quantity, 0`` -- so field 6 * field 7 = extendedprice *
+    quantity. Works on a batch or a streaming ``lineitem``."""
     s = lambda c: F.col(c).cast("string")
     return li.select(F.concat_ws(
         ",", F.col("l_returnflag"), s("l_suppkey"),
@@ -51,8 +56,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_ms(ts: str = "ts"):
-    """Epoch milliseconds of a (UTC) timestamp column."""
-    return F.unix_millis(F.col(ts).cast("timestamp"))
+    """Epoch milliseconds of a UTC wall-clock (timestamp_ntz) column."""
+    return epoch_millis(ts)
 
 
 def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def register(name: str, oracle: str | None = None):
 def _load_all() -> None:
     # Importing the modules runs their @register decorators.
     from rivulet.plans import (  # noqa: F401
-        quake, sinks_jobs, stream_jobs, table_jobs, text_jobs, window_jobs,
+        feed_jobs, quake, sinks_jobs, stream_jobs, table_jobs, text_jobs, window_jobs,
     )
 
 

@@ -118,12 +118,14 @@ def rss_items(df: DataFrame, col: str = "xml", city: str = "city") -> DataFrame:
 
 
 def geojson_features(df: DataFrame, col: str = "json",
-                     min_magnitude: float | None = 2.5) -> DataFrame:
-    """``(time, mag)`` per feature; with ``min_magnitude`` only features with a
-    magnitude strictly above it (a NULL magnitude never passes)."""
+                     min_magnitude: float | None = 2.5, keep=()) -> DataFrame:
+    """``(keep..., time, mag)`` per feature; with ``min_magnitude`` only
+    features with a magnitude strictly above it (a NULL magnitude never
+    passes)."""
     d = F.from_json(F.col(col), GEOJSON_SCHEMA, {"mode": "PERMISSIVE"})
-    f = df.select(F.explode(d["features"]).alias("f")).select(
-        F.col("f.properties.time").alias("time"), F.col("f.properties.mag").alias("mag"))
+    f = df.select(*keep, F.explode(d["features"]).alias("f")).select(
+        *keep, F.col("f.properties.time").alias("time"),
+        F.col("f.properties.mag").alias("mag"))
     if min_magnitude is not None:
         f = f.where(F.col("mag") > F.lit(float(min_magnitude)))
     return f
