@@ -1 +1,291 @@
-"""placeholder"""
+"""Structured Streaming forms of the jobs.
+
+Each query runs a streaming query over the driver tables read as file
+streams (``availableNow``), lands its result through ``foreachBatch`` into
+a keyed table or through a file sink, and returns the landed table. The
+micro-batch jobs first land their input as a sequence of batches so that
+batch ids and batch contents are fixed, then replay every batch twice to
+show that the batch-id guard keeps the results exactly-once.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from rivulet.functions import records as RC
+from rivulet.operators import aggregates as AG
+from rivulet.operators import joins as JN
+from rivulet.operators import topk as TK
+from rivulet.plans import table_jobs as TJ
+from rivulet.plans.derived import listings, render_stock_lines
+from rivulet.plans.registry import register
+from rivulet.plans.window_jobs import EMIT_S, WINDOW_S
+from rivulet.session import scratch_path, table
+from rivulet.sinks.tables import KeyedTable
+from rivulet.streaming import operators as SO
+from rivulet.streaming import sources as SS
+from rivulet.plans.text_jobs import _JAVA_WORDS as JAVA_WORDS_SQL
+
+N_BATCHES = 3
+
+
+def _paths(spark, name):
+    root = scratch_path(spark, name)
+    return root, os.path.join(root, "_checkpoint")
+
+
+def _event_time(df, ts="ts"):
+    # withWatermark needs a zoned timestamp; the tables hold UTC wall time.
+    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
+# ------------------------------------------------------------ aggregations
+
+@register("stream_word_count", f"""
+SELECT word, count(*) AS count FROM ({JAVA_WORDS_SQL}) GROUP BY word""")
+def stream_word_count(spark, sf_dir):
+    """Running word counts, update mode, upserted per micro-batch."""
+    root, ckpt = _paths(spark, "stream_word_count")
+    docs = SS.table_stream(spark, sf_dir, "documents")
+    counts = AG.word_count(docs, "text", "java")
+    out = KeyedTable(spark, os.path.join(root, "table"), ["word"])
+    SO.run_available(SO.upsert_writer(counts, out, ckpt, replay=True))
+    return out.read()
+
+
+@register("stream_max_by_symbol", """
+SELECT l_returnflag AS exchange, CAST(l_suppkey AS VARCHAR) AS symbol,
+       max(l_extendedprice * l_quantity) AS market_cap
+FROM lineitem GROUP BY l_returnflag, l_suppkey""")
+def stream_max_by_symbol(spark, sf_dir):
+    """Max traded value per (exchange, symbol) with an update feed."""
+    root, ckpt = _paths(spark, "stream_max_by_symbol")
+    lines = render_stock_lines(SS.table_stream(spark, sf_dir, "lineitem"))
+    best = AG.max_by_key(RC.parse_stock_line(lines), ["exchange", "symbol"],
+                         "market_cap", "market_cap")
+    out = KeyedTable(spark, os.path.join(root, "table"), ["exchange", "symbol"])
+    SO.run_available(SO.upsert_writer(best, out, ckpt))
+    return out.read()
+
+
+def _stream_window_counts(spark, sf_dir, keys):
+    ev = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    w = F.window("ts", f"{WINDOW_S} seconds", f"{EMIT_S} seconds")
+    counts = (ev.withWatermark("ts", f"{WINDOW_S} seconds")
+              .groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count")))
+    return counts.select(*keys, F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                         F.col("count").cast("bigint"))
+
+
+@register("stream_rolling_count", """
+SELECT event_type, slot_start + to_hours(3 * (k + 1)) AS window_end,
+       CAST(sum(n) AS BIGINT) AS count
+FROM (SELECT event_type, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') AS slot_start,
+             count(*) AS n FROM events GROUP BY ALL) s,
+     (SELECT unnest([0, 1, 2]) AS k) ks
+GROUP BY ALL""")
+def stream_rolling_count(spark, sf_dir):
+    """Sliding event-time window counts with a watermark (9 h every 3 h)."""
+    root, ckpt = _paths(spark, "stream_rolling_count")
+    counts = _stream_window_counts(spark, sf_dir, ["event_type"])
+    out = KeyedTable(spark, os.path.join(root, "table"), ["event_type", "window_end"])
+    SO.run_available(SO.upsert_writer(counts, out, ckpt))
+    return out.read()
+
+
+@register("stream_rolling_top_n", """
+SELECT window_end, user_id, count, rank FROM (
+  SELECT window_end, user_id, count,
+         row_number() OVER (PARTITION BY window_end ORDER BY count DESC, user_id ASC) AS rank
+  FROM (SELECT user_id, slot_start + to_hours(3 * (k + 1)) AS window_end,
+               CAST(sum(n) AS BIGINT) AS count
+        FROM (SELECT user_id, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01')
+                       AS slot_start, count(*) AS n FROM events GROUP BY ALL) s,
+             (SELECT unnest([0, 1, 2]) AS k) ks
+        GROUP BY ALL))
+WHERE rank <= 5""")
+def stream_rolling_top_n(spark, sf_dir):
+    """Rolling top 5: window counts kept as state, ranked per window tick.
+
+    Ranking a streaming DataFrame is not allowed, so the counts are upserted
+    per micro-batch and the ranking runs over the landed counts.
+    """
+    root, ckpt = _paths(spark, "stream_rolling_top_n")
+    counts = _stream_window_counts(spark, sf_dir, ["user_id"])
+    out = KeyedTable(spark, os.path.join(root, "table"), ["user_id", "window_end"])
+    SO.run_available(SO.upsert_writer(counts, out, ckpt))
+    return TK.top_by_count(out.read(), "user_id", 5, by=["window_end"]).select(
+        "window_end", "user_id", "count", "rank")
+
+
+# ------------------------------------------------------------ stream join
+
+JOIN_WITHIN_S = 1800
+
+
+@register("stream_join_expiry", """
+SELECT event_id, user_id, value, ts AS l_ts,
+       ts + to_seconds(CAST(floor(value) AS BIGINT) * 10) AS r_ts
+FROM events WHERE floor(value) * 10 <= 1800""")
+def stream_join_expiry(spark, sf_dir):
+    """Two streams joined on event_id when their times are within 30 min.
+
+    The right side is the same events arriving later (floor(value) * 10 s);
+    watermarks on both sides let Spark drop pending rows that can no longer
+    match (the reference's expiring cache of pending sides).
+    """
+    root, ckpt = _paths(spark, "stream_join_expiry")
+    ev = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    left = (ev.select("event_id", "user_id", F.col("ts").alias("l_ts"))
+            .withWatermark("l_ts", "1 hour"))
+    ev2 = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    right = (ev2.select("event_id", "value",
+                        (F.col("ts") + F.make_dt_interval(
+                            secs=F.floor("value").cast("int") * 10)).alias("r_ts"))
+             .withWatermark("r_ts", "1 hour"))
+    joined = JN.time_bounded_join(left, right, ["event_id"], "l_ts", "r_ts", JOIN_WITHIN_S)
+    flat = joined.select(F.col("l.event_id").alias("event_id"), "user_id", "value",
+                         F.col("l_ts").cast("timestamp_ntz").alias("l_ts"),
+                         F.col("r_ts").cast("timestamp_ntz").alias("r_ts"))
+    path = os.path.join(root, "out")
+    SO.run_available(flat.writeStream.format("parquet").option("path", path)
+                     .option("checkpointLocation", ckpt).outputMode("append"))
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------ micro-batches
+
+def _staged_events(spark, sf_dir, name):
+    """events landed as three batches (event_id % 3), replayable by a file stream."""
+    root, ckpt = _paths(spark, name)
+    ev = table(spark, sf_dir, "events").withColumn("batch", F.col("event_id") % N_BATCHES)
+    land = os.path.join(root, "landing")
+    per_batch = SS.stage_microbatches(ev, "batch", list(range(N_BATCHES)), land,
+                                      spark.sparkContext.defaultParallelism)
+    schema = table(spark, sf_dir, "events").schema
+    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), schema, per_batch)
+    return root, ckpt, stream
+
+
+@register("microbatch_source", """
+SELECT event_id % 3 AS batch_id, count(*) AS n_rows FROM events GROUP BY 1""")
+def microbatch_source(spark, sf_dir):
+    """Batched replay source: each micro-batch is one landed batch."""
+    root, ckpt, stream = _staged_events(spark, sf_dir, "microbatch_source")
+    out = KeyedTable(spark, os.path.join(root, "sizes"), ["batch_id"])
+
+    def record(batch_df, batch_id):
+        out.apply(batch_df.agg(F.count(F.lit(1)).alias("n_rows"))
+                  .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "n_rows"),
+                  batch_id)
+
+    SO.run_available(stream.writeStream.foreachBatch(record)
+                     .option("checkpointLocation", ckpt))
+    return out.read()
+
+
+@register("idempotent_total", """
+SELECT batch_id, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS count
+FROM (SELECT event_id % 3 AS batch_id, count(*) AS n FROM events GROUP BY 1)""")
+def idempotent_total(spark, sf_dir):
+    """Exactly-once running count: each batch applied twice, counted once."""
+    root, ckpt, stream = _staged_events(spark, sf_dir, "idempotent_total")
+    totals = KeyedTable(spark, os.path.join(root, "total"), ["key"])
+    history = KeyedTable(spark, os.path.join(root, "history"), ["batch_id"])
+    SO.run_available(SO.running_total_writer(stream, totals, history, ckpt, replay=True))
+    return history.read()
+
+
+@register("stream_count_with_prev", TJ._CWP_SQL)
+def stream_count_with_prev(spark, sf_dir):
+    """Keyed counts with the previous value, per micro-batch, replayed twice."""
+    root, ckpt, stream = _staged_events(spark, sf_dir, "stream_count_with_prev")
+    state = KeyedTable(spark, os.path.join(root, "state"), ["user_id"])
+    updates = KeyedTable(spark, os.path.join(root, "updates"), ["user_id", "batch_id"])
+    SO.run_available(SO.keyed_count_writer(stream, "user_id", state, updates, ckpt,
+                                           replay=True))
+    return updates.read().select("user_id", "batch_id", "count", "prev_count")
+
+
+_LISTING_BATCHES_SQL = r"""
+  WITH l AS (SELECT p_brand AS city, CAST(p_partkey AS VARCHAR) AS link, p_partkey % 3 AS b0,
+                    TRY_CAST(regexp_extract(
+                      p_name || ' $' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR),
+                      '\$[\s]*([\d]+)', 1) AS INTEGER) AS price
+             FROM part),
+       pool AS (SELECT bs.b, l.city, l.link, l.price FROM l
+                JOIN (SELECT unnest([0, 1, 2]) AS b) bs ON l.b0 <= bs.b
+                WHERE l.price IS NOT NULL),
+       best AS (SELECT b, city, link, min(price) AS price FROM pool GROUP BY b, city, link),
+       top AS (SELECT * FROM (
+                 SELECT b, city, link, price,
+                        row_number() OVER (PARTITION BY b, city ORDER BY price, link) AS r
+                 FROM best) WHERE r <= 5)
+  SELECT t.b AS batch_id, t.city, t.link, t.price FROM top t
+  LEFT JOIN top p ON p.b = t.b - 1 AND p.city = t.city AND p.link = t.link
+                 AND p.price = t.price
+  WHERE p.link IS NULL"""
+
+
+@register("lowest_n_changes", _LISTING_BATCHES_SQL)
+def lowest_n_changes(spark, sf_dir):
+    """Lowest-5 price lists per city over three landed batches of listings;
+    only entries that entered a list are reported, with their batch."""
+    root, ckpt = _paths(spark, "lowest_n_changes")
+    priced = (listings(spark, sf_dir)
+              .withColumn("price", F.regexp_extract("title", r"\$[\s]*([\d]+)", 1)
+                          .try_cast("int"))
+              .where(F.col("price").isNotNull())
+              .withColumn("batch", F.col("link").cast("bigint") % N_BATCHES)
+              .select("city", "link", "price", "batch"))
+    land = os.path.join(root, "landing")
+    per_batch = SS.stage_microbatches(priced, "batch", list(range(N_BATCHES)), land,
+                                      spark.sparkContext.defaultParallelism)
+    schema = priced.drop("batch").schema
+    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), schema, per_batch)
+    lists = KeyedTable(spark, os.path.join(root, "lists"), ["city", "link"])
+    changes = KeyedTable(spark, os.path.join(root, "changes"), ["batch_id", "city", "link"])
+    SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 5, lists,
+                                        changes, ckpt))
+    return changes.read().select("batch_id", "city", "link", "price")
+
+
+# ------------------------------------------------------------ bus / triggers
+
+@register("bus_source_replay", """
+SELECT concat_ws(',', event_id, event_type, user_id) AS str FROM events""")
+def bus_source_replay(spark, sf_dir):
+    """Payload stream with stored progress: half of the payloads land, the
+    query runs, the rest land, and the restarted query (same checkpoint)
+    reads only the new files. Every payload is delivered exactly once."""
+    root, ckpt = _paths(spark, "bus_source_replay")
+    land, out = os.path.join(root, "landing"), os.path.join(root, "out")
+    ev = table(spark, sf_dir, "events").select(
+        F.concat_ws(",", "event_id", "event_type", "user_id").alias("value"),
+        (F.col("event_id") % 2).alias("half"))
+    for half in (0, 1):
+        ev.where(F.col("half") == half).select("value").write.mode("append").text(
+            os.path.join(land, f"part_{half}"))
+        stream = SS.text_stream(spark, os.path.join(land, "part_*"), "str")
+        SO.run_available(stream.writeStream.format("parquet").option("path", out)
+                         .option("checkpointLocation", ckpt))
+    return spark.read.parquet(out)
+
+
+@register("tick_trigger", """
+SELECT event_type, count(*) AS count FROM events GROUP BY event_type""")
+def tick_trigger(spark, sf_dir):
+    """Counts emitted on a processing-time tick (every second) until the
+    input is drained."""
+    root, ckpt = _paths(spark, "tick_trigger")
+    ev = SS.table_stream(spark, sf_dir, "events")
+    counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+    out = KeyedTable(spark, os.path.join(root, "table"), ["event_type"])
+    q = SO.upsert_writer(counts, out, ckpt).trigger(processingTime="1 second").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return out.read()
