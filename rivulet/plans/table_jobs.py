@@ -231,18 +231,23 @@ def _part_suppliers(spark, sf_dir):
             .distinct())
 
 
-def _supplier_followers(spark, sf_dir):
-    """Followers of a supplier: the customers of its nation."""
-    s = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("tweeter"), F.col("s_nationkey").alias("nation"))
-    c = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("follower"), F.col("c_nationkey").alias("nation"))
-    return s.join(c, "nation").select("tweeter", "follower")
+def _order_parts(spark, sf_dir):
+    """Tweeters of an order: the distinct parts on its lines."""
+    return (table(spark, sf_dir, "lineitem")
+            .select(F.col("l_orderkey").alias("url"), F.col("l_partkey").alias("tweeter"))
+            .distinct())
+
+
+def _part_shippers(spark, sf_dir):
+    """Followers of a part: the distinct suppliers that shipped it."""
+    return (table(spark, sf_dir, "lineitem")
+            .select(F.col("l_partkey").alias("tweeter"), F.col("l_suppkey").alias("follower"))
+            .distinct())
 
 
-def _part_requests(spark, sf_dir):
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("request_id"), F.col("p_partkey").alias("url"))
+def _order_requests(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("url"))
 
 
 @register("lookup_join", """
@@ -258,26 +263,26 @@ def lookup_join(spark, sf_dir):
 
 
 _REACH_SQL = """
-WITH t AS (SELECT DISTINCT l_partkey AS url, l_suppkey AS tweeter FROM lineitem),
-     f AS (SELECT s_suppkey AS tweeter, c_custkey AS follower
-           FROM supplier JOIN customer ON c_nationkey = s_nationkey)
-SELECT p_partkey AS request_id, CAST(count(DISTINCT f.follower) AS BIGINT) AS reach
-FROM part LEFT JOIN t ON t.url = p_partkey LEFT JOIN f ON f.tweeter = t.tweeter
-GROUP BY p_partkey"""
+WITH t AS (SELECT DISTINCT l_orderkey AS url, l_partkey AS tweeter FROM lineitem),
+     f AS (SELECT DISTINCT l_partkey AS tweeter, l_suppkey AS follower FROM lineitem)
+SELECT o_orderkey AS request_id, CAST(count(DISTINCT f.follower) AS BIGINT) AS reach
+FROM orders LEFT JOIN t ON t.url = o_orderkey LEFT JOIN f ON f.tweeter = t.tweeter
+GROUP BY o_orderkey"""
 
 
 @register("reach", _REACH_SQL)
 def reach(spark, sf_dir):
-    """Reach of every part: distinct customers in the nations of its suppliers."""
-    return reach_op(_part_requests(spark, sf_dir), _part_suppliers(spark, sf_dir),
-                    _supplier_followers(spark, sf_dir))
+    """Reach of every order: the distinct suppliers that have shipped any
+    of its parts (order -> parts -> shippers). Orders without lines reach 0."""
+    return reach_op(_order_requests(spark, sf_dir), _order_parts(spark, sf_dir),
+                    _part_shippers(spark, sf_dir))
 
 
 @register("reach_approx")
 def reach_approx(spark, sf_dir):
     """Same with a HyperLogLog++ distinct count (rows-only check)."""
-    return reach_op(_part_requests(spark, sf_dir), _part_suppliers(spark, sf_dir),
-                    _supplier_followers(spark, sf_dir), approx=True)
+    return reach_op(_order_requests(spark, sf_dir), _order_parts(spark, sf_dir),
+                    _part_shippers(spark, sf_dir), approx=True)
 
 
 # ---------------------------------------------------------------- keyed table
