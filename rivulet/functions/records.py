@@ -18,16 +18,33 @@ def _field(parts: Column, i: int) -> Column:
     return F.get(parts, i)
 
 
+def _keep_parsed(parts: DataFrame, fields: list[Column], required: list[str]) -> DataFrame:
+    """Rows of ``fields`` whose ``required`` fields are all non-NULL.
+
+    A plain ``where`` would be pushed below the projection and re-evaluate
+    the parse inside the filter; emitting 0 or 1 rows through ``inline``
+    keeps the parse evaluated once per input row.
+    """
+    rec = F.struct(*fields)
+
+    def ok(r):
+        cond = F.lit(True)
+        for c in required:
+            cond = cond & r[c].isNotNull()
+        return cond
+
+    return parts.select(F.inline(F.filter(F.array(rec), ok)))
+
+
 def parse_stock_line(df: DataFrame, line: str = "str") -> DataFrame:
     """``(exchange, symbol, market_cap)``; short or non-numeric lines dropped."""
-    parts = F.split(F.col(line), ",", -1)
-    out = df.select(
-        _field(parts, 0).alias("exchange"),
-        _field(parts, 1).alias("symbol"),
-        (_field(parts, 6).try_cast("double")
-         * _field(parts, 7).try_cast("double")).alias("market_cap"),
-    )
-    return out.where(F.col("symbol").isNotNull() & F.col("market_cap").isNotNull())
+    parts = df.select(F.split(F.col(line), ",", -1).alias("_p"))
+    p = F.col("_p")
+    return _keep_parsed(parts, [
+        _field(p, 0).alias("exchange"),
+        _field(p, 1).alias("symbol"),
+        (_field(p, 6).try_cast("double") * _field(p, 7).try_cast("double")).alias("market_cap"),
+    ], ["symbol", "market_cap"])
 
 
 def stock_watch(df: DataFrame, watch=None, line: str = "str") -> DataFrame:
@@ -37,22 +54,21 @@ def stock_watch(df: DataFrame, watch=None, line: str = "str") -> DataFrame:
     DataFrame of keys, joined left-semi. The key filter runs before the
     numbers are parsed, as in the reference.
     """
-    parts = F.split(F.col(line), ",", -1)
-    keyed = df.select(
-        F.concat(_field(parts, 0), F.lit(":"), _field(parts, 1)).alias("symbol"),
-        parts.alias("_p"))
+    split = df.select(F.split(F.col(line), ",", -1).alias("_p"))
+    keyed = split.select(
+        F.concat(_field(F.col("_p"), 0), F.lit(":"), _field(F.col("_p"), 1)).alias("symbol"),
+        "_p")
     if isinstance(watch, DataFrame):
         keyed = keyed.join(watch.toDF("symbol"), "symbol", "left_semi")
     elif watch:
         keyed = keyed.where(F.col("symbol").isin(list(watch)))
-    out = keyed.select(
-        "symbol",
-        _field(F.col("_p"), 2).alias("date"),
-        _field(F.col("_p"), 4).try_cast("double").alias("high"),
-        _field(F.col("_p"), 5).try_cast("double").alias("low"),
-    )
-    return out.where(F.col("date").isNotNull() & F.col("high").isNotNull()
-                     & F.col("low").isNotNull())
+    p = F.col("_p")
+    return _keep_parsed(keyed, [
+        F.col("symbol"),
+        _field(p, 2).alias("date"),
+        _field(p, 4).try_cast("double").alias("high"),
+        _field(p, 5).try_cast("double").alias("low"),
+    ], ["date", "high", "low"])
 
 
 def epoch_millis(ts) -> Column:

@@ -20,6 +20,9 @@ _DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Coalesce small shuffle partitions less eagerly than the 1 MB default:
+    # joins that expand rows (reach, windows) need the parallelism.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
@@ -70,6 +73,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rivulet", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Load one of the driver tables (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Load one of the driver tables (``{sf_dir}/{name}.parquet``).
+
+    With ``spread``, a scan that yields fewer input partitions than the
+    cluster's parallelism (a file with a single row group is read by one
+    task) is redistributed round-robin, so the row-level work after it uses
+    every core. Column pruning and filters are still pushed below the
+    repartition into the scan. A large table already has enough splits and
+    is left alone.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
