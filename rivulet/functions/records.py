@@ -18,7 +18,7 @@ def _field(parts: Column, i: int) -> Column:
     return F.get(parts, i)
 
 
-def _keep_parsed(parts: DataFrame, fields: list[Column], required: list[str]) -> DataFrame:
+def keep_parsed(parts: DataFrame, fields: list[Column], required: list[str]) -> DataFrame:
     """Rows of ``fields`` whose ``required`` fields are all non-NULL.
 
     A plain ``where`` would be pushed below the projection and re-evaluate
@@ -40,7 +40,7 @@ def parse_stock_line(df: DataFrame, line: str = "str") -> DataFrame:
     """``(exchange, symbol, market_cap)``; short or non-numeric lines dropped."""
     parts = df.select(F.split(F.col(line), ",", -1).alias("_p"))
     p = F.col("_p")
-    return _keep_parsed(parts, [
+    return keep_parsed(parts, [
         _field(p, 0).alias("exchange"),
         _field(p, 1).alias("symbol"),
         (_field(p, 6).try_cast("double") * _field(p, 7).try_cast("double")).alias("market_cap"),
@@ -63,7 +63,7 @@ def stock_watch(df: DataFrame, watch=None, line: str = "str") -> DataFrame:
     elif watch:
         keyed = keyed.where(F.col("symbol").isin(list(watch)))
     p = F.col("_p")
-    return _keep_parsed(keyed, [
+    return keep_parsed(keyed, [
         F.col("symbol"),
         _field(p, 2).alias("date"),
         _field(p, 4).try_cast("double").alias("high"),

@@ -93,3 +93,21 @@ def truncate_load(spark, sf_dir):
     feats = DOC.geojson_features(DV.geojson_docs(spark, sf_dir), keep=["event_id"])
     path = scratch_path(spark, "truncate_load")
     return truncate_load_op(feats, path, keys=["time"], value="mag", order="event_id")
+
+
+@register("event_message", f"SELECT id, message FROM ({_FEED_SQL})")
+def event_message(spark, sf_dir):
+    """``title ---> href`` per feed entry (missing title ``null``, missing
+    link ``???``)."""
+    return DOC.xml_feed_events(DV.xml_entries(spark, sf_dir)).select("id", "message")
+
+
+@register("geojson_file_scan", """
+SELECT (epoch_us(ts) // 1000) AS time, value / 100 AS mag
+FROM events WHERE event_type <> 'signup' AND value / 100 > 2.5""")
+def geojson_file_scan(spark, sf_dir):
+    """GeoJSON documents landed as files (one FeatureCollection per line)
+    and read back with the JSON reader and an explicit schema."""
+    path = scratch_path(spark, "geojson")
+    DV.geojson_docs(spark, sf_dir).select(F.col("json").alias("value")).write.text(path)
+    return DOC.read_geojson(spark, path, multi_line=False)

@@ -18,12 +18,15 @@ from rivulet.functions import records as RC
 from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import topk as TK
+from rivulet.operators import windows as WN
+from rivulet.plans import derived as DV
 from rivulet.plans import table_jobs as TJ
 from rivulet.plans.derived import listings, render_stock_lines
 from rivulet.plans.registry import register
 from rivulet.plans.window_jobs import EMIT_S, WINDOW_S
 from rivulet.session import scratch_path, table
-from rivulet.sinks.tables import KeyedTable
+from rivulet.sinks.tables import KeyedTable, last_wins_per_key
+from rivulet.sources import documents as DOC
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
 from rivulet.plans.text_jobs import _JAVA_WORDS as JAVA_WORDS_SQL
@@ -289,3 +292,87 @@ def tick_trigger(spark, sf_dir):
     finally:
         q.stop()
     return out.read()
+
+
+# ------------------------------------------------------------ keyed upsert
+
+@register("keyed_upsert", """
+SELECT o_custkey, o_orderstatus, arg_max(o_totalprice, o_orderkey) AS o_totalprice
+FROM orders GROUP BY o_custkey, o_orderstatus""")
+def keyed_upsert(spark, sf_dir):
+    """Keyed upserts of order totals under (customer, status), three landed
+    batches, each applied twice; per key the latest order (by orderkey)
+    wins whatever the batch order."""
+    root, ckpt = _paths(spark, "keyed_upsert")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderkey",
+        (F.col("o_orderkey") % N_BATCHES).alias("batch"))
+    land = os.path.join(root, "landing")
+    per_batch = SS.stage_microbatches(orders, "batch", list(range(N_BATCHES)), land,
+                                      spark.sparkContext.defaultParallelism)
+    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"),
+                               orders.drop("batch").schema, per_batch)
+    out = KeyedTable(spark, os.path.join(root, "table"), ["o_custkey", "o_orderstatus"])
+
+    def upsert(batch_df, batch_id):
+        latest = last_wins_per_key(batch_df, ["o_custkey", "o_orderstatus"], "o_orderkey")
+        for _ in range(2):  # a replayed batch is a no-op
+            out.apply(latest, batch_id, order="o_orderkey")
+
+    SO.run_available(stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt))
+    return out.read().select("o_custkey", "o_orderstatus", "o_totalprice")
+
+
+# ------------------------------------------------------------ more streams
+
+@register("stream_rolling_count_zeros", """
+WITH c AS (
+  SELECT event_type, user_id, slot_start + to_hours(3 * (k + 1)) AS window_end,
+         CAST(sum(n) AS BIGINT) AS count
+  FROM (SELECT event_type, user_id,
+               time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') AS slot_start,
+               count(*) AS n FROM events GROUP BY ALL) s,
+       (SELECT unnest([0, 1, 2]) AS k) ks
+  GROUP BY ALL),
+z AS (SELECT event_type, user_id, window_end + INTERVAL 3 HOUR AS window_end,
+             CAST(0 AS BIGINT) AS count
+      FROM (SELECT *, lead(window_end) OVER (PARTITION BY event_type, user_id
+                                             ORDER BY window_end) AS nxt FROM c)
+      WHERE nxt IS NULL OR nxt <> window_end + INTERVAL 3 HOUR)
+SELECT event_type, user_id, window_end, count FROM c
+UNION ALL SELECT event_type, user_id, window_end, count FROM z""")
+def stream_rolling_count_zeros(spark, sf_dir):
+    """Streaming window counts landed per micro-batch, then the single zero
+    row per object leaving the window, derived from the landed counts."""
+    root, ckpt = _paths(spark, "stream_rolling_count_zeros")
+    keys = ["event_type", "user_id"]
+    counts = _stream_window_counts(spark, sf_dir, keys)
+    out = KeyedTable(spark, os.path.join(root, "table"), keys + ["window_end"])
+    SO.run_available(SO.upsert_writer(counts, out, ckpt))
+    return WN.with_zero_rows(out.read(), keys, EMIT_S)
+
+
+@register("stream_xml_feed", """
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_type = 'click' THEN NULL
+            ELSE event_type || ' by user ' || CAST(user_id AS VARCHAR) END AS title,
+       CASE WHEN event_type = 'purchase' THEN NULL
+            ELSE 'http://feed.example/e/' || CAST(event_id AS VARCHAR) END AS href,
+       coalesce(CASE WHEN event_type = 'click' THEN NULL
+                     ELSE event_type || ' by user ' || CAST(user_id AS VARCHAR) END, 'null')
+         || ' ---> ' ||
+       coalesce(CASE WHEN event_type = 'purchase' THEN NULL
+                     ELSE 'http://feed.example/e/' || CAST(event_id AS VARCHAR) END, '???')
+         AS message
+FROM events WHERE event_type <> 'error'""")
+def stream_xml_feed(spark, sf_dir):
+    """Landed feed files (an entry per line) as a stream; entries become log
+    messages, malformed ones are dropped; landed by a file sink."""
+    root, ckpt = _paths(spark, "stream_xml_feed")
+    land, out = os.path.join(root, "landing"), os.path.join(root, "out")
+    DV.xml_entries(spark, sf_dir).select(F.col("str").alias("value")).write.text(land)
+    entries = SS.text_stream(spark, land, "str")
+    msgs = DOC.xml_feed_events(entries)
+    SO.run_available(msgs.writeStream.format("parquet").option("path", out)
+                     .option("checkpointLocation", ckpt))
+    return spark.read.parquet(out)

@@ -126,3 +126,13 @@ def page_links(spark, sf_dir):
     links = pages.select("page_id", F.posexplode(TX.page_links("html", ANCHOR_PATTERN)))
     return links.select("page_id", (F.col("pos") + 1).cast("int").alias("link_pos"),
                         F.col("col").alias("link"))
+
+
+@register("split_words_ruby", r"""
+SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '[ \t\n\v\f\r]+'),
+                                  lambda w: w <> '')) AS word
+FROM documents""")
+def split_words_ruby(spark, sf_dir):
+    """The whitespace-collapsing tokeniser (JVM expression)."""
+    docs = table(spark, sf_dir, "documents")
+    return AG.words(docs, "text", "ruby", keep=("doc_id",))

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.records import keep_parsed
+
 # Fixed value: the category label of a deletion notice (compared ignoring
 # case) and the verb suffix that marks a deletion.
 DELETED_LABEL = "note deleted"
@@ -67,11 +69,11 @@ def parse_json_entries(df: DataFrame, col: str = "str") -> DataFrame:
     """``(id, tweet, published)``: id, ``object.summary`` and ``postedTime``
     as epoch ms. Malformed documents and rows missing any of them are dropped."""
     e = F.from_json(F.col(col), JSON_ENTRY_SCHEMA, {"mode": "PERMISSIVE"})
-    out = df.select(e.alias("e")).select(
+    return keep_parsed(df.select(e.alias("e")), [
         F.col("e.id").alias("id"),
         F.col("e.object.summary").alias("tweet"),
-        to_epoch_millis(F.col("e.postedTime")).alias("published"))
-    return out.dropna(subset=["id", "tweet", "published"])
+        to_epoch_millis(F.col("e.postedTime")).alias("published"),
+    ], ["id", "tweet", "published"])
 
 
 def parse_xml_entries(df: DataFrame, col: str = "str") -> DataFrame:
@@ -85,13 +87,13 @@ def parse_xml_entries(df: DataFrame, col: str = "str") -> DataFrame:
                          lambda c: F.lower(c["_label"]))
     deleted = (F.array_contains(labels, DELETED_LABEL)
                | F.coalesce(F.col("e.verb").endswith(DELETE_VERB_SUFFIX), F.lit(False)))
-    out = (df.select(e.alias("e"))
-           .where(F.col("e.id").isNotNull() & ~deleted)
-           .select(F.col("e.id").alias("id"),
-                   F.get(F.col("e.category"), 0)["_label"].alias("category"),
-                   F.col("e.object.content").alias("content"),
-                   to_epoch_millis(F.col("e.published")).alias("published")))
-    return out.where(F.col("published").isNotNull())
+    kept = F.when(~deleted, F.col("e.id"))
+    return keep_parsed(df.select(e.alias("e")), [
+        kept.alias("id"),
+        F.get(F.col("e.category"), 0)["_label"].alias("category"),
+        F.col("e.object.content").alias("content"),
+        to_epoch_millis(F.col("e.published")).alias("published"),
+    ], ["id", "published"])
 
 
 def xml_feed_events(df: DataFrame, col: str = "str") -> DataFrame:
@@ -100,11 +102,11 @@ def xml_feed_events(df: DataFrame, col: str = "str") -> DataFrame:
     from rivulet.functions.text import event_message
 
     e = F.from_xml(F.col(col), XML_ENTRY_SCHEMA, {"mode": "PERMISSIVE"})
-    out = df.select(e.alias("e")).where(F.col("e.id").isNotNull())
     href = F.get(F.col("e.link"), 0)["_href"]
-    return out.select(F.col("e.id").alias("id"), F.col("e.title").alias("title"),
-                      href.alias("href"),
-                      event_message(F.col("e.title"), href).alias("message"))
+    return keep_parsed(df.select(e.alias("e")), [
+        F.col("e.id").alias("id"), F.col("e.title").alias("title"), href.alias("href"),
+        event_message(F.col("e.title"), href).alias("message"),
+    ], ["id"])
 
 
 def rss_items(df: DataFrame, col: str = "xml", city: str = "city") -> DataFrame:
@@ -131,9 +133,12 @@ def geojson_features(df: DataFrame, col: str = "json",
     return f
 
 
-def read_geojson(spark, path: str, min_magnitude: float | None = 2.5) -> DataFrame:
-    """GeoJSON files (one FeatureCollection per file) to ``(time, mag)``."""
-    raw = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", "true").json(path)
+def read_geojson(spark, path: str, min_magnitude: float | None = 2.5,
+                 multi_line: bool = True) -> DataFrame:
+    """GeoJSON files to ``(time, mag)``: one FeatureCollection per file
+    (``multi_line``, as published by the feed) or one per line."""
+    raw = (spark.read.schema(GEOJSON_SCHEMA)
+           .option("multiLine", str(multi_line).lower()).json(path))
     f = raw.select(F.explode("features").alias("f")).select(
         F.col("f.properties.time").alias("time"), F.col("f.properties.mag").alias("mag"))
     if min_magnitude is not None:
