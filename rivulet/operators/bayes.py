@@ -3,8 +3,8 @@
 Training is two keyed counts over the flagged messages (tokens per
 (class, word) and messages per class); scoring joins each request's words to
 the per-word rates and multiplies them per request. Everything is a
-partial-aggregated ``groupBy`` or an equi-join; the class totals are a
-two-row table attached through a one-row broadcast.
+partial-aggregated ``groupBy`` or an equi-join; the two class totals are
+fetched by one small aggregation and enter the plan as literals.
 """
 
 from __future__ import annotations
@@ -43,25 +43,24 @@ def posterior(requests: DataFrame, word_counts: DataFrame, totals: DataFrame,
     rates = (word_counts.groupBy("word").agg(
         F.sum(F.when(F.col(flag), F.col("word_count")).otherwise(0)).alias("w1"),
         F.sum(F.when(~F.col(flag), F.col("word_count")).otherwise(0)).alias("w0")))
-    t = totals.agg(
+    # Class totals are two numbers: one small aggregation job fetches them and
+    # they enter the plan as literals (no join to a one-row table).
+    tt = totals.agg(
         F.coalesce(F.sum(F.when(F.col(flag), F.col("message_count"))), F.lit(0)).alias("t1"),
         F.coalesce(F.sum(F.when(~F.col(flag), F.col("message_count"))), F.lit(0)).alias("t0"),
-    ).withColumn("_one", F.lit(1))
+    ).first()
+    t1, t0 = F.lit(int(tt["t1"])).cast("bigint"), F.lit(int(tt["t0"])).cast("bigint")
 
     req_words = requests.select(
         request_id, F.explode(F.array_distinct(split_words(args, mode))).alias("word"))
     scored = (req_words.join(rates, "word", "inner")
-              .withColumn("_one", F.lit(1))
-              .join(F.broadcast(t), "_one")
               .select(request_id,
-                      F.try_divide(F.col("w1").cast("double"), F.col("t1")).alias("p1"),
-                      F.try_divide(F.col("w0").cast("double"), F.col("t0")).alias("p0")))
+                      F.try_divide(F.col("w1").cast("double"), t1).alias("p1"),
+                      F.try_divide(F.col("w0").cast("double"), t0).alias("p0")))
     products = scored.groupBy(request_id).agg(F.product("p1").alias("prod1"),
                                               F.product("p0").alias("prod0"))
-    out = (requests.select(request_id).distinct()
-           .join(products, request_id, "left")
-           .withColumn("_one", F.lit(1)).join(F.broadcast(t), "_one"))
-    prior = F.try_divide(F.col("t1").cast("double"), F.col("t1") + F.col("t0"))
+    out = requests.select(request_id).distinct().join(products, request_id, "left")
+    prior = F.try_divide(t1.cast("double"), t1 + t0)
     num = prior * F.coalesce(F.col("prod1"), F.lit(1.0))
     den = num + (F.lit(1.0) - prior) * F.coalesce(F.col("prod0"), F.lit(1.0))
     p = F.when(den == 0, F.lit(None).cast("double")).otherwise(F.try_divide(num, den))

@@ -86,14 +86,15 @@ def with_window_length(counts: DataFrame, events: DataFrame, ts: str,
     """Actual window length at each tick during warm-up.
 
     The counter starts at the slot of the earliest event; at tick k the
-    window covers min(k, slots) slots. The earliest slot is one scalar,
-    joined as a one-row broadcast on a constant key.
+    window covers min(k, slots) slots. The earliest slot is one number,
+    fetched by a small aggregation job and used as a literal.
     """
     _, width = window_geometry(window_seconds, emit_seconds)
-    first = events.agg(F.min(ts).alias("_t0")).select(
-        F.window("_t0", f"{int(emit_seconds)} seconds").start.alias("_first_start"),
-        F.lit(1).alias("_one"))
-    joined = counts.withColumn("_one", F.lit(1)).join(F.broadcast(first), "_one")
+    first = (events.agg(F.min(ts).alias("_t0"))
+             .select(F.window("_t0", f"{int(emit_seconds)} seconds").start.alias("s"))
+             .first()["s"])
+    if first is None:
+        return counts.withColumn(name, F.lit(None).cast("bigint"))
     length = F.least(F.lit(width).cast("bigint"),
-                     F.timestamp_diff("SECOND", F.col("_first_start"), F.col(end)))
-    return joined.withColumn(name, length).drop("_one", "_first_start")
+                     F.timestamp_diff("SECOND", F.lit(first), F.col(end)))
+    return counts.withColumn(name, length)
