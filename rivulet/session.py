@@ -73,19 +73,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rivulet", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# A scan with at most this many input splits may be spread over the cluster.
+SPREAD_MAX_SPLITS = 16
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Load one of the driver tables (``{sf_dir}/{name}.parquet``).
 
-    With ``spread``, a scan that yields fewer input partitions than the
-    cluster's parallelism (a file with a single row group is read by one
-    task) is redistributed round-robin, so the row-level work after it uses
-    every core. Column pruning and filters are still pushed below the
-    repartition into the scan. A large table already has enough splits and
-    is left alone.
+    With ``spread``, a small table whose scan yields fewer input partitions
+    than the cluster's parallelism (a file with a single row group is read
+    by one task) is redistributed round-robin, so the row-level work after
+    it uses every core. Column pruning and filters are still pushed below
+    the repartition into the scan. Only scans of at most ``SPREAD_MAX_SPLITS``
+    splits (each at most ``spark.sql.files.maxPartitionBytes``) qualify, so
+    the extra shuffle is bounded; a large table is read as it is split.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if spread:
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        n = df.rdd.getNumPartitions()
+        if n < target and n <= SPREAD_MAX_SPLITS:
             df = df.repartition(target)
     return df
