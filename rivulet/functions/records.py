@@ -80,6 +80,24 @@ def epoch_millis(ts) -> Column:
                             F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def utc_instant(ts) -> Column:
+    """``timestamp_ntz`` holding UTC wall time -> ``timestamp`` (instant),
+    whatever the session time zone (watermarks need a zoned timestamp)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_micros(
+        F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), ts))
+
+
+def utc_wall(ts) -> Column:
+    """``timestamp`` (instant) -> ``timestamp_ntz`` of its UTC wall time."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts),
+                           F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def hour_of_day(ts) -> Column:
     """Hour (0-23) of a timestamp in the session time zone (UTC)."""
     return F.hour(F.col(ts) if isinstance(ts, str) else ts)

@@ -90,11 +90,12 @@ def with_window_length(counts: DataFrame, events: DataFrame, ts: str,
     fetched by a small aggregation job and used as a literal.
     """
     _, width = window_geometry(window_seconds, emit_seconds)
-    first = (events.agg(F.min(ts).alias("_t0"))
-             .select(F.window("_t0", f"{int(emit_seconds)} seconds").start.alias("s"))
-             .first()["s"])
-    if first is None:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = lambda c: F.timestamp_diff("SECOND", epoch, c)
+    t0 = events.agg(seconds(F.min(ts)).alias("s")).first()["s"]
+    if t0 is None:
         return counts.withColumn(name, F.lit(None).cast("bigint"))
+    first_start = (int(t0) // emit_seconds) * emit_seconds
     length = F.least(F.lit(width).cast("bigint"),
-                     F.timestamp_diff("SECOND", F.lit(first), F.col(end)))
+                     seconds(F.col(end)) - F.lit(first_start).cast("bigint"))
     return counts.withColumn(name, length)

@@ -41,7 +41,7 @@ def _paths(spark, name):
 
 def _event_time(df, ts="ts"):
     # withWatermark needs a zoned timestamp; the tables hold UTC wall time.
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df.withColumn(ts, RC.utc_instant(ts))
 
 
 # ------------------------------------------------------------ aggregations
@@ -78,7 +78,7 @@ def _stream_window_counts(spark, sf_dir, keys):
     w = F.window("ts", f"{WINDOW_S} seconds", f"{EMIT_S} seconds")
     counts = (ev.withWatermark("ts", f"{WINDOW_S} seconds")
               .groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count")))
-    return counts.select(*keys, F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    return counts.select(*keys, RC.utc_wall("w.end").alias("window_end"),
                          F.col("count").cast("bigint"))
 
 
@@ -150,8 +150,7 @@ def stream_join_expiry(spark, sf_dir):
              .withWatermark("r_ts", "1 hour"))
     joined = JN.time_bounded_join(left, right, ["event_id"], "l_ts", "r_ts", JOIN_WITHIN_S)
     flat = joined.select(F.col("l.event_id").alias("event_id"), "user_id", "value",
-                         F.col("l_ts").cast("timestamp_ntz").alias("l_ts"),
-                         F.col("r_ts").cast("timestamp_ntz").alias("r_ts"))
+                         RC.utc_wall("l_ts").alias("l_ts"), RC.utc_wall("r_ts").alias("r_ts"))
     path = os.path.join(root, "out")
     SO.run_available(flat.writeStream.format("parquet").option("path", path)
                      .option("checkpointLocation", ckpt).outputMode("append"))
