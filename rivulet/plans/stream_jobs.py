@@ -225,7 +225,7 @@ _LISTING_BATCHES_SQL = r"""
                  SELECT b, city, link, price,
                         row_number() OVER (PARTITION BY b, city ORDER BY price, link) AS r
                  FROM best) WHERE r <= 5)
-  SELECT t.b AS batch_id, t.city, t.link, t.price FROM top t
+  SELECT CAST(t.b AS BIGINT) AS batch_id, t.city, t.link, t.price FROM top t
   LEFT JOIN top p ON p.b = t.b - 1 AND p.city = t.city AND p.link = t.link
                  AND p.price = t.price
   WHERE p.link IS NULL"""
