@@ -25,7 +25,7 @@ from rivulet.plans.derived import listings, render_stock_lines
 from rivulet.plans.registry import register
 from rivulet.plans.window_jobs import EMIT_S, WINDOW_S
 from rivulet.session import scratch_path, table
-from rivulet.sinks.tables import KeyedTable, last_wins_per_key
+from rivulet.sinks.tables import BatchLog, KeyedTable, last_wins_per_key
 from rivulet.sources import documents as DOC
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
@@ -176,16 +176,14 @@ SELECT event_id % 3 AS batch_id, count(*) AS n_rows FROM events GROUP BY 1""")
 def microbatch_source(spark, sf_dir):
     """Batched replay source: each micro-batch is one landed batch."""
     root, ckpt, stream = _staged_events(spark, sf_dir, "microbatch_source")
-    out = KeyedTable(spark, os.path.join(root, "sizes"), ["batch_id"])
+    out = BatchLog(spark, os.path.join(root, "sizes"))
 
     def record(batch_df, batch_id):
-        out.apply(batch_df.agg(F.count(F.lit(1)).alias("n_rows"))
-                  .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "n_rows"),
-                  batch_id)
+        out.write(batch_df.agg(F.count(F.lit(1)).alias("n_rows")), batch_id)
 
     SO.run_available(stream.writeStream.foreachBatch(record)
                      .option("checkpointLocation", ckpt))
-    return out.read()
+    return out.read().select("batch_id", "n_rows")
 
 
 @register("idempotent_total", """
@@ -195,9 +193,9 @@ def idempotent_total(spark, sf_dir):
     """Exactly-once running count: each batch applied twice, counted once."""
     root, ckpt, stream = _staged_events(spark, sf_dir, "idempotent_total")
     totals = KeyedTable(spark, os.path.join(root, "total"), ["key"])
-    history = KeyedTable(spark, os.path.join(root, "history"), ["batch_id"])
+    history = BatchLog(spark, os.path.join(root, "history"))
     SO.run_available(SO.running_total_writer(stream, totals, history, ckpt, replay=True))
-    return history.read()
+    return history.read().select("batch_id", "count")
 
 
 @register("stream_count_with_prev", TJ._CWP_SQL)
@@ -205,7 +203,7 @@ def stream_count_with_prev(spark, sf_dir):
     """Keyed counts with the previous value, per micro-batch, replayed twice."""
     root, ckpt, stream = _staged_events(spark, sf_dir, "stream_count_with_prev")
     state = KeyedTable(spark, os.path.join(root, "state"), ["user_id"])
-    updates = KeyedTable(spark, os.path.join(root, "updates"), ["user_id", "batch_id"])
+    updates = BatchLog(spark, os.path.join(root, "updates"))
     SO.run_available(SO.keyed_count_writer(stream, "user_id", state, updates, ckpt,
                                            replay=True))
     return updates.read().select("user_id", "batch_id", "count", "prev_count")
@@ -248,7 +246,7 @@ def lowest_n_changes(spark, sf_dir):
     schema = priced.drop("batch").schema
     stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), schema, per_batch)
     lists = KeyedTable(spark, os.path.join(root, "lists"), ["city", "link"])
-    changes = KeyedTable(spark, os.path.join(root, "changes"), ["batch_id", "city", "link"])
+    changes = BatchLog(spark, os.path.join(root, "changes"))
     SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 5, lists,
                                         changes, ckpt))
     return changes.read().select("batch_id", "city", "link", "price")

@@ -128,3 +128,26 @@ class KeyedTable:
 def add(old: Column, new: Column) -> Column:
     """Merge function: running sum (missing side counts 0)."""
     return F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))
+
+
+class BatchLog:
+    """Append-only per-batch output (change feeds, update feeds, histories).
+
+    Batch ``b`` is written to its own partition ``batch_id=b`` with overwrite,
+    so a replayed batch replaces its own output and nothing else; writing a
+    batch costs the size of the batch, not of the history.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.drop("batch_id").write.mode("overwrite").parquet(
+            os.path.join(self.path, f"batch_id={int(batch_id)}"))
+
+    def read(self) -> DataFrame | None:
+        try:
+            df = self.spark.read.parquet(self.path)
+        except AnalysisException:
+            return None
+        return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.sinks.tables import KeyedTable, add
+from rivulet.sinks.tables import BatchLog, KeyedTable, add
 
 
 class StreamTimeout(RuntimeError):
@@ -54,7 +54,7 @@ def upsert_writer(df: DataFrame, table: KeyedTable, checkpoint: str,
             .option("checkpointLocation", checkpoint))
 
 
-def running_total_writer(df: DataFrame, totals: KeyedTable, history: KeyedTable,
+def running_total_writer(df: DataFrame, totals: KeyedTable, history: BatchLog,
                          checkpoint: str, replay: bool = False):
     """Exactly-once running row count.
 
@@ -68,14 +68,12 @@ def running_total_writer(df: DataFrame, totals: KeyedTable, history: KeyedTable,
         for _ in range(2 if replay else 1):
             n = batch_df.agg(F.count(F.lit(1)).alias("count")).withColumn("key", F.lit("total"))
             if totals.apply(n.select("key", "count"), batch_id, merge={"count": add}):
-                now = totals.read().select(F.lit(batch_id).cast("bigint").alias("batch_id"),
-                                           F.col("count").cast("bigint"))
-                history.apply(now, batch_id)
+                history.write(totals.read().select(F.col("count").cast("bigint")), batch_id)
 
     return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
-def keyed_count_writer(df: DataFrame, key: str, state: KeyedTable, updates: KeyedTable,
+def keyed_count_writer(df: DataFrame, key: str, state: KeyedTable, updates: BatchLog,
                        checkpoint: str, replay: bool = False):
     """Keyed counts with their previous value, per micro-batch.
 
@@ -97,8 +95,9 @@ def keyed_count_writer(df: DataFrame, key: str, state: KeyedTable, updates: Keye
                 key, F.lit(batch_id).cast("bigint").alias("batch_id"),
                 (F.coalesce("prev_count", F.lit(0)) + F.col("n")).cast("bigint").alias("count"),
                 F.col("prev_count").cast("bigint"))
-            # Updates are keyed by (key, batch_id): re-applying is harmless.
-            updates.apply(out, batch_id)
+            # The update feed of batch b is its own partition: rewriting it on a
+            # replay (state not yet advanced) is harmless.
+            updates.write(out, batch_id)
             state.apply(n.select(key, F.col("n").cast("bigint").alias("count")), batch_id,
                         merge={"count": add})
 
@@ -106,7 +105,7 @@ def keyed_count_writer(df: DataFrame, key: str, state: KeyedTable, updates: Keye
 
 
 def lowest_n_writer(df: DataFrame, group: str, link: str, number: str, n: int,
-                    lists: KeyedTable, changes: KeyedTable, checkpoint: str,
+                    lists: KeyedTable, changes: BatchLog, checkpoint: str,
                     carry=()):
     """Per-group lowest-N lists; emit only the entries that entered a list.
 
@@ -134,8 +133,7 @@ def lowest_n_writer(df: DataFrame, group: str, link: str, number: str, n: int,
         top = top.cache()
         entered = top if cur is None else top.join(cur.select(group, link, number),
                                                     [group, link, number], "left_anti")
-        changes.apply(entered.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                      batch_id)
+        changes.write(entered, batch_id)
         # Entries pushed out of a list disappear: the lists (at most n rows
         # per group) are replaced as a whole.
         lists.replace(top, batch_id)

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregates as AG
-from rivulet.sinks.tables import KeyedTable, add
+from rivulet.sinks.tables import BatchLog, KeyedTable, add
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
 from tests.conftest import rows
@@ -49,16 +49,16 @@ def test_keyed_table_order_keeps_latest(spark, tmp_dir):
 def test_running_total_exactly_once(spark, tmp_dir):
     stream = _stage_words(spark, tmp_dir)
     totals = KeyedTable(spark, os.path.join(tmp_dir, "tot"), ["key"])
-    hist = KeyedTable(spark, os.path.join(tmp_dir, "hist"), ["batch_id"])
+    hist = BatchLog(spark, os.path.join(tmp_dir, "hist"))
     SO.run_available(SO.running_total_writer(stream, totals, hist,
                                              os.path.join(tmp_dir, "ck"), replay=True))
-    assert rows(hist.read()) == [(0, 9), (1, 16), (2, 19)]
+    assert rows(hist.read(), "batch_id", "count") == [(0, 9), (1, 16), (2, 19)]
 
 
 def test_keyed_counts_with_prev_stream(spark, tmp_dir):
     stream = _stage_words(spark, tmp_dir)
     state = KeyedTable(spark, os.path.join(tmp_dir, "s"), ["word"])
-    upd = KeyedTable(spark, os.path.join(tmp_dir, "u"), ["word", "batch_id"])
+    upd = BatchLog(spark, os.path.join(tmp_dir, "u"))
     SO.run_available(SO.keyed_count_writer(stream, "word", state, upd,
                                            os.path.join(tmp_dir, "ck"), replay=True))
     got = rows(upd.read().where("word = 'cat'"), "batch_id", "count", "prev_count")
@@ -95,7 +95,7 @@ def test_lowest_n_change_feed(spark, tmp_dir):
     stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"),
                                "city string, link string, price int", per)
     lists = KeyedTable(spark, os.path.join(tmp_dir, "lists"), ["city", "link"])
-    changes = KeyedTable(spark, os.path.join(tmp_dir, "chg"), ["batch_id", "city", "link"])
+    changes = BatchLog(spark, os.path.join(tmp_dir, "chg"))
     SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 2, lists, changes,
                                         os.path.join(tmp_dir, "ck")))
     got = rows(changes.read(), "batch_id", "link")
