@@ -110,17 +110,18 @@ SELECT window_end, user_id, count, rank FROM (
         GROUP BY ALL))
 WHERE rank <= 5""")
 def stream_rolling_top_n(spark, sf_dir):
-    """Rolling top 5: window counts kept as state, ranked per window tick.
+    """Rolling top 5 per window tick, ranked inside each micro-batch.
 
-    Ranking a streaming DataFrame is not allowed, so the counts are upserted
-    per micro-batch and the ranking runs over the landed counts.
+    Ranking a streaming DataFrame is not allowed, so every micro-batch
+    upserts its updated window counts and re-ranks the windows it touched.
     """
     root, ckpt = _paths(spark, "stream_rolling_top_n")
     counts = _stream_window_counts(spark, sf_dir, ["user_id"])
-    out = KeyedTable(spark, os.path.join(root, "table"), ["user_id", "window_end"])
-    SO.run_available(SO.upsert_writer(counts, out, ckpt))
-    return TK.top_by_count(out.read(), "user_id", 5, by=["window_end"]).select(
-        "window_end", "user_id", "count", "rank")
+    stored = KeyedTable(spark, os.path.join(root, "counts"), ["user_id", "window_end"])
+    ranks = KeyedTable(spark, os.path.join(root, "rankings"), ["window_end", "rank"])
+    SO.run_available(SO.rolling_top_n_writer(counts, "user_id", "window_end", 5,
+                                             stored, ranks, ckpt))
+    return ranks.read().select("window_end", "user_id", "count", "rank")
 
 
 # ------------------------------------------------------------ stream join

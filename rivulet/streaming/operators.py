@@ -142,6 +142,32 @@ def lowest_n_writer(df: DataFrame, group: str, link: str, number: str, n: int,
     return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
+def rolling_top_n_writer(df: DataFrame, obj: str, window: str, n: int,
+                         counts: KeyedTable, rankings: KeyedTable, checkpoint: str,
+                         count: str = "count"):
+    """Rolling top-N emitted per micro-batch.
+
+    Each batch carries the updated ``(obj, window, count)`` rows of an
+    update-mode windowed count. They are upserted into ``counts``; then only
+    the windows touched by the batch are re-ranked (count desc, object asc)
+    from the stored counts and their rankings upserted, keyed by
+    (window, rank). Counts only grow, so a window's list never shrinks.
+    """
+    from rivulet.operators.topk import top_by_count
+
+    def apply(batch_df: DataFrame, batch_id: int) -> None:
+        if batch_id <= rankings.version():
+            return
+        counts.apply(batch_df, batch_id)
+        touched = batch_df.select(window).distinct()
+        current = counts.read().join(touched, window, "left_semi")
+        ranked = top_by_count(current, obj, n, by=[window], count=count)
+        rankings.apply(ranked.select(window, "rank", obj, count), batch_id)
+
+    return (df.writeStream.outputMode("update").foreachBatch(apply)
+            .option("checkpointLocation", checkpoint))
+
+
 def read_table(spark: SparkSession, table: KeyedTable) -> DataFrame:
     out = table.read()
     if out is None:

@@ -121,3 +121,31 @@ def test_stream_join_watermarks(spark, tmp_dir):
     SO.run_available(j.writeStream.format("parquet").option("path", out)
                      .option("checkpointLocation", os.path.join(tmp_dir, "ck")))
     assert rows(spark.read.parquet(out)) == [(1,)]
+
+
+def test_rolling_top_n_ranked_per_batch(spark, tmp_dir):
+    from rivulet.operators import topk as TK
+    from rivulet.operators import windows as WN
+
+    ev = [(0, "u1", "2024-01-01 00:10:00"), (0, "u1", "2024-01-01 00:20:00"),
+          (0, "u2", "2024-01-01 00:30:00"),
+          (1, "u2", "2024-01-01 00:40:00"), (1, "u2", "2024-01-01 00:50:00"),
+          (1, "u3", "2024-01-01 01:10:00")]
+    df = spark.createDataFrame(ev, "batch int, user string, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+    land = os.path.join(tmp_dir, "land")
+    per = SS.stage_microbatches(df, "batch", [0, 1], land, 1)
+    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), "user string, ts timestamp", per)
+    w = F.window("ts", "2 hours", "1 hour")
+    counts = (stream.withWatermark("ts", "2 hours").groupBy(w.alias("w"), "user")
+              .agg(F.count(F.lit(1)).alias("count"))
+              .select("user", F.col("w.end").alias("window_end"), "count"))
+    stored = KeyedTable(spark, os.path.join(tmp_dir, "c"), ["user", "window_end"])
+    ranks = KeyedTable(spark, os.path.join(tmp_dir, "r"), ["window_end", "rank"])
+    SO.run_available(SO.rolling_top_n_writer(counts, "user", "window_end", 2, stored, ranks,
+                                             os.path.join(tmp_dir, "ck")))
+    batch = WN.rolling_count(df.drop("batch"), "ts", ["user"], 7200, 3600)
+    want = rows(TK.top_by_count(batch, "user", 2, by=["window_end"]),
+                "window_end", "rank", "user", "count")
+    assert rows(ranks.read(), "window_end", "rank", "user", "count") == want
+    assert ranks.version() >= 1   # ranked in more than one micro-batch
