@@ -90,8 +90,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if spread:
-        target = spark.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
+        try:
+            target = spark.sparkContext.defaultParallelism
+            n = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no RDD view
+            return df
         if n < target and n <= SPREAD_MAX_SPLITS:
             df = df.repartition(target)
     return df

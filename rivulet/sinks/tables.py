@@ -53,6 +53,9 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str]):
         self.spark, self.path, self.keys = spark, path, list(keys)
+        # Latest committed version as known to this (single) writer; read
+        # from storage on first use, so a restarted writer resumes correctly.
+        self._version: int | None = None
 
     def _snapshot(self, version: int) -> str:
         return os.path.join(self.path, f"v={version:012d}")
@@ -62,12 +65,14 @@ class KeyedTable:
 
     def version(self) -> int:
         """Latest committed batch id, -1 when empty."""
-        try:
-            row = (self.spark.read.text(self._marker_dir())
-                   .agg(F.max(F.col("value").cast("bigint")).alias("v")).first())
-        except AnalysisException:
-            return -1
-        return -1 if row is None or row["v"] is None else int(row["v"])
+        if self._version is None:
+            try:
+                row = (self.spark.read.text(self._marker_dir())
+                       .agg(F.max(F.col("value").cast("bigint")).alias("v")).first())
+            except AnalysisException:
+                row = None
+            self._version = -1 if row is None or row["v"] is None else int(row["v"])
+        return self._version
 
     def read(self) -> DataFrame | None:
         v = self.version()
@@ -123,6 +128,7 @@ class KeyedTable:
         (self.spark.createDataFrame([(str(batch_id),)], "value string")
          .write.mode("overwrite")
          .text(os.path.join(self._marker_dir(), f"b={batch_id:012d}")))
+        self._version = batch_id
 
 
 def add(old: Column, new: Column) -> Column:
