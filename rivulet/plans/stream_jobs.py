@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from rivulet.functions import records as RC
 from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
-from rivulet.operators import topk as TK
 from rivulet.operators import windows as WN
 from rivulet.plans import derived as DV
 from rivulet.plans import table_jobs as TJ

@@ -62,8 +62,6 @@ def running_total_writer(df: DataFrame, totals: KeyedTable, history: BatchLog,
     the stored total only if its id is newer than the stored one, and
     records ``(batch_id, count)`` after the batch.
     """
-    spark = df.sparkSession
-
     def apply(batch_df: DataFrame, batch_id: int) -> None:
         for _ in range(2 if replay else 1):
             n = batch_df.agg(F.count(F.lit(1)).alias("count")).withColumn("key", F.lit("total"))

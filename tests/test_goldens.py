@@ -216,3 +216,19 @@ def test_time_bounded_join(spark):
     assert [r[0] for r in out.select("l.k").collect()] == [1]
     outer = JN.time_bounded_join(left, right, ["k"], "lt", "rt", 60, how="left_outer")
     assert outer.count() == 2
+
+
+def test_max_by_key_nan_wins(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), ("y", -5.0)], "k string, v double")
+    got = {r["k"]: r["m"] for r in AG.max_by_key(df, ["k"], "v", "m").collect()}
+    assert got["y"] == -5.0 and got["x"] != got["x"]      # NaN is the maximum
+
+
+def test_first_n_direction_and_global_top(spark):
+    df = spark.createDataFrame([("p", "b"), ("p", "a"), ("p", "c"), ("q", "z")], "g string, w string")
+    asc = rows(TK.first_n_per_partition(df, "g", "w", 2), "g", "w", "rank")
+    desc = rows(TK.first_n_per_partition(df, "g", "w", 1, ascending=False), "g", "w")
+    assert asc == [("p", "a", 1), ("p", "b", 2), ("q", "z", 1)]
+    assert desc == [("p", "c"), ("q", "z")]
+    top = TK.top_n(df, 2, ["w"]).orderBy("rank").collect()
+    assert [(r["w"], r["rank"]) for r in top] == [("a", 1), ("b", 2)]
