@@ -198,7 +198,7 @@ def idempotent_total(spark, sf_dir):
     return history.read().select("batch_id", "count")
 
 
-@register("stream_count_with_prev", TJ._CWP_SQL)
+@register("stream_count_with_prev", TJ._CWP_OUT_SQL)
 def stream_count_with_prev(spark, sf_dir):
     """Keyed counts with the previous value, per micro-batch, replayed twice."""
     root, ckpt, stream = _staged_events(spark, sf_dir, "stream_count_with_prev")
@@ -206,7 +206,8 @@ def stream_count_with_prev(spark, sf_dir):
     updates = BatchLog(spark, os.path.join(root, "updates"))
     SO.run_available(SO.keyed_count_writer(stream, "user_id", state, updates, ckpt,
                                            replay=True))
-    return updates.read().select("user_id", "batch_id", "count", "prev_count")
+    return updates.read().select("user_id", "batch_id", "count",
+                                 F.col("prev_count").cast("double"))
 
 
 _LISTING_BATCHES_SQL = r"""

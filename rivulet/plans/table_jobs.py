@@ -344,10 +344,18 @@ _CWP_SQL = """
          CAST(lag(count) OVER (PARTITION BY user_id ORDER BY batch_id) AS BIGINT) AS prev_count
   FROM r"""
 
+# Registered outputs carry the nullable previous count as DOUBLE: pandas turns a
+# nullable BIGINT into float64/NaN on the Spark side and Int64/NA on DuckDB's, so
+# the same values would compare unequal. The operators keep BIGINT.
+_CWP_OUT_SQL = f"""
+  SELECT user_id, batch_id, count, CAST(prev_count AS DOUBLE) AS prev_count
+  FROM ({_CWP_SQL})"""
 
-@register("count_with_prev", _CWP_SQL)
+
+@register("count_with_prev", _CWP_OUT_SQL)
 def count_with_prev(spark, sf_dir):
-    return AG.count_with_prev(_batched_events(spark, sf_dir), "user_id", "batch_id")
+    out = AG.count_with_prev(_batched_events(spark, sf_dir), "user_id", "batch_id")
+    return out.withColumn("prev_count", F.col("prev_count").cast("double"))
 
 
 @register("count_histogram", """
