@@ -149,3 +149,37 @@ def test_rolling_top_n_ranked_per_batch(spark, tmp_dir):
                 "window_end", "rank", "user", "count")
     assert rows(ranks.read(), "window_end", "rank", "user", "count") == want
     assert ranks.version() >= 1   # ranked in more than one micro-batch
+
+
+def test_stream_outer_join_exposes_expired_side(spark, tmp_dir):
+    """A left row whose partner does not arrive within the bound is emitted
+    with a NULL right side once the watermark passes it (the expiry of a
+    pending side)."""
+    from rivulet.operators.joins import time_bounded_join
+
+    land_l, land_r = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "r")
+    # k=1 matches; k=2's partner is 2 h late; k=9 rows only move the watermarks on.
+    spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")],
+                          "k int, lt string").write.parquet(os.path.join(land_l, "a"))
+    spark.createDataFrame([(1, "2024-01-01 00:10:00"), (2, "2024-01-01 02:00:00")],
+                          "k int, rt string").write.parquet(os.path.join(land_r, "a"))
+    ck, out = os.path.join(tmp_dir, "ck"), os.path.join(tmp_dir, "out")
+
+    def run():
+        left = (SS.parquet_stream(spark, os.path.join(land_l, "*"), "k int, lt string")
+                .withColumn("lt", F.col("lt").cast("timestamp")).withWatermark("lt", "30 minutes"))
+        right = (SS.parquet_stream(spark, os.path.join(land_r, "*"), "k int, rt string")
+                 .withColumn("rt", F.col("rt").cast("timestamp")).withWatermark("rt", "30 minutes"))
+        j = time_bounded_join(left, right, ["k"], "lt", "rt", 1800, how="left_outer").select(
+            F.col("l.k").alias("k"), F.col("r.k").alias("rk"))
+        SO.run_available(j.writeStream.format("parquet").option("path", out)
+                         .option("checkpointLocation", ck))
+
+    run()
+    spark.createDataFrame([(9, "2024-01-02 00:00:00")], "k int, lt string").write.parquet(
+        os.path.join(land_l, "b"))
+    spark.createDataFrame([(9, "2024-01-02 00:00:00")], "k int, rt string").write.parquet(
+        os.path.join(land_r, "b"))
+    run()
+    got = [r for r in rows(spark.read.parquet(out)) if r[0] != 9]
+    assert got == [(1, 1), (2, None)]
