@@ -50,7 +50,7 @@ SELECT word, count(*) AS count FROM ({JAVA_WORDS_SQL}) GROUP BY word""")
 def stream_word_count(spark, sf_dir):
     """Running word counts, update mode, upserted per micro-batch."""
     root, ckpt = _paths(spark, "stream_word_count")
-    docs = SS.table_stream(spark, sf_dir, "documents")
+    docs = SS.table_stream(spark, sf_dir, "documents", spread=True)
     counts = AG.word_count(docs, "text", "java")
     out = KeyedTable(spark, os.path.join(root, "table"), ["word"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt, replay=True))

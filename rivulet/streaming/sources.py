@@ -8,20 +8,35 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.session import SPREAD_MAX_SPLITS
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 spread: bool = False) -> DataFrame:
     """A driver table (``{sf_dir}/{name}.parquet``) as a Parquet file stream.
 
     The schema is taken from the batch table; the glob filter picks the one
-    file out of the shared directory.
+    file out of the shared directory. With ``spread`` (for CPU-heavy row
+    work such as tokenising), a small file that is read by fewer tasks than
+    there are cores is redistributed round-robin inside each micro-batch.
     """
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    r = (spark.readStream.schema(schema)
+    batch = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    r = (spark.readStream.schema(batch.schema)
          .option("pathGlobFilter", f"{name}.parquet"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    stream = r.parquet(sf_dir)
+    if not spread:
+        return stream
+    try:
+        target = spark.sparkContext.defaultParallelism
+        n = batch.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+        return stream
+    if n < target and n <= SPREAD_MAX_SPLITS:
+        stream = stream.repartition(target)
+    return stream
 
 
 def parquet_stream(spark: SparkSession, path: str, schema,
