@@ -18,7 +18,9 @@ from rivulet.functions import records as RC
 from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import windows as WN
+from rivulet.operators import bayes as BY
 from rivulet.plans import derived as DV
+from rivulet.plans import quake as QK
 from rivulet.plans import table_jobs as TJ
 from rivulet.plans.derived import listings, render_stock_lines
 from rivulet.plans.registry import register
@@ -374,3 +376,40 @@ def stream_xml_feed(spark, sf_dir):
     SO.run_available(msgs.writeStream.format("parquet").option("path", out)
                      .option("checkpointLocation", ckpt))
     return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------ proximity classifier
+
+@register("stream_near_word_counts", f"""
+SELECT near, word, count(*) AS word_count
+FROM (SELECT near, unnest({QK._JAVA_SPLIT}) AS word FROM ({QK._FLAGGED_SQL}))
+GROUP BY near, word""")
+def stream_near_word_counts(spark, sf_dir):
+    """The classifier's persistent state as a stream: messages arrive as a
+    stream, are flagged by a stream-static join against the quake summary,
+    and their words are counted per class in update mode."""
+    root, ckpt = _paths(spark, "stream_near_word_counts")
+    ev = SS.table_stream(spark, sf_dir, "events")
+    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
+    msgs = ev.where(~is_quake).select(
+        "event_id", F.concat_ws(" ", "event_type", "props").alias("tweet"),
+        RC.epoch_millis("ts").alias("published"))
+    flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
+    counts = BY.class_word_counts(flagged, "tweet")
+    out = KeyedTable(spark, os.path.join(root, "table"), ["near", "word"])
+    SO.run_available(SO.upsert_writer(counts, out, ckpt))
+    return out.read()
+
+
+@register("stream_near_totals", f"""
+SELECT near, count(*) AS message_count FROM ({QK._FLAGGED_SQL}) GROUP BY near""")
+def stream_near_totals(spark, sf_dir):
+    """Messages per class, maintained by the same flagged stream."""
+    root, ckpt = _paths(spark, "stream_near_totals")
+    ev = SS.table_stream(spark, sf_dir, "events")
+    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
+    msgs = ev.where(~is_quake).select("event_id", RC.epoch_millis("ts").alias("published"))
+    flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
+    out = KeyedTable(spark, os.path.join(root, "table"), ["near"])
+    SO.run_available(SO.upsert_writer(BY.class_totals(flagged), out, ckpt))
+    return out.read()
