@@ -101,7 +101,8 @@ class KeyedTable:
             new = batch.withColumn("_has_new", F.lit(True))
             j = old.join(new, self.keys, "full_outer")
             if order:
-                take_new = F.col(order) >= F.col(f"_old_{order}")
+                take_new = (F.col(f"_old_{order}").isNull()
+                            | (F.col(order) >= F.col(f"_old_{order}")))
             cols = []
             for c in values:
                 o, n = F.col(f"_old_{c}"), F.col(c)
