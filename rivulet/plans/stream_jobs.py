@@ -26,7 +26,7 @@ from rivulet.plans.derived import listings, render_stock_lines
 from rivulet.plans.registry import register
 from rivulet.plans.window_jobs import EMIT_S, WINDOW_S
 from rivulet.session import scratch_path, table
-from rivulet.sinks.tables import BatchLog, KeyedTable, last_wins_per_key
+from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog, last_wins_per_key
 from rivulet.sources import documents as DOC
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
@@ -54,9 +54,9 @@ def stream_word_count(spark, sf_dir):
     root, ckpt = _paths(spark, "stream_word_count")
     docs = SS.table_stream(spark, sf_dir, "documents", spread=True)
     counts = AG.word_count(docs, "text", "java")
-    out = KeyedTable(spark, os.path.join(root, "table"), ["word"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["word"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt, replay=True))
-    return out.read()
+    return out.latest()
 
 
 @register("stream_max_by_symbol", """
@@ -69,9 +69,9 @@ def stream_max_by_symbol(spark, sf_dir):
     lines = render_stock_lines(SS.table_stream(spark, sf_dir, "lineitem"))
     best = AG.max_by_key(RC.parse_stock_line(lines), ["exchange", "symbol"],
                          "market_cap", "market_cap")
-    out = KeyedTable(spark, os.path.join(root, "table"), ["exchange", "symbol"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["exchange", "symbol"])
     SO.run_available(SO.upsert_writer(best, out, ckpt))
-    return out.read()
+    return out.latest()
 
 
 def _stream_window_counts(spark, sf_dir, keys):
@@ -94,9 +94,9 @@ def stream_rolling_count(spark, sf_dir):
     """Sliding event-time window counts with a watermark (9 h every 3 h)."""
     root, ckpt = _paths(spark, "stream_rolling_count")
     counts = _stream_window_counts(spark, sf_dir, ["event_type"])
-    out = KeyedTable(spark, os.path.join(root, "table"), ["event_type", "window_end"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["event_type", "window_end"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt))
-    return out.read()
+    return out.latest()
 
 
 @register("stream_rolling_top_n", """
@@ -285,13 +285,13 @@ def tick_trigger(spark, sf_dir):
     root, ckpt = _paths(spark, "tick_trigger")
     ev = SS.table_stream(spark, sf_dir, "events")
     counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
-    out = KeyedTable(spark, os.path.join(root, "table"), ["event_type"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["event_type"])
     q = SO.upsert_writer(counts, out, ckpt).trigger(processingTime="1 second").start()
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    return out.read()
+    return out.latest()
 
 
 # ------------------------------------------------------------ keyed upsert
@@ -347,9 +347,9 @@ def stream_rolling_count_zeros(spark, sf_dir):
     root, ckpt = _paths(spark, "stream_rolling_count_zeros")
     keys = ["event_type", "user_id"]
     counts = _stream_window_counts(spark, sf_dir, keys)
-    out = KeyedTable(spark, os.path.join(root, "table"), keys + ["window_end"])
+    out = UpdateLog(spark, os.path.join(root, "table"), keys + ["window_end"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt))
-    return WN.with_zero_rows(out.read(), keys, EMIT_S)
+    return WN.with_zero_rows(out.latest(), keys, EMIT_S)
 
 
 @register("stream_xml_feed", """
@@ -396,9 +396,9 @@ def stream_near_word_counts(spark, sf_dir):
         RC.epoch_millis("ts").alias("published"))
     flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
     counts = BY.class_word_counts(flagged, "tweet")
-    out = KeyedTable(spark, os.path.join(root, "table"), ["near", "word"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["near", "word"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt))
-    return out.read()
+    return out.latest()
 
 
 @register("stream_near_totals", f"""
@@ -410,6 +410,6 @@ def stream_near_totals(spark, sf_dir):
     is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
     msgs = ev.where(~is_quake).select("event_id", RC.epoch_millis("ts").alias("published"))
     flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
-    out = KeyedTable(spark, os.path.join(root, "table"), ["near"])
+    out = UpdateLog(spark, os.path.join(root, "table"), ["near"])
     SO.run_available(SO.upsert_writer(BY.class_totals(flagged), out, ckpt))
-    return out.read()
+    return out.latest()

@@ -158,3 +158,24 @@ class BatchLog:
         except AnalysisException:
             return None
         return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+class UpdateLog(BatchLog):
+    """Keyed table kept as a log of per-batch updates.
+
+    An update-mode streaming aggregation already holds the full aggregate in
+    its state store; the sink only has to keep the rows each batch updated.
+    Each batch is written to its own partition (O(batch), idempotent on a
+    replay) and :meth:`latest` resolves the newest row per key with a
+    partial-aggregated ``max_by`` over the log.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        super().__init__(spark, path)
+        self.keys = list(keys)
+
+    def latest(self) -> DataFrame | None:
+        log = self.read()
+        if log is None:
+            return None
+        return last_wins_per_key(log, self.keys, "batch_id").drop("batch_id")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.sinks.tables import BatchLog, KeyedTable, add
+from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog, add
 
 
 class StreamTimeout(RuntimeError):
@@ -38,17 +38,21 @@ def run_available(writer, timeout_s: int = 900):
     return q
 
 
-def upsert_writer(df: DataFrame, table: KeyedTable, checkpoint: str,
+def upsert_writer(df: DataFrame, table: KeyedTable | UpdateLog, checkpoint: str,
                   merge=None, order: str | None = None, replay: bool = False):
     """Update-mode stream into a keyed table (exactly-once per batch id).
 
-    ``replay`` applies every micro-batch twice, as a failed-and-retried
-    batch would be; the batch-id guard makes the second apply a no-op.
+    With an :class:`UpdateLog` each batch appends its updated rows to its own
+    partition; with a :class:`KeyedTable` the batch is merged into a new
+    snapshot. ``replay`` applies every micro-batch twice, as a failed and
+    retried batch would be; both sinks make the second apply a no-op.
     """
     def apply(batch_df: DataFrame, batch_id: int) -> None:
-        table.apply(batch_df, batch_id, merge=merge, order=order)
-        if replay:
-            table.apply(batch_df, batch_id, merge=merge, order=order)
+        for _ in range(2 if replay else 1):
+            if isinstance(table, UpdateLog):
+                table.write(batch_df, batch_id)
+            else:
+                table.apply(batch_df, batch_id, merge=merge, order=order)
 
     return (df.writeStream.outputMode("update").foreachBatch(apply)
             .option("checkpointLocation", checkpoint))

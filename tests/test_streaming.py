@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregates as AG
-from rivulet.sinks.tables import BatchLog, KeyedTable, add
+from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog, add
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
 from tests.conftest import rows
@@ -183,3 +183,21 @@ def test_stream_outer_join_exposes_expired_side(spark, tmp_dir):
     run()
     got = [r for r in rows(spark.read.parquet(out)) if r[0] != 9]
     assert got == [(1, 1), (2, None)]
+
+
+def test_update_log_restart_and_replay(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([("a b a",)], "text string").write.parquet(os.path.join(land, "1"))
+    ck = os.path.join(tmp_dir, "ck")
+    out = UpdateLog(spark, os.path.join(tmp_dir, "log"), ["word"])
+
+    def run():
+        s = SS.parquet_stream(spark, os.path.join(land, "*"), "text string")
+        SO.run_available(SO.upsert_writer(AG.word_count(s, "text"), out, ck, replay=True))
+
+    run()
+    spark.createDataFrame([("b c",)], "text string").write.parquet(os.path.join(land, "2"))
+    run()
+    assert dict(rows(out.latest())) == {"a": 2, "b": 2, "c": 1}
+    # the second batch only wrote the keys it updated
+    assert rows(out.read().where("batch_id = 1"), "word", "count") == [("b", 2), ("c", 1)]
