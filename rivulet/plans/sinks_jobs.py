@@ -52,12 +52,12 @@ def stream_file_copy(spark, sf_dir):
     return FS.line_scan(spark, dst)
 
 
-@register("bus_sink")
+@register("bus_sink", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def bus_sink(spark, sf_dir):
     """File -> topic copy: the records a Kafka sink would receive (``value``
     = the line), with the writer configured for topic ``lines``. The
     connector and a broker are not available here, so the configured writer
-    is built but not started (rows-only check)."""
+    is built but not started."""
     path = _land_documents(spark, sf_dir, scratch_path(spark, "bus_sink"))
     lines = FS.line_scan(spark, path)
     SK.bus_sink(lines, "localhost:9092", "lines")  # configured, not started

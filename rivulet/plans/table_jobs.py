@@ -3,6 +3,7 @@ keyed aggregates, rankings and reports."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rivulet.functions import records as RC
@@ -391,11 +392,17 @@ def hour_of_day(spark, sf_dir):
     return ev.select("event_id", RC.hour_of_day("ts").alias("hour"))
 
 
-@register("repartition_checks")
+@register("repartition_checks", """
+SELECT event_id, user_id, true AS same_partition FROM events""")
 def repartition_checks(spark, sf_dir):
-    """Random and hash redistribution (rows-only): every row survives a
-    round-robin repartition followed by a hash repartition on user_id."""
+    """Random, then hash redistribution: every row survives, and after the
+    hash repartition on user_id all rows of a user sit in one partition.
+    (Catalyst collapses the two adjacent repartitions into the hash one.)
+    The check is a window on user_id, which reuses that partitioning."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id")
     n = spark.sparkContext.defaultParallelism
-    return (ev.repartition(n).repartition(n, "user_id")
-            .withColumn("partition", F.spark_partition_id()))
+    parted = (ev.repartition(n).repartition(n, "user_id")
+              .withColumn("_p", F.spark_partition_id()))
+    w = Window.partitionBy("user_id")
+    return parted.select("event_id", "user_id",
+                         (F.min("_p").over(w) == F.max("_p").over(w)).alias("same_partition"))
