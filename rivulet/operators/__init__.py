@@ -1 +1 @@
-
+"""Relational operators: aggregations, joins, reach, windows, rankings, Bayes."""

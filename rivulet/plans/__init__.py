@@ -1 +1 @@
-
+"""Registered queries over the driver tables and their SQL oracles."""

@@ -1 +1 @@
-
+"""Structured Streaming sources and foreachBatch writers."""
