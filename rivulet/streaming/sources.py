@@ -4,6 +4,7 @@ message-bus readers and micro-batch staging."""
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,12 +85,17 @@ def stage_microbatches(df: DataFrame, batch_col: str, batches: list, path: str,
 
     Each batch value is written by its own job, after the previous one, as
     exactly ``files_per_batch`` files (round-robin partitions, written in
-    parallel). A file stream ordered by modification time with
-    ``maxFilesPerTrigger=files_per_batch`` then sees one batch per trigger.
-    Returns ``files_per_batch``.
+    parallel; each batch needs at least that many rows). A file stream
+    ordered by modification time with ``maxFilesPerTrigger=files_per_batch``
+    then sees one batch per trigger. Consecutive landings are kept at least
+    a second apart, since object stores report modification times in
+    seconds. Returns ``files_per_batch``.
     """
     for i, b in enumerate(batches):
+        if i:
+            time.sleep(max(0.0, 1.05 - (time.time() - done)))
         (df.where(F.col(batch_col) == F.lit(b)).drop(batch_col)
          .repartition(files_per_batch)
          .write.mode("append").parquet(os.path.join(path, f"batch_{i:06d}")))
+        done = time.time()
     return files_per_batch
