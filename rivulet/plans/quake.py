@@ -10,6 +10,7 @@ from rivulet.operators import bayes as BY
 from rivulet.operators import joins as JN
 from rivulet.plans.derived import messages, quakes
 from rivulet.plans.registry import register
+from rivulet.session import materialize
 
 _FLAGGED_SQL = """
   WITH q AS (SELECT (epoch_us(ts) // 1000) AS t FROM events WHERE event_type = 'error' AND value > 150),
@@ -75,7 +76,8 @@ FROM s""")
 def near_posterior(spark, sf_dir):
     """Flagship: score every message with the naive-Bayes posterior that it
     was posted near a quake, from word statistics of all flagged messages."""
-    flagged = flagged_messages(spark, sf_dir)
+    # Three consumers (class totals, word counts, request words): flag once.
+    flagged = materialize(flagged_messages(spark, sf_dir), "flagged_messages")
     wc = BY.class_word_counts(flagged, "tweet")
     tot = BY.class_totals(flagged)
     requests = flagged.select(F.col("event_id").alias("request_id"),

@@ -77,6 +77,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 SPREAD_MAX_SPLITS = 16
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: several consumers then scan the result (with column
+    pruning) instead of recomputing it, and the lineage is cut there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Load one of the driver tables (``{sf_dir}/{name}.parquet``).
 
