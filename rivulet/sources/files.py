@@ -40,13 +40,17 @@ def with_line_order(df: DataFrame) -> DataFrame:
 
 def load_lookup(spark: SparkSession, path: str, key: str = "key",
                 value: str = "value") -> DataFrame:
-    """Tab-separated ``key<TAB>value`` lines as a table; the last line of a
-    duplicated key wins and values are trimmed (blank lines are skipped)."""
+    """Tab-separated ``key<TAB>value`` lines as a table.
+
+    The value is the second field (anything after a further tab is ignored)
+    and is trimmed; the last line of a duplicated key wins. Lines without a
+    key or a value (blank lines) are skipped instead of failing the load.
+    """
     raw = with_line_order(spark.read.text(path))
-    parts = F.split(F.col("value"), "\t", 2)
+    parts = F.split(F.col("value"), "\t", -1)
     rows = raw.select(F.get(parts, 0).alias(key),
                       F.trim(F.get(parts, 1)).alias(value), "_pos")
-    rows = rows.where(F.col(key).isNotNull() & (F.col(key) != ""))
+    rows = rows.where((F.col(key) != "") & (F.col(value) != ""))
     return last_wins(rows, [key], value, "_pos")
 
 

@@ -143,13 +143,14 @@ def test_lowest_n_per_group(spark):
 
 def test_lookup_loader_last_wins(spark, tmp_dir):
     lines = ["boston\t http://b1", "nyc\thttp://n1", "boston\thttp://b2",
-             "", "sf\t http://s1", 'la\thttp://l1"', "nyc\t http://n2"]
+             "", "sf\t http://s1", 'la\thttp://l1"', "nyc\t http://n2",
+             "novalue", "extra\thttp://e1\tignored"]
     p = os.path.join(tmp_dir, "feeds.txt")
     with open(p, "w") as f:
         f.write("\n".join(lines) + "\n")
     got = dict(rows(FS.load_lookup(spark, p)))
     assert got == {"boston": "http://b2", "nyc": "http://n2", "sf": "http://s1",
-                   "la": 'http://l1"'}
+                   "la": 'http://l1"', "extra": "http://e1"}
 
 
 def test_csv_scan_names(spark, tmp_dir):
