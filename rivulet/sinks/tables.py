@@ -167,15 +167,34 @@ class UpdateLog(BatchLog):
     its state store; the sink only has to keep the rows each batch updated.
     Each batch is written to its own partition (O(batch), idempotent on a
     replay) and :meth:`latest` resolves the newest row per key with a
-    partial-aggregated ``max_by`` over the log.
+    partial-aggregated ``max_by``. :meth:`compact` folds the log up to a
+    batch into a snapshot, after which reads only touch the snapshot and the
+    batches written since.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        super().__init__(spark, path)
+        super().__init__(spark, os.path.join(path, "log"))
         self.keys = list(keys)
+        self.snapshots = KeyedTable(spark, os.path.join(path, "compacted"), self.keys)
 
     def latest(self) -> DataFrame | None:
         log = self.read()
+        upto = self.snapshots.version()
+        if upto >= 0:
+            snap = self.snapshots.read().withColumn("batch_id", F.lit(upto).cast("bigint"))
+            log = snap if log is None else snap.unionByName(log.where(F.col("batch_id") > upto))
         if log is None:
             return None
         return last_wins_per_key(log, self.keys, "batch_id").drop("batch_id")
+
+    def compact(self) -> int:
+        """Fold every logged batch into a snapshot; returns the batch id it
+        covers (-1 when there is nothing to fold)."""
+        log = self.read()
+        if log is None:
+            return self.snapshots.version()
+        upto = log.agg(F.max("batch_id")).first()[0]
+        if upto is None or upto <= self.snapshots.version():
+            return self.snapshots.version()
+        self.snapshots.replace(self.latest(), int(upto))
+        return int(upto)

@@ -201,3 +201,13 @@ def test_update_log_restart_and_replay(spark, tmp_dir):
     assert dict(rows(out.latest())) == {"a": 2, "b": 2, "c": 1}
     # the second batch only wrote the keys it updated
     assert rows(out.read().where("batch_id = 1"), "word", "count") == [("b", 2), ("c", 1)]
+
+
+def test_update_log_compaction(spark, tmp_dir):
+    log = UpdateLog(spark, os.path.join(tmp_dir, "ul"), ["k"])
+    log.write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
+    log.write(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
+    assert log.compact() == 1
+    log.write(spark.createDataFrame([("b", 5), ("c", 1)], "k string, n long"), 2)
+    assert dict(rows(log.latest())) == {"a": 2, "b": 5, "c": 1}
+    assert log.compact() == 2 and dict(rows(log.latest())) == {"a": 2, "b": 5, "c": 1}
