@@ -11,11 +11,18 @@ JVM and is the fast path; this exists for user code that must run in Python.
 from __future__ import annotations
 
 import re
-import uuid
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+# The UDTF runs in Python workers, which need not be able to import this
+# package (it may not be shipped with --py-files): pickle this module's
+# functions and classes by value so the small tokeniser travels with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _RUBY_SPACE = re.compile(r"[ \t\n\v\f\r]+")
 
 
@@ -43,13 +50,7 @@ class SplitSentence:
 
 def split_words_udtf(df: DataFrame, text: str = "text", mode: str = "python",
                      keep: list[str] | None = None) -> DataFrame:
-    """One row per word, computed by the Python UDTF (``LATERAL`` join)."""
+    """One row per word, computed by the Python UDTF (a lateral join)."""
     keep = keep or []
-    spark = df.sparkSession
-    view = f"_rivulet_udtf_in_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(view)
-    spark.udtf.register("rivulet_split_sentence", SplitSentence)
-    cols = ", ".join([f"t.`{c}`" for c in keep] + ["s.word"])
-    return spark.sql(
-        f"SELECT {cols} FROM {view} t, "
-        f"LATERAL rivulet_split_sentence(t.`{text}`, '{mode}') s")
+    words = df.lateralJoin(SplitSentence(F.col(text).outer(), F.lit(mode)))
+    return words.select(*keep, "word")
