@@ -85,7 +85,8 @@ def parse_xml_entries(df: DataFrame, col: str = "str") -> DataFrame:
     e = F.from_xml(F.col(col), XML_ENTRY_SCHEMA, {"mode": "PERMISSIVE"})
     labels = F.transform(F.coalesce(F.col("e.category"), F.array()),
                          lambda c: F.lower(c["_label"]))
-    deleted = (F.array_contains(labels, DELETED_LABEL)
+    # array_contains is NULL when no label matches and one label is missing
+    deleted = (F.coalesce(F.array_contains(labels, DELETED_LABEL), F.lit(False))
                | F.coalesce(F.col("e.verb").endswith(DELETE_VERB_SUFFIX), F.lit(False)))
     kept = F.when(~deleted, F.col("e.id"))
     return keep_parsed(df.select(e.alias("e")), [

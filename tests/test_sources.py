@@ -30,6 +30,7 @@ DELETED = """<entry>
 </entry>"""
 
 NO_LINK = """<entry><id>1003</id><published>2013-07-20T16:34:15.250Z</published>
+<category term="NoLabel"/>
 <verb>post</verb><object><content>x</content></object></entry>"""
 
 BROKEN = "<entry><id>1004</id><published>2013-07-20T16:34:15Z</published"
