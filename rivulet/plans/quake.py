@@ -50,7 +50,7 @@ def near_totals(spark, sf_dir):
     return BY.class_totals(flagged_messages(spark, sf_dir))
 
 
-@register("near_posterior", f"""
+POSTERIOR_SQL = f"""
 WITH f AS ({_FLAGGED_SQL}),
 w AS (SELECT near, word, count(*) AS wc
       FROM (SELECT near, unnest({_JAVA_SPLIT}) AS word FROM f) GROUP BY near, word),
@@ -72,7 +72,10 @@ SELECT request_id,
        round(CASE WHEN prior * p1 + (1 - prior) * p0 = 0 THEN NULL
                   ELSE prior * p1 / (prior * p1 + (1 - prior) * p0) END, 9)
          AS p_quake_given_tweet
-FROM s""")
+FROM s"""
+
+
+@register("near_posterior", POSTERIOR_SQL)
 def near_posterior(spark, sf_dir):
     """Flagship: score every message with the naive-Bayes posterior that it
     was posted near a quake, from word statistics of all flagged messages."""

@@ -413,3 +413,40 @@ def stream_near_totals(spark, sf_dir):
     out = UpdateLog(spark, os.path.join(root, "table"), ["near"])
     SO.run_available(SO.upsert_writer(BY.class_totals(flagged), out, ckpt))
     return out.latest()
+
+
+def _flagged_message_stream(spark, sf_dir):
+    ev = SS.table_stream(spark, sf_dir, "events")
+    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
+    msgs = ev.where(~is_quake).select(
+        "event_id", F.concat_ws(" ", "event_type", "props").alias("tweet"),
+        RC.epoch_millis("ts").alias("published"))
+    return JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
+
+
+@register("stream_near_posterior", QK.POSTERIOR_SQL)
+def stream_near_posterior(spark, sf_dir):
+    """The classifier end to end on streams: two streaming aggregations keep
+    the class word counts and class totals; a request stream (every message)
+    is then answered per micro-batch against the latest landed state."""
+    root, _ = _paths(spark, "stream_near_posterior")
+    words = UpdateLog(spark, os.path.join(root, "words"), ["near", "word"])
+    totals = UpdateLog(spark, os.path.join(root, "totals"), ["near"])
+    SO.run_available(SO.upsert_writer(
+        BY.class_word_counts(_flagged_message_stream(spark, sf_dir), "tweet"), words,
+        os.path.join(root, "ck_words")))
+    SO.run_available(SO.upsert_writer(
+        BY.class_totals(_flagged_message_stream(spark, sf_dir)), totals,
+        os.path.join(root, "ck_totals")))
+    answers = BatchLog(spark, os.path.join(root, "answers"))
+
+    def answer(batch_df, batch_id):
+        post = BY.posterior(batch_df, words.latest(), totals.latest())
+        answers.write(post.select("request_id", F.round("p_quake_given_tweet", 9)
+                                  .alias("p_quake_given_tweet")), batch_id)
+
+    requests = _flagged_message_stream(spark, sf_dir).select(
+        F.col("event_id").alias("request_id"), F.col("tweet").alias("args"))
+    SO.run_available(requests.writeStream.foreachBatch(answer)
+                     .option("checkpointLocation", os.path.join(root, "ck_answers")))
+    return answers.read().select("request_id", "p_quake_given_tweet")
