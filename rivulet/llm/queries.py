@@ -6,10 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import mixing, sharding
+from rivulet.llm import mixing, ngram_join, sharding
 from rivulet.llm.common import load
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have Jaccard >= 0.9."""
+    return ngram_join.similar_documents(load(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 2], ' ') END AS sh
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i) u),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * k >= 90 * (a.n + b.n - k)),
+r AS (
+  SELECT doc_id AS id, doc_id AS seen FROM d
+  UNION SELECT r.id, e.y FROM r JOIN e ON e.x = r.seen)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.seen) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY ALL
+"""
+
+
 def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of all documents, equal texts together, sizes near equal."""
     return sharding.op2_shards(load(spark, sf_dir, "documents"), 40)
@@ -55,7 +85,8 @@ FROM k
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
     "op10_temperature_mix": op10_temperature_mix,
 }
-ORACLES: dict[str, str] = {"op10_temperature_mix": OP10_SQL.strip()}
+ORACLES: dict[str, str] = {"op1_ngram_join": OP1_SQL.strip(), "op10_temperature_mix": OP10_SQL.strip()}
