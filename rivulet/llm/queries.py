@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import mixing, ngram_join, sharding
+from rivulet.llm import embedding_join, mixing, ngram_join, sharding
 from rivulet.llm.common import load
 
 
@@ -45,6 +45,32 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op2_shards(load(spark, sf_dir, "documents"), 40)
 
 
+def op6_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of embeddings of equal label with cosine >= 0.98, and their components."""
+    return embedding_join.near_embeddings(load(spark, sf_dir, "embeddings"), 0.98)
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(e, lambda c: c <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (
+  SELECT vec_id AS id, vec_id AS seen FROM v
+  UNION SELECT r.id, l.y FROM r JOIN l ON l.x = r.seen),
+c AS (SELECT id, min(seen) AS component_id FROM r GROUP BY id),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.x = v.vec_id
+"""
+
+
 def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy the temperature mixture reads, no source more than twice."""
     return mixing.mix(load(spark, sf_dir, "documents"), max_repeats=2.0)
@@ -87,6 +113,9 @@ FROM k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
+    "op6_epsilon_grid": op6_epsilon_grid,
     "op10_temperature_mix": op10_temperature_mix,
 }
-ORACLES: dict[str, str] = {"op1_ngram_join": OP1_SQL.strip(), "op10_temperature_mix": OP10_SQL.strip()}
+ORACLES: dict[str, str] = {"op1_ngram_join": OP1_SQL.strip(),
+                           "op6_epsilon_grid": OP6_SQL.strip(),
+                           "op10_temperature_mix": OP10_SQL.strip()}
