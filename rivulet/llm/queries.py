@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import embedding_join, mixing, ngram_join, sharding
+from rivulet.llm import embedding_join, mixing, ngram_join, sharding, warc
 from rivulet.llm.common import load
 
 
@@ -71,6 +71,30 @@ FROM v JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.x = v.vec_id
 """
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to Zstandard WARC archives and read back."""
+    return warc.round_trip(load(spark, sf_dir, "pages"), 0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, strlen(body) AS payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+      (CAST('0x' || substr(hex, 10 * (k // 8) + 1, 10) AS UBIGINT) >> (35 - 5 * (k % 8))) & 31
+      AS BIGINT) + 1, 1) for k in range(32)], '') AS payload_digest
+  FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first, count(*) AS n FROM d GROUP BY ALL)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN n > 1 AND first IS NOT NULL AND page_id IS DISTINCT FROM first
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d JOIN f USING (payload_digest)
+"""
+
+
 def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy the temperature mixture reads, no source more than twice."""
     return mixing.mix(load(spark, sf_dir, "documents"), max_repeats=2.0)
@@ -114,8 +138,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
     "op6_epsilon_grid": op6_epsilon_grid,
+    "op9_warc": op9_warc,
     "op10_temperature_mix": op10_temperature_mix,
 }
 ORACLES: dict[str, str] = {"op1_ngram_join": OP1_SQL.strip(),
                            "op6_epsilon_grid": OP6_SQL.strip(),
+                           "op9_warc": OP9_SQL.strip(),
                            "op10_temperature_mix": OP10_SQL.strip()}
