@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import embedding_join, mixing, ngram_join, sharding, warc
+from rivulet.llm import embedding_join, html_text, mixing, ngram_join, sharding, warc
 from rivulet.llm.common import load
 
 
@@ -71,6 +71,11 @@ FROM v JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.x = v.vec_id
 """
 
 
+def op7_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(load(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to Zstandard WARC archives and read back."""
     return warc.round_trip(load(spark, sf_dir, "pages"), 0).select(
@@ -138,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
     "op6_epsilon_grid": op6_epsilon_grid,
+    "op7_tree_scoring": op7_tree_scoring,
     "op9_warc": op9_warc,
     "op10_temperature_mix": op10_temperature_mix,
 }
