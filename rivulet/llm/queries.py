@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import embedding_join, html_text, mixing, ngram_join, sharding, warc
+from rivulet.llm import (
+    embedding_join, html_text, language, mixing, ngram_join, quality, sharding, warc,
+)
 from rivulet.llm.common import load
 
 
@@ -45,6 +47,16 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op2_shards(load(spark, sf_dir, "documents"), 40)
 
 
+def op3_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.op3_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op5_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main language of every document."""
+    return language.op5_languages(load(spark, sf_dir, "documents"))
+
+
 def op6_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of embeddings of equal label with cosine >= 0.98, and their components."""
     return embedding_join.near_embeddings(load(spark, sf_dir, "embeddings"), 0.98)
@@ -142,6 +154,8 @@ FROM k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
+    "op3_boosted_trees": op3_boosted_trees,
+    "op5_mixture_language": op5_mixture_language,
     "op6_epsilon_grid": op6_epsilon_grid,
     "op7_tree_scoring": op7_tree_scoring,
     "op9_warc": op9_warc,
