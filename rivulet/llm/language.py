@@ -20,7 +20,7 @@ gram counts are shuffled.
 
 Defined cases: null text and text without a letter are ``und`` with score 0;
 so is every text when no language was learned; letters in no learned gram
-give the language with the smallest name and equal shares; repeated rows each count; null
+give the language that the smoothed tables favour; repeated rows each count; null
 languages and null doc_ids are not learned from; an empty table gives an empty
 result. Extra columns are ignored.
 """

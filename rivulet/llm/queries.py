@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rivulet.llm import (
-    embedding_join, html_text, language, mixing, ngram_join, quality, sharding, warc,
+    decontaminate, embedding_join, html_text, language, mixing, ngram_join, quality, sharding, warc,
 )
 from rivulet.llm.common import load
 
@@ -88,6 +88,11 @@ def op7_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load(spark, sf_dir, "pages"))
 
 
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents: one row per document and item."""
+    return decontaminate.hits(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to Zstandard WARC archives and read back."""
     return warc.round_trip(load(spark, sf_dir, "pages"), 0).select(
@@ -158,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixture_language": op5_mixture_language,
     "op6_epsilon_grid": op6_epsilon_grid,
     "op7_tree_scoring": op7_tree_scoring,
+    "op8_latent_decontamination": op8_latent_decontamination,
     "op9_warc": op9_warc,
     "op10_temperature_mix": op10_temperature_mix,
 }

@@ -70,14 +70,20 @@ def chunks(batches, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.Record
             i = j
 
 
+# Also ASCII punctuation and control characters as separators.
+NOT_WORD = np.zeros(256, bool)
+NOT_WORD[:128] = True
+NOT_WORD[48:58] = NOT_WORD[65:91] = NOT_WORD[97:123] = False
+
+
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a chunk: ``start``, ``end`` (byte
-    positions), ``doc`` (row), ``hash`` (64 bits, ASCII case folded) and
-    ``count`` (words per row)."""
+    """Words of a chunk, runs of bytes outside ``separators`` (by default
+    ``[^\\x20\\x09-\\x0D]+``): ``start``, ``end`` (byte positions), ``doc`` (row),
+    ``hash`` (64 bits, ASCII case folded) and ``count`` (words per row)."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray):
+    def __init__(self, data: np.ndarray, off: np.ndarray, separators: np.ndarray = SPACE):
         n = len(data)
-        space = SPACE[data]
+        space = separators[data]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
         word = ~space
