@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rivulet.llm import (
-    decontaminate, embedding_join, html_text, language, mixing, ngram_join, quality, sharding, warc,
+    context_mixing, decontaminate, embedding_join, html_text, language, mixing, ngram_join,
+    quality, sharding, warc,
 )
 from rivulet.llm.common import load
 
@@ -52,6 +53,11 @@ def op3_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op3_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under the mixed model, and its unigram base."""
+    return context_mixing.op4_scores(load(spark, sf_dir, "documents"))
+
+
 def op5_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main language of every document."""
     return language.op5_languages(load(spark, sf_dir, "documents"))
@@ -160,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_minimax_shards": op2_minimax_shards,
     "op3_boosted_trees": op3_boosted_trees,
+    "op4_context_mixing": op4_context_mixing,
     "op5_mixture_language": op5_mixture_language,
     "op6_epsilon_grid": op6_epsilon_grid,
     "op7_tree_scoring": op7_tree_scoring,
