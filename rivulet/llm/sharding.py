@@ -54,21 +54,21 @@ def _capacity(items: Column, shards: int) -> Column:
 
 
 def _tails(capacity: Column) -> Column:
-    """tails[j]: the first atom whose suffix fits ``j`` shards, filled from the right."""
+    """tails[j]: the first place whose suffix fits ``j`` shards, filled from the right."""
     start = F.struct(F.lit(0).cast("bigint").alias("fill"), F.lit(0).alias("first"),
                      F.array().cast("array<int>").alias("tails"))
     end = F.aggregate(
         F.reverse(F.col("items")), start,
         lambda s, x: F.when(s["fill"] + x["bytes"] <= capacity,
                             F.struct((s["fill"] + x["bytes"]).alias("fill"),
-                                     x["atom"].alias("first"), s["tails"].alias("tails")))
-        .otherwise(F.struct(x["bytes"].alias("fill"), x["atom"].alias("first"),
+                                     x["pos"].alias("first"), s["tails"].alias("tails")))
+        .otherwise(F.struct(x["bytes"].alias("fill"), x["pos"].alias("first"),
                             F.array_append(s["tails"], s["first"]).alias("tails"))))
     return F.concat(F.array(F.lit(ATOMS)), F.array_append(end["tails"], end["first"]))
 
 
 def _cuts(shards: int) -> Column:
-    """First atoms of shards 1, 2, ... (from ``items``, ``capacity``, ``tails``, ``mean``)."""
+    """First places of shards 1, 2, ... (from ``items``, ``capacity``, ``tails``, ``mean``)."""
     start = F.struct(F.lit(0).cast("bigint").alias("fill"), F.lit(0.0).alias("even"),
                      F.col("level").alias("left"), F.array().cast("array<int>").alias("cuts"))
 
@@ -76,29 +76,35 @@ def _cuts(shards: int) -> Column:
         size, even = x["bytes"], F.least(x["bytes"].cast("double"), F.col("mean"))
         rest = F.lit(shards - 1) - F.size(s["cuts"])  # shards after the open one
         # From this atom on, do the shards after the open one suffice?
-        fits = x["atom"] >= F.element_at(F.col("tails"), F.least(rest + 1, F.size("tails")))
+        fits = x["pos"] >= F.element_at(F.col("tails"), F.least(rest + 1, F.size("tails")))
         full = (s["fill"] + size > F.col("capacity")) | (
             s["even"] + even / 2 > s["left"] / (rest + 1))
         keep = F.struct((s["fill"] + size).alias("fill"), (s["even"] + even).alias("even"),
                         s["left"].alias("left"), s["cuts"].alias("cuts"))
         cut = F.struct(size.alias("fill"), even.alias("even"),
                        (s["left"] - s["even"]).alias("left"),
-                       F.array_append(s["cuts"], x["atom"]).alias("cuts"))
+                       F.array_append(s["cuts"], x["pos"]).alias("cuts"))
         return F.when((s["fill"] > 0) & (rest > 0) & fits & full, cut).otherwise(keep)
 
     return F.aggregate("items", start, step)["cuts"]
 
 
-def cuts(atoms: DataFrame, shards: int) -> DataFrame:
-    """One row ``cuts``: from ``atoms(atom, bytes)``, at most ``ATOMS`` rows."""
-    row = atoms.agg(F.sort_array(F.collect_list(F.struct("atom", "bytes"))).alias("items"))
-    row = row.withColumn("capacity", _capacity(F.col("items"), shards))
-    total = F.aggregate("items", F.lit(0).cast("bigint"), lambda s, x: s + x["bytes"])
-    row = (row.withColumn("tails", _tails(F.col("capacity")))
-           .withColumn("mean", total / F.lit(float(shards)))
+def place(atoms: DataFrame, shards: int) -> DataFrame:
+    """``atom, shard`` of all ``atoms(atom, bytes)``, at most ``ATOMS`` rows."""
+    row = atoms.agg(F.collect_list(F.struct("atom", "bytes")).alias("items"),
+                    (F.sum("bytes") / F.lit(float(shards))).alias("mean"))
+    ranked = F.sort_array(F.transform("items", lambda x: F.struct(
+        F.when(x["bytes"] >= F.col("mean"), -x["bytes"]).otherwise(0).alias("rank"),
+        x["atom"].alias("atom"), x["bytes"].alias("bytes"))))
+    row = row.withColumn("items", F.transform(ranked, lambda x, i: F.struct(
+        i.alias("pos"), x["atom"].alias("atom"), x["bytes"].alias("bytes"))))
+    row = (row.withColumn("capacity", _capacity(F.col("items"), shards))
+           .withColumn("tails", _tails(F.col("capacity")))
            .withColumn("level", F.aggregate("items", F.lit(0.0), lambda s, x: s + F.least(
                x["bytes"].cast("double"), F.col("mean")))))
-    return row.select(_cuts(shards).alias("cuts"))
+    row = row.select("items", _cuts(shards).alias("cuts"))
+    return row.select("cuts", F.explode("items").alias("x")).select(
+        "x.atom", F.size(F.filter("cuts", lambda c: c <= F.col("x.pos"))).alias("shard"))
 
 
 def shard(docs: DataFrame, shards: int = 40, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -114,9 +120,7 @@ def shard(docs: DataFrame, shards: int = 40, text: str = "text", key: str = "doc
     cells = rows.groupBy("atom", "salt").agg(F.count(F.lit(1)).alias("n"),
                                              F.sum("size").alias("bytes"))
     atoms = cells.groupBy("atom").agg(F.sum("bytes").alias("bytes"))
-    starts = cuts(atoms, shards).scalar()
-    cells = cells.withColumn("cuts", starts).select(
-        "atom", "salt", "n", F.size(F.filter("cuts", lambda c: c <= F.col("atom"))).alias("shard"))
+    cells = cells.join(stored(place(atoms, shards), "shard-atoms"), "atom")
     before = (Window.partitionBy("shard").orderBy("atom", "salt")
               .rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.select("atom", "salt", "shard",
