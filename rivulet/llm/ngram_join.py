@@ -5,14 +5,16 @@ Two sets link when ``den * |intersection| >= num * |union|``.
 
 Index. Tokens are ordered rare before frequent, then by frequency. A linked
 pair differs in at most ``tau = n - ceil(num * n / den)`` tokens of either set,
-so a prefix is extended token by token until ``tau + 1`` differences could not
-destroy all its signatures. A rare token is a signature by itself. Frequent
-tokens are dealt into sub-classes by hash, and a signature is a pair of tokens
-of one sub-class: one difference is needed for each token but one of a
-sub-class, which is what the extension counts. The number of sub-classes
-depends on the size bucket (powers of two); a set that can reach a partner in
-the bucket below is indexed there too. A linked pair therefore always shares a
-signature, whatever the frequencies are; they only steer the cost.
+so a prefix is extended token by token until ``tau`` differences leave at least
+``least_shared`` of its signatures in common. A rare token is a signature by
+itself. Frequent tokens are dealt into sub-classes by hash, and a signature is
+a pair of tokens of one sub-class: a difference destroys one of the tokens
+that a sub-class has beyond its first, which is what the extension counts. The
+number of sub-classes and ``least_shared`` depend on the size bucket (powers of
+two); a set that can reach a partner in the bucket below is indexed there too.
+A linked pair therefore always shares ``least_shared`` signatures, whatever the
+frequencies are; they only steer the cost. A set that has fewer signatures
+in common with all others together is left out before any text is read again.
 
 Frequencies. A token is frequent when its count, summed over the tasks that
 saw it at least four times in a stretch of their input, is at least
@@ -21,11 +23,13 @@ saw it at least four times in a stretch of their input, is at least
 Candidates and verification. Equal sets are one class, so copies are never
 paired. Within a signature the candidates are tried as stars first: every
 class against one leader, linear in the index. Classes already connected need
-no further test; what is left is counted, and when the pairs of unconnected
-classes are few against the index they are all verified; otherwise another
-star with another leader is tried. Every pair that shares a signature is in
+no further test, and the pairs of unconnected classes that are left are counted.
+As long as a star at least halves them (a large group of near copies) another
+one follows, with other leaders; then, or when they are few against the index,
+all pairs with enough common signatures are verified. Every such pair is in
 the end either verified or already connected, so components are exact.
-Verification intersects the full sets.
+Verification first compares sizes and parity words, which bound the number of
+tokens that differ from below, and then intersects the full sets.
 
 Defined cases: null or word-less text has the empty set and links with
 nothing; a null doc_id links with nothing and has a null component; repeated
@@ -47,6 +51,8 @@ from rivulet.llm.textcore import Words, chunks, mix, row_sums, shingles, text_by
 
 FREQUENT_SHARE = 1 << 17   # a frequent token holds at least 1/this of all tokens
 STRETCH = 1 << 21          # shingles counted together in a task
+FEW = 1 << 19              # ids that may be broadcast
+WORDS = 32                 # parity words of a set
 STARS = 12                 # star rounds before all remaining pairs are verified
 _NODE, _CELL = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -88,15 +94,20 @@ def _scan(size: int):
     return run
 
 
+def least_shared(bucket):
+    """Signatures that a linked pair of the size bucket has in common."""
+    return np.maximum(1, (1 << np.maximum(bucket, 0)) >> 4)
+
+
 def signatures(doc, s, n, level, num: int, den: int):
-    """``(row, signature)`` of sets given as sorted ``(doc, s)`` with sizes ``n``
-    and token levels (0: rare)."""
+    """``(row, signature, bucket)`` of sets given as sorted ``(doc, s)`` with sizes
+    ``n`` and token levels (0: rare)."""
     order = np.lexsort((s, level, doc))
     doc, s, level = doc[order], s[order], level[order]
     need = -(-num * n // den)
     tau = n - need
     bucket = np.where(n > 0, np.frexp(n.astype(np.float64))[1] - 1, 0)
-    rows, sigs = [], []
+    rows, sigs, buckets = [], [], []
     for down in (0, 1):
         at = bucket - down
         member = (n > 0) & (at >= 0) & ((down == 0) | (need < (1 << bucket)))
@@ -117,11 +128,12 @@ def signatures(doc, s, n, level, num: int, den: int):
         run = np.cumsum(counts) - counts
         first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
         run -= np.repeat(run[first], np.diff(np.append(first, len(d))))
-        prefix = run <= tau[d]
+        prefix = run < (tau + least_shared(at))[d]
         salt = mix((at[d] + 1).astype(np.uint64))
         one = rare & prefix
         rows.append(d[one])
         sigs.append(mix(t[one] ^ salt[one]))
+        buckets.append(at[d[one]])
         o = np.flatnonzero(~rare & prefix)
         o = o[np.lexsort((t[o], cell[o], d[o]))]
         step = 1
@@ -133,38 +145,52 @@ def signatures(doc, s, n, level, num: int, den: int):
             a, b = a[same], b[same]
             rows.append(d[a])
             sigs.append(mix(mix(t[a] + _NODE) + t[b] ^ salt[a]))
+            buckets.append(at[d[a]])
             step += 1
     if not rows:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(sigs)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(rows), np.concatenate(sigs), np.concatenate(buckets)
 
 
 def _index(size: int, num: int, den: int, frequent):
-    """Index rows ``sig, node``."""
+    """Index rows ``sig, node, bucket``; a set is indexed once by each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, levels = frequent.value
+        seen: set[int] = set()
         for b in chunks(batches, "text"):
             doc, s, n, node = _sets(b, size)
+            fresh = np.zeros(len(node), bool)
+            for k, x in enumerate(node.tolist()):
+                if x not in seen:
+                    seen.add(x)
+                    fresh[k] = True
+            doc, s, n = doc[fresh[doc]], s[fresh[doc]], np.where(fresh, n, 0)
             level = np.zeros(len(s), np.int64)
             if len(tokens):
                 at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                 level = np.where(tokens[at] == s, levels[at], 0)
-            row, sig = signatures(doc, s, n, level, num, den)
+            row, sig, bucket = signatures(doc, s, n, level, num, den)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(node[row])], ["sig", "node"])
+                [pa.array(sig.view(np.int64)), pa.array(node[row]),
+                 pa.array(bucket.astype(np.int32))], ["sig", "node", "bucket"])
     return run
 
 
 def _whole_sets(size: int):
-    """``node, tokens`` of every row: the full set."""
+    """``node, n, parity, tokens`` of every row: the full set, its size, and for
+    ``64 * WORDS`` hash classes whether it has an odd number of tokens in each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
-            _, s, n, node = _sets(b, size)
+            doc, s, n, node = _sets(b, size)
             off = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+            place = doc * (64 * WORDS) + (s % np.uint64(64 * WORDS)).astype(np.int64)
+            odd = np.bincount(place, minlength=b.num_rows * 64 * WORDS).astype(np.uint8) & 1
+            parity = np.packbits(odd, bitorder="little").view(np.int64)
+            steps = np.arange(0, (b.num_rows + 1) * WORDS, WORDS, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node), pa.ListArray.from_arrays(pa.array(off),
-                                                          pa.array(s.view(np.int64)))],
-                ["node", "tokens"])
+                [pa.array(node), pa.array(n), pa.ListArray.from_arrays(steps, pa.array(parity)),
+                 pa.ListArray.from_arrays(pa.array(off), pa.array(s.view(np.int64)))],
+                ["node", "n", "parity", "tokens"])
     return run
 
 
@@ -181,6 +207,25 @@ def _frequent(scan: DataFrame):
     return scan.sparkSession.sparkContext.broadcast((tokens, levels))
 
 
+def _least_shared() -> F.Column:
+    return F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("bucket") - 4)))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that their parities do not exclude. Every token of one set only turns
+    one class, so the classes that differ are at most the tokens that differ."""
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda s, x: s + x)
+    total = F.col("na") + F.col("nb")
+    return (pairs.join(one, "a").join(two, "b")
+            .where(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
+            .withColumn("differ", differ)
+            .where((total - F.col("differ")) * den >= (total + F.col("differ")) * num)
+            .select("a", "b"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
@@ -194,13 +239,13 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links among the classes of ``post(sig, node)`` that connect all components."""
     size = post.count()
     links = None
-    comps = None
+    comps = before = None
     for r in range(STARS + 1):
         if comps is None:
             members = post.withColumn("comp", F.col("node"))
         else:
             members = post.join(comps, post["node"] == comps["id"], "left").select(
-                "sig", "node", F.coalesce("root", "node").alias("comp"))
+                "sig", "node", "bucket", F.coalesce("root", "node").alias("comp"))
         members = stored(members, "ngram-members")
         parts = members.groupBy("sig", "comp").agg(
             F.count(F.lit(1)).alias("n"),
@@ -214,20 +259,24 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         left = open_sigs.agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2)).first()[0] or 0
         if not left:
             break
-        last = r == STARS or left <= 4 * size
+        last = r == STARS or left <= 4 * size or (before is not None and 2 * left > before)
+        before = left
         if last:
             x = members.join(open_sigs.select("sig"), "sig", "left_semi")
             x = stored(x, "ngram-open-members")
             y = x.select("sig", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
             cand = x.join(y, "sig").where((F.col("node") < F.col("other"))
                                           & (F.col("comp") != F.col("other_comp")))
-            pairs = cand.select(F.col("node").alias("a"), F.col("other").alias("b"))
+            pairs = (cand.groupBy(F.col("node").alias("a"), F.col("other").alias("b"), "bucket")
+                     .agg(F.count(F.lit(1)).alias("shared"))
+                     .where(F.col("shared") >= _least_shared()).select("a", "b"))
         else:
             cand = members.join(open_sigs.select("sig", "best"), "sig").where(
                 F.col("comp") != F.col("best.comp"))
             pairs = cand.select(F.least("node", "best.lead").alias("a"),
                                 F.greatest("node", "best.lead").alias("b"))
         pairs = stored(pairs.distinct(), "ngram-pairs")
+        pairs = stored(_near(pairs, sets, num, den), "ngram-near")
         found = stored(_verified(pairs, sets, num, den), "ngram-links")
         links = found if links is None else links.unionByName(found)
         if last:
@@ -247,15 +296,21 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     classes = stored(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
                      .agg(F.min("doc_id").alias("first")), "ngram-classes")
     index = stored(docs.where("doc_id IS NOT NULL")
-                   .mapInArrow(_index(size, num, den, frequent), "sig bigint, node bigint"),
+                   .mapInArrow(_index(size, num, den, frequent), "sig bigint, node bigint, bucket int"),
                    "ngram-index")
     shared = (index.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .where("lo <> hi").select("sig"))
-    post = stored(index.join(stored(shared, "ngram-shared"), "sig").distinct(), "ngram-post")
+    post = stored(index.join(stored(shared, "ngram-shared"), "sig").distinct(), "ngram-shared-index")
+    strong = post.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") >= _least_shared()).select("node", "bucket")
+    post = stored(post.join(stored(strong, "ngram-strong"), ["node", "bucket"]), "ngram-post")
     needed = stored(post.select("node").distinct().join(classes, "node"), "ngram-needed")
-    sets = (docs.join(needed.select(F.col("first").alias("doc_id")).distinct(), "doc_id",
-                      "left_semi")
-            .mapInArrow(_whole_sets(size), "node bigint, tokens array<bigint>"))
+    ids = needed.select(F.col("first").alias("doc_id")).distinct()
+    if needed.count() <= FEW:  # at most 8 bytes each; beyond it the join shuffles the texts
+        ids = F.broadcast(ids)
+    sets = (docs.join(ids, "doc_id", "left_semi")
+            .mapInArrow(_whole_sets(size), "node bigint, n bigint, "
+                        "parity array<bigint>, tokens array<bigint>"))
     sets = stored(sets.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]),
                   "ngram-sets")
     links = _links(post, sets, num, den)
