@@ -121,9 +121,11 @@ def make_documents(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize(("size", "num"), [(3, 90), (5, 80)])
-def test_join_matches_brute_force(spark, monkeypatch, size, num):
+@pytest.mark.parametrize(("size", "num", "small"), [(3, 90, 32), (5, 80, 1)])
+def test_join_matches_brute_force(spark, monkeypatch, size, num, small):
     rows = make_documents(size)
+    monkeypatch.setattr(ngram_join, "SMALL", small)  # 1: blocks for every signature
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
     monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 1 << 9)  # many frequent tokens
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(ngram_join.similar_documents(df, size, num, 100)) == sorted(
