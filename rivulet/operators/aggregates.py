@@ -85,11 +85,11 @@ def histogram_deltas(updates: DataFrame, batch: str = "batch_id",
     """
     new_b = bucket_of(count, size)
     old_b = bucket_of(prev, size)
-    plus = updates.where(F.col(prev).isNull() | (new_b != old_b)).select(
-        batch, new_b.alias("bucket"), F.lit(1).alias("delta"))
-    minus = updates.where(F.col(prev).isNotNull() & (new_b != old_b)).select(
-        batch, old_b.alias("bucket"), F.lit(-1).alias("delta"))
-    touched = (plus.unionByName(minus).groupBy(batch, "bucket")
+    step = lambda b, d: F.struct(b.alias("bucket"), F.lit(d).alias("delta"))
+    # Up to two deltas per update, from one pass over the updates.
+    moves = F.when(F.col(prev).isNull(), F.array(step(new_b, 1))).when(
+        new_b != old_b, F.array(step(new_b, 1), step(old_b, -1)))
+    touched = (updates.select(batch, F.inline(moves)).groupBy(batch, "bucket")
                .agg(F.sum("delta").alias("delta")))
     w = (Window.partitionBy("bucket").orderBy(batch)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -2,7 +2,7 @@
 
 Training is two keyed counts over the flagged messages (tokens per
 (class, word) and messages per class); scoring joins each request's words to
-the per-word rates and multiplies them per request. Everything is a
+the per-word rates and sums their logs per request. Everything is a
 partial-aggregated ``groupBy`` or an equi-join; the two class totals are
 fetched by one small aggregation and enter the plan as literals.
 """
@@ -37,8 +37,8 @@ def posterior(requests: DataFrame, word_counts: DataFrame, totals: DataFrame,
     For each distinct word of a request that was seen in either class:
     ``p1 = W1/T1`` and ``p0 = W0/T0`` (a word missing from one class counts
     0 there). ``prior = T1/(T0+T1)`` and
-    ``p = prior*prod(p1) / (prior*prod(p1) + (1-prior)*prod(p0))`` in
-    doubles; a request with no known word gets the prior; 0/0 is NULL.
+    ``p = prior*prod(p1) / (prior*prod(p1) + (1-prior)*prod(p0))``, computed
+    from sums of logs so that long requests keep their answer; a request with no known word gets the prior; 0/0 is NULL.
     """
     rates = (word_counts.groupBy("word").agg(
         F.sum(F.when(F.col(flag), F.col("word_count")).otherwise(0)).alias("w1"),
@@ -57,11 +57,16 @@ def posterior(requests: DataFrame, word_counts: DataFrame, totals: DataFrame,
               .select(request_id,
                       F.try_divide(F.col("w1").cast("double"), t1).alias("p1"),
                       F.try_divide(F.col("w0").cast("double"), t0).alias("p0")))
-    products = scored.groupBy(request_id).agg(F.product("p1").alias("prod1"),
-                                              F.product("p0").alias("prod0"))
-    out = requests.select(request_id).distinct().join(products, request_id, "left")
-    prior = F.try_divide(t1.cast("double"), t1 + t0)
-    num = prior * F.coalesce(F.col("prod1"), F.lit(1.0))
-    den = num + (F.lit(1.0) - prior) * F.coalesce(F.col("prod0"), F.lit(1.0))
-    p = F.when(den == 0, F.lit(None).cast("double")).otherwise(F.try_divide(num, den))
+    # Products of many rates underflow, so each class has the sum of its logs,
+    # and a flag for a rate of zero.
+    sums = scored.groupBy(request_id).agg(
+        *[F.sum(F.when(F.col(c) > 0, F.ln(c))).alias(f"log_{c}") for c in ("p1", "p0")],
+        *[F.max(F.col(c) == 0).alias(f"none_{c}") for c in ("p1", "p0")])
+    out = requests.select(request_id).distinct().join(sums, request_id, "left")
+    none1 = (t1 == 0) | F.coalesce("none_p1", F.lit(False))
+    none0 = (t0 == 0) | F.coalesce("none_p0", F.lit(False))
+    log1 = F.ln(t1.cast("double")) + F.coalesce("log_p1", F.lit(0.0))
+    log0 = F.ln(t0.cast("double")) + F.coalesce("log_p0", F.lit(0.0))
+    p = (F.when(none1 & none0, F.lit(None).cast("double")).when(none1, F.lit(0.0))
+         .when(none0, F.lit(1.0)).otherwise(1 / (1 + F.exp(log0 - log1))))
     return out.select(request_id, p.alias(name))

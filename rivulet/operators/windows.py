@@ -72,11 +72,12 @@ def with_zero_rows(counts: DataFrame, keys: list[str], emit_seconds: int,
     w = Window.partitionBy(*keys).orderBy(end)
     nxt = F.lead(end).over(w)
     step = _seconds(emit_seconds)
-    zeros = (counts.select(*keys, end, nxt.alias("_next"))
-             .where(F.col("_next").isNull() | (F.col("_next") != F.col(end) + step))
-             .select(*keys, (F.col(end) + step).alias(end),
-                     F.lit(0).cast("bigint").alias(count)))
-    return counts.select(*keys, end, count).unionByName(zeros)
+    here = F.struct(F.col(end).alias(end), F.col(count).cast("bigint").alias(count))
+    zero = F.struct((F.col(end) + step).alias(end), F.lit(0).cast("bigint").alias(count))
+    leaves = F.col("_next").isNull() | (F.col("_next") != F.col(end) + step)
+    # One pass: a row that leaves the window carries its zero row along.
+    return (counts.select(*keys, end, count, nxt.alias("_next"))
+            .select(*keys, F.inline(F.when(leaves, F.array(here, zero)).otherwise(F.array(here)))))
 
 
 def with_window_length(counts: DataFrame, events: DataFrame, ts: str,
