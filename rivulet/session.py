@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,8 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` / the context's checkpoint
-    dir). Only when nothing is configured -- local runs and tests -- a private
-    temporary folder is created and registered.
+    dir). Only when nothing is configured and the master is local (tests) is a
+    private temporary folder created and registered; on a cluster, executors
+    would not see it, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -75,10 +79,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rivulet", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-# A scan with at most this many input splits may be spread over the cluster.
-SPREAD_MAX_SPLITS = 16
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: several consumers then scan the result (with column
@@ -88,24 +88,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Load one of the driver tables (``{sf_dir}/{name}.parquet``).
-
-    With ``spread``, a small table whose scan yields fewer input partitions
-    than the cluster's parallelism (a file with a single row group is read
-    by one task) is redistributed round-robin, so the row-level work after
-    it uses every core. Column pruning and filters are still pushed below
-    the repartition into the scan. Only scans of at most ``SPREAD_MAX_SPLITS``
-    splits (each at most ``spark.sql.files.maxPartitionBytes``) qualify, so
-    the extra shuffle is bounded; a large table is read as it is split.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            n = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no RDD view
-            return df
-        if n < target and n <= SPREAD_MAX_SPLITS:
-            df = df.repartition(target)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Load one of the driver tables (``{sf_dir}/{name}.parquet``, a file or a
+    folder of part files) as it is split."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -4,6 +4,8 @@ import io
 import os
 from contextlib import redirect_stdout
 
+import pytest
+
 import rivulet.session as RS
 from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog
 from tests.conftest import SF_SMALL, rows
@@ -16,21 +18,33 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert p.startswith(d) and p != RS.scratch_path(spark, "x")
 
 
-def test_table_spreads_only_small_single_split_scans(spark, monkeypatch):
-    target = spark.sparkContext.defaultParallelism
-    spread = RS.table(spark, SF_SMALL, "events")
-    assert spread.rdd.getNumPartitions() == target
-    monkeypatch.setattr(RS, "SPREAD_MAX_SPLITS", 0)          # as for a large table
-    plain = RS.table(spark, SF_SMALL, "events")
-    assert plain.rdd.getNumPartitions() < target
-    assert spread.count() == plain.count()
-    # pruning and pushdown still reach the scan below the repartition
+def test_table_pushdown_and_pruning(spark):
+    df = RS.table(spark, SF_SMALL, "events")
     out = io.StringIO()
     with redirect_stdout(out):
-        spread.where("event_type = 'click'").select("event_id").explain("formatted")
+        df.where("event_type = 'click'").select("event_id").explain("formatted")
     buf = out.getvalue()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in buf
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in buf
+    assert "Exchange" not in buf
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context("spark://host:7077")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        RS.checkpoint_dir(Session())
 
 
 def test_materialize_writes_under_checkpoint_dir(spark):
