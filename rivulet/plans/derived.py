@@ -60,19 +60,23 @@ def event_ms(ts: str = "ts"):
     return epoch_millis(ts)
 
 
+def is_quake():
+    """Is an event a quake? Never NULL: an event without a type or value is not."""
+    quake = (F.col("event_type") == QUAKE_TYPE) & (F.col("value") > QUAKE_MIN_VALUE)
+    return F.coalesce(quake, F.lit(False))
+
+
 def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, time)``: quake events with their epoch-ms time."""
     ev = table(spark, sf_dir, "events")
-    return (ev.where((F.col("event_type") == QUAKE_TYPE)
-                     & (F.col("value") > QUAKE_MIN_VALUE))
+    return (ev.where(is_quake())
             .select("event_id", event_ms().alias("time")))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, tweet, published)``: all other events as short messages."""
     ev = table(spark, sf_dir, "events")
-    is_quake = (F.col("event_type") == QUAKE_TYPE) & (F.col("value") > QUAKE_MIN_VALUE)
-    return ev.where(~is_quake).select(
+    return ev.where(~is_quake()).select(
         "event_id", F.concat_ws(" ", "event_type", "props").alias("tweet"),
         event_ms().alias("published"))
 

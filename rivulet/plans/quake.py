@@ -16,7 +16,7 @@ _FLAGGED_SQL = """
   WITH q AS (SELECT (epoch_us(ts) // 1000) AS t FROM events WHERE event_type = 'error' AND value > 150),
        m AS (SELECT event_id, concat_ws(' ', event_type, props) AS tweet,
                     (epoch_us(ts) // 1000) AS published
-             FROM events WHERE NOT (event_type = 'error' AND value > 150))
+             FROM events WHERE NOT coalesce(event_type = 'error' AND value > 150, false))
   SELECT event_id, tweet, published,
          EXISTS (SELECT 1 FROM q WHERE abs(m.published - q.t) < 1800000) AS near
   FROM m"""

@@ -15,6 +15,7 @@ import os
 from pyspark.sql import functions as F
 
 from rivulet.functions import records as RC
+from rivulet.functions import text as TX
 from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import windows as WN
@@ -52,7 +53,7 @@ SELECT word, count(*) AS count FROM ({JAVA_WORDS_SQL}) GROUP BY word""")
 def stream_word_count(spark, sf_dir):
     """Running word counts, update mode, upserted per micro-batch."""
     root, ckpt = _paths(spark, "stream_word_count")
-    docs = SS.table_stream(spark, sf_dir, "documents", spread=True)
+    docs = SS.table_stream(spark, sf_dir, "documents")
     counts = AG.word_count(docs, "text", "java")
     out = UpdateLog(spark, os.path.join(root, "table"), ["word"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt, replay=True))
@@ -74,11 +75,14 @@ def stream_max_by_symbol(spark, sf_dir):
     return out.latest()
 
 
-def _stream_window_counts(spark, sf_dir, keys):
+def _stream_window_counts(spark, sf_dir, keys, delay=None):
+    """Window counts in update mode. Every row counts, however late: state is only
+    evicted when the caller gives a ``delay`` that the input is known to keep."""
     ev = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    if delay:
+        ev = ev.withWatermark("ts", delay)
     w = F.window("ts", f"{WINDOW_S} seconds", f"{EMIT_S} seconds")
-    counts = (ev.withWatermark("ts", f"{WINDOW_S} seconds")
-              .groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count")))
+    counts = (ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count")))
     return counts.select(*keys, RC.utc_wall("w.end").alias("window_end"),
                          F.col("count").cast("bigint"))
 
@@ -91,7 +95,7 @@ FROM (SELECT event_type, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01'
      (SELECT unnest([0, 1, 2]) AS k) ks
 GROUP BY ALL""")
 def stream_rolling_count(spark, sf_dir):
-    """Sliding event-time window counts with a watermark (9 h every 3 h)."""
+    """Sliding event-time window counts (9 h every 3 h), late rows included."""
     root, ckpt = _paths(spark, "stream_rolling_count")
     counts = _stream_window_counts(spark, sf_dir, ["event_type"])
     out = UpdateLog(spark, os.path.join(root, "table"), ["event_type", "window_end"])
@@ -130,6 +134,20 @@ def stream_rolling_top_n(spark, sf_dir):
 JOIN_WITHIN_S = 1800
 
 
+def expiring_sides(spark, sf_dir, delay=None):
+    """Both sides of the join; with a ``delay`` that the input is known to keep,
+    watermarks let Spark drop pending rows that can no longer match (the
+    expiring cache of pending sides)."""
+    ev = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    left = ev.select("event_id", "user_id", F.col("ts").alias("l_ts"))
+    ev2 = _event_time(SS.table_stream(spark, sf_dir, "events"))
+    later = F.make_dt_interval(secs=F.floor("value").cast("int") * 10)
+    right = ev2.select("event_id", "value", (F.col("ts") + later).alias("r_ts"))
+    if delay:
+        left, right = left.withWatermark("l_ts", delay), right.withWatermark("r_ts", delay)
+    return left, right
+
+
 @register("stream_join_expiry", """
 SELECT event_id, user_id, value, ts AS l_ts,
        ts + to_seconds(CAST(floor(value) AS BIGINT) * 10) AS r_ts
@@ -137,19 +155,12 @@ FROM events WHERE floor(value) * 10 <= 1800""")
 def stream_join_expiry(spark, sf_dir):
     """Two streams joined on event_id when their times are within 30 min.
 
-    The right side is the same events arriving later (floor(value) * 10 s);
-    watermarks on both sides let Spark drop pending rows that can no longer
-    match (the reference's expiring cache of pending sides).
+    The right side is the same events arriving later (floor(value) * 10 s).
+    The result does not depend on the order of arrival: pending rows are only
+    dropped by :func:`expiring_sides` when a delay is given.
     """
     root, ckpt = _paths(spark, "stream_join_expiry")
-    ev = _event_time(SS.table_stream(spark, sf_dir, "events"))
-    left = (ev.select("event_id", "user_id", F.col("ts").alias("l_ts"))
-            .withWatermark("l_ts", "1 hour"))
-    ev2 = _event_time(SS.table_stream(spark, sf_dir, "events"))
-    right = (ev2.select("event_id", "value",
-                        (F.col("ts") + F.make_dt_interval(
-                            secs=F.floor("value").cast("int") * 10)).alias("r_ts"))
-             .withWatermark("r_ts", "1 hour"))
+    left, right = expiring_sides(spark, sf_dir)
     joined = JN.time_bounded_join(left, right, ["event_id"], "l_ts", "r_ts", JOIN_WITHIN_S)
     flat = joined.select(F.col("l.event_id").alias("event_id"), "user_id", "value",
                          RC.utc_wall("l_ts").alias("l_ts"), RC.utc_wall("r_ts").alias("r_ts"))
@@ -161,31 +172,30 @@ def stream_join_expiry(spark, sf_dir):
 
 # ------------------------------------------------------------ micro-batches
 
-def _staged_events(spark, sf_dir, name):
-    """events landed as three batches (event_id % 3), replayable by a file stream."""
+def _staged_events(spark, sf_dir, name, start):
+    """Runs ``start(stream)`` over events landed as three batches (event_id % 3)."""
     root, ckpt = _paths(spark, name)
     ev = table(spark, sf_dir, "events").withColumn("batch", F.col("event_id") % N_BATCHES)
-    land = os.path.join(root, "landing")
-    per_batch = SS.stage_microbatches(ev, "batch", list(range(N_BATCHES)), land,
-                                      spark.sparkContext.defaultParallelism)
-    schema = table(spark, sf_dir, "events").schema
-    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), schema, per_batch)
-    return root, ckpt, stream
+    for stream in SS.landed_batches(ev, "batch", list(range(N_BATCHES)),
+                                    os.path.join(root, "landing")):
+        SO.run_available(start(stream, root, ckpt))
+    return root
 
 
 @register("microbatch_source", """
 SELECT event_id % 3 AS batch_id, count(*) AS n_rows FROM events GROUP BY 1""")
 def microbatch_source(spark, sf_dir):
     """Batched replay source: each micro-batch is one landed batch."""
-    root, ckpt, stream = _staged_events(spark, sf_dir, "microbatch_source")
-    out = BatchLog(spark, os.path.join(root, "sizes"))
+    def start(stream, root, ckpt):
+        out = BatchLog(spark, os.path.join(root, "sizes"))
 
-    def record(batch_df, batch_id):
-        out.write(batch_df.agg(F.count(F.lit(1)).alias("n_rows")), batch_id)
+        def record(batch_df, batch_id):
+            out.write(batch_df.agg(F.count(F.lit(1)).alias("n_rows")), batch_id)
 
-    SO.run_available(stream.writeStream.foreachBatch(record)
-                     .option("checkpointLocation", ckpt))
-    return out.read().select("batch_id", "n_rows")
+        return stream.writeStream.foreachBatch(record).option("checkpointLocation", ckpt)
+
+    root = _staged_events(spark, sf_dir, "microbatch_source", start)
+    return BatchLog(spark, os.path.join(root, "sizes")).read().select("batch_id", "n_rows")
 
 
 @register("idempotent_total", """
@@ -193,21 +203,25 @@ SELECT batch_id, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS count
 FROM (SELECT event_id % 3 AS batch_id, count(*) AS n FROM events GROUP BY 1)""")
 def idempotent_total(spark, sf_dir):
     """Exactly-once running count: each batch applied twice, counted once."""
-    root, ckpt, stream = _staged_events(spark, sf_dir, "idempotent_total")
-    totals = KeyedTable(spark, os.path.join(root, "total"), ["key"])
-    history = BatchLog(spark, os.path.join(root, "history"))
-    SO.run_available(SO.running_total_writer(stream, totals, history, ckpt, replay=True))
-    return history.read().select("batch_id", "count")
+    def start(stream, root, ckpt):
+        totals = KeyedTable(spark, os.path.join(root, "total"), ["key"])
+        history = BatchLog(spark, os.path.join(root, "history"))
+        return SO.running_total_writer(stream, totals, history, ckpt, replay=True)
+
+    root = _staged_events(spark, sf_dir, "idempotent_total", start)
+    return BatchLog(spark, os.path.join(root, "history")).read().select("batch_id", "count")
 
 
 @register("stream_count_with_prev", TJ._CWP_OUT_SQL)
 def stream_count_with_prev(spark, sf_dir):
     """Keyed counts with the previous value, per micro-batch, replayed twice."""
-    root, ckpt, stream = _staged_events(spark, sf_dir, "stream_count_with_prev")
-    state = KeyedTable(spark, os.path.join(root, "state"), ["user_id"])
+    def start(stream, root, ckpt):
+        state = KeyedTable(spark, os.path.join(root, "state"), ["user_id"])
+        updates = BatchLog(spark, os.path.join(root, "updates"))
+        return SO.keyed_count_writer(stream, "user_id", state, updates, ckpt, replay=True)
+
+    root = _staged_events(spark, sf_dir, "stream_count_with_prev", start)
     updates = BatchLog(spark, os.path.join(root, "updates"))
-    SO.run_available(SO.keyed_count_writer(stream, "user_id", state, updates, ckpt,
-                                           replay=True))
     return updates.read().select("user_id", "batch_id", "count",
                                  F.col("prev_count").cast("double"))
 
@@ -238,20 +252,17 @@ def lowest_n_changes(spark, sf_dir):
     only entries that entered a list are reported, with their batch."""
     root, ckpt = _paths(spark, "lowest_n_changes")
     priced = (listings(spark, sf_dir)
-              .withColumn("price", F.regexp_extract("title", r"\$[\s]*([\d]+)", 1)
+              .withColumn("price", F.regexp_extract("title", TX.PRICE_PATTERN, 1)
                           .try_cast("int"))
               .where(F.col("price").isNotNull())
               .withColumn("batch", F.col("link").cast("bigint") % N_BATCHES)
               .select("city", "link", "price", "batch"))
-    land = os.path.join(root, "landing")
-    per_batch = SS.stage_microbatches(priced, "batch", list(range(N_BATCHES)), land,
-                                      spark.sparkContext.defaultParallelism)
-    schema = priced.drop("batch").schema
-    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"), schema, per_batch)
     lists = KeyedTable(spark, os.path.join(root, "lists"), ["city", "link"])
     changes = BatchLog(spark, os.path.join(root, "changes"))
-    SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 5, lists,
-                                        changes, ckpt))
+    for stream in SS.landed_batches(priced, "batch", list(range(N_BATCHES)),
+                                    os.path.join(root, "landing")):
+        SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 5, lists,
+                                            changes, ckpt))
     return changes.read().select("batch_id", "city", "link", "price")
 
 
@@ -307,11 +318,6 @@ def keyed_upsert(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderkey",
         (F.col("o_orderkey") % N_BATCHES).alias("batch"))
-    land = os.path.join(root, "landing")
-    per_batch = SS.stage_microbatches(orders, "batch", list(range(N_BATCHES)), land,
-                                      spark.sparkContext.defaultParallelism)
-    stream = SS.parquet_stream(spark, os.path.join(land, "batch_*"),
-                               orders.drop("batch").schema, per_batch)
     out = KeyedTable(spark, os.path.join(root, "table"), ["o_custkey", "o_orderstatus"])
 
     def upsert(batch_df, batch_id):
@@ -319,7 +325,10 @@ def keyed_upsert(spark, sf_dir):
         for _ in range(2):  # a replayed batch is a no-op
             out.apply(latest, batch_id, order="o_orderkey")
 
-    SO.run_available(stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt))
+    for stream in SS.landed_batches(orders, "batch", list(range(N_BATCHES)),
+                                    os.path.join(root, "landing")):
+        SO.run_available(stream.writeStream.foreachBatch(upsert)
+                         .option("checkpointLocation", ckpt))
     return out.read().select("o_custkey", "o_orderstatus", "o_totalprice")
 
 
@@ -389,12 +398,7 @@ def stream_near_word_counts(spark, sf_dir):
     stream, are flagged by a stream-static join against the quake summary,
     and their words are counted per class in update mode."""
     root, ckpt = _paths(spark, "stream_near_word_counts")
-    ev = SS.table_stream(spark, sf_dir, "events")
-    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
-    msgs = ev.where(~is_quake).select(
-        "event_id", F.concat_ws(" ", "event_type", "props").alias("tweet"),
-        RC.epoch_millis("ts").alias("published"))
-    flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
+    flagged = _flagged_message_stream(spark, sf_dir)
     counts = BY.class_word_counts(flagged, "tweet")
     out = UpdateLog(spark, os.path.join(root, "table"), ["near", "word"])
     SO.run_available(SO.upsert_writer(counts, out, ckpt))
@@ -406,10 +410,7 @@ SELECT near, count(*) AS message_count FROM ({QK._FLAGGED_SQL}) GROUP BY near"""
 def stream_near_totals(spark, sf_dir):
     """Messages per class, maintained by the same flagged stream."""
     root, ckpt = _paths(spark, "stream_near_totals")
-    ev = SS.table_stream(spark, sf_dir, "events")
-    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
-    msgs = ev.where(~is_quake).select("event_id", RC.epoch_millis("ts").alias("published"))
-    flagged = JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")
+    flagged = _flagged_message_stream(spark, sf_dir)
     out = UpdateLog(spark, os.path.join(root, "table"), ["near"])
     SO.run_available(SO.upsert_writer(BY.class_totals(flagged), out, ckpt))
     return out.latest()
@@ -417,8 +418,7 @@ def stream_near_totals(spark, sf_dir):
 
 def _flagged_message_stream(spark, sf_dir):
     ev = SS.table_stream(spark, sf_dir, "events")
-    is_quake = (F.col("event_type") == DV.QUAKE_TYPE) & (F.col("value") > DV.QUAKE_MIN_VALUE)
-    msgs = ev.where(~is_quake).select(
+    msgs = ev.where(~DV.is_quake()).select(
         "event_id", F.concat_ws(" ", "event_type", "props").alias("tweet"),
         RC.epoch_millis("ts").alias("published"))
     return JN.near_flag(msgs, DV.quakes(spark, sf_dir), "published", "time")

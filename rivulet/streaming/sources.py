@@ -1,43 +1,29 @@
 """Streaming sources: tables as file streams, landed text/JSON/XML feeds,
-message-bus readers and micro-batch staging."""
+message-bus readers and landing of micro-batches."""
 
 from __future__ import annotations
 
 import os
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.session import SPREAD_MAX_SPLITS
+# Files per micro-batch of a table read as a stream.
+MAX_FILES = 64
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None,
-                 spread: bool = False) -> DataFrame:
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """A driver table (``{sf_dir}/{name}.parquet``) as a Parquet file stream.
 
-    The schema is taken from the batch table; the glob filter picks the one
-    file out of the shared directory. With ``spread`` (for CPU-heavy row
-    work such as tokenising), a small file that is read by fewer tasks than
-    there are cores is redistributed round-robin inside each micro-batch.
+    The schema is taken from the batch table. The path is a glob for exactly
+    this name, which matches the table as one file and as a folder of part
+    files alike. A micro-batch reads at most ``max_files_per_trigger`` files
+    (default ``MAX_FILES``), so its size is bounded whatever the table's.
     """
-    batch = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    r = (spark.readStream.schema(batch.schema)
-         .option("pathGlobFilter", f"{name}.parquet"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = r.parquet(sf_dir)
-    if not spread:
-        return stream
-    try:
-        target = spark.sparkContext.defaultParallelism
-        n = batch.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-        return stream
-    if n < target and n <= SPREAD_MAX_SPLITS:
-        stream = stream.repartition(target)
-    return stream
+    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
+    return parquet_stream(spark, os.path.join(sf_dir, f"{name}.parque[t]"), schema,
+                          max_files_per_trigger or MAX_FILES)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema,
@@ -79,23 +65,16 @@ def bus_stream(spark: SparkSession, servers: str, topic: str,
                     F.col("topic"), F.col("partition"), F.col("offset")))
 
 
-def stage_microbatches(df: DataFrame, batch_col: str, batches: list, path: str,
-                       files_per_batch: int) -> int:
-    """Land ``df`` as files so that a file stream replays it batch by batch.
+def landed_batches(df: DataFrame, batch_col: str, batches: list, path: str):
+    """Land ``df`` batch by batch: yields the stream over everything landed so far.
 
-    Each batch value is written by its own job, after the previous one, as
-    exactly ``files_per_batch`` files (round-robin partitions, written in
-    parallel; each batch needs at least that many rows). A file stream
-    ordered by modification time with ``maxFilesPerTrigger=files_per_batch``
-    then sees one batch per trigger. Consecutive landings are kept at least
-    a second apart, since object stores report modification times in
-    seconds. Returns ``files_per_batch``.
+    Each batch value is written to its own folder when the caller asks for it;
+    a query run on the yielded stream with ``availableNow`` and one checkpoint
+    then sees exactly the new folder as its next micro-batch, however many
+    files or rows it has.
     """
+    schema = df.drop(batch_col).schema
     for i, b in enumerate(batches):
-        if i:
-            time.sleep(max(0.0, 1.05 - (time.time() - done)))
         (df.where(F.col(batch_col) == F.lit(b)).drop(batch_col)
-         .repartition(files_per_batch)
-         .write.mode("append").parquet(os.path.join(path, f"batch_{i:06d}")))
-        done = time.time()
-    return files_per_batch
+         .write.parquet(os.path.join(path, f"batch_{i:06d}")))
+        yield parquet_stream(df.sparkSession, os.path.join(path, "batch_*"), schema)
