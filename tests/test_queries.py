@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from rivulet.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -40,14 +41,14 @@ def _canon(cols, rs):
 
 
 def test_every_query_has_a_callable_and_oracles_are_known():
-    qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
+    assert set(E.oracle_sql()) <= set(E.queries())
+    qs, sql = registry.queries(), registry.oracles()
+    assert set(qs) <= set(E.queries())
     assert len(qs) >= 60
-    rows_only = set(qs) - set(sql)
-    assert rows_only == {"reach_approx"}
+    assert set(sql) == set(qs)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracles()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = sdf.columns, [tuple(r) for r in sdf.collect()]
@@ -59,11 +60,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(s_cols, s_rows) == _canon(d_cols, d_rows)
 
 
-@pytest.mark.parametrize("name", ["reach_approx"])
-def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF_SMALL).count() > 0
-
-
 def test_entry_flagship(spark):
     df = E.entry(spark)
     assert df.columns == ["request_id", "p_quake_given_tweet"]
