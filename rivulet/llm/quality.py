@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.textcore import SPACE, Words, chunks, mix, row_sums, text_bytes
 
-MAX_ROWS = 20_000
+MAX_ROWS, WIDTH = 20_000, 26
 SHAPE = {"trees": 80, "depth": 4, "bins": 64, "rate": 0.15, "l2": 1.0, "least": 8}
 
 _KIND = np.zeros((256, 6), bool)  # upper, lower, digit, sentence end, symbol, not ASCII
@@ -72,7 +72,7 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         order = np.lexsort((hashes, doc))
         h, d = hashes[order], doc[order]
         if not len(h):
-            return [np.zeros(rows)] * 3
+            return [np.zeros(rows), np.zeros(rows), np.ones(rows)]
         begin = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]))))
         times = np.diff(np.append(begin, len(h))).astype(np.float64)
         d = d[begin]
@@ -217,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # max_rows rows
             .select("y", "text").mapInArrow(_features, "y int, x array<double>").toArrow())
     y = np.asarray(rows["y"].combine_chunks(), np.float64)
-    x = np.asarray(rows["x"].combine_chunks().flatten(), np.float64).reshape(len(y), -1)
+    x = np.asarray(rows["x"].combine_chunks().flatten(), np.float64).reshape(len(y), WIDTH)
     order = np.lexsort((*x.T, y))  # the model does not depend on the order of arrival
     return fit(x[order], y[order], **SHAPE)
 
