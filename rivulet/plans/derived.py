@@ -108,7 +108,8 @@ def _xml_text(c):
 
 
 def xml_entries(spark: SparkSession, sf_dir: str,
-                where=None) -> DataFrame:
+                where=None,
+                keep: tuple = ()) -> DataFrame:
     """``events`` as ActivityStreams XML entries in column ``str``.
 
     'signup' entries are deletion notices; 'click' entries have no title and
@@ -137,7 +138,20 @@ def xml_entries(spark: SparkSession, sf_dir: str,
         F.lit('<object><content type="html">'),
         _xml_text(F.concat_ws(" ", et, "props")), F.lit("</content></object></entry>"))
     return ev.withColumn("_doc", doc).select(
-        _maybe_broken(F.col("_doc")).alias("str"), "event_type")
+        _maybe_broken(F.col("_doc")).alias("str"), "event_type", *keep)
+
+
+def xml_feed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed document per user (column ``str``): a root element with the user's
+    entries and the address of the next request. 'error' entries, which are
+    malformed, would spoil the whole document and are no part of it."""
+    whole = xml_entries(spark, sf_dir, where=F.col("event_type") != QUAKE_TYPE,
+                        keep=("user_id", "event_id"))
+    docs = whole.groupBy("user_id").agg(
+        F.concat_ws("", F.collect_list("str")).alias("body"), F.max("event_id").alias("last"))
+    return docs.select(F.concat(
+        F.lit('<results refreshURL="http://feed.example/after/'), F.col("last").cast("string"),
+        F.lit('">'), F.col("body"), F.lit("</results>")).alias("str"))
 
 
 def geojson_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

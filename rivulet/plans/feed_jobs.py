@@ -23,7 +23,7 @@ _FEED_SQL = """
          coalesce(CASE WHEN event_type = 'purchase' THEN NULL
                        ELSE 'http://feed.example/e/' || CAST(event_id AS VARCHAR) END, '???')
            AS message,
-         event_type
+         event_type, user_id
   FROM events WHERE event_type <> 'error'"""
 
 
@@ -51,16 +51,26 @@ def xml_feed_events(spark, sf_dir):
     return DOC.xml_feed_events(DV.xml_entries(spark, sf_dir))
 
 
+@register("xml_feed_documents", f"""
+SELECT 'http://feed.example/after/' || CAST(u.last AS VARCHAR) AS refresh_url, id, message
+FROM ({_FEED_SQL}) f JOIN (
+  SELECT user_id, max(event_id) AS last FROM events WHERE event_type <> 'error'
+  GROUP BY user_id) u USING (user_id)""")
+def xml_feed_documents(spark, sf_dir):
+    """Root documents with many entries each: one message per entry, with the cursor."""
+    return DOC.xml_feed_documents(DV.xml_feed_docs(spark, sf_dir)).select(
+        "refresh_url", "id", "message")
+
+
 @register("feed_union", f"""
 SELECT id, message FROM ({_FEED_SQL}) WHERE event_type = 'click'
 UNION ALL
-SELECT id, message FROM ({_FEED_SQL}) WHERE event_type = 'view'""")
+SELECT id, message FROM ({_FEED_SQL}) WHERE event_type <> 'click'""")
 def feed_union(spark, sf_dir):
-    """Two feeds (click entries, view entries) into one consumer."""
-    clicks = DV.xml_entries(spark, sf_dir, where=F.col("event_type") == "click")
-    views = DV.xml_entries(spark, sf_dir, where=F.col("event_type") == "view")
-    a = DOC.xml_feed_events(clicks).select("id", "message")
-    b = DOC.xml_feed_events(views).select("id", "message")
+    """Two feeds (click entries, all other entries) into one consumer."""
+    click = F.col("event_type") == "click"
+    feeds = [DV.xml_entries(spark, sf_dir, where=w) for w in (click, ~click)]
+    a, b = (DOC.xml_feed_events(f).select("id", "message") for f in feeds)
     return a.unionByName(b)
 
 

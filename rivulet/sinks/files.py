@@ -35,6 +35,14 @@ def bus_sink(df: DataFrame, servers: str, topic: str, line: str = "line",
             .option("topic", topic))
 
 
+def feed_to_bus(documents: DataFrame, servers: str, topic: str, col: str = "str",
+                checkpoint: str | None = None):
+    """Writer that sends every entry's message of landed feed documents to a topic."""
+    from rivulet.sources.documents import xml_feed_documents
+
+    return bus_sink(xml_feed_documents(documents, col), servers, topic, "message", checkpoint)
+
+
 def console_sink(df: DataFrame, num_rows: int = 20, truncate: bool = False):
     """Log sink for streams (``writeStream.format('console')``)."""
     return (df.writeStream.format("console").option("numRows", num_rows)

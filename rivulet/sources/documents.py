@@ -39,6 +39,12 @@ XML_ENTRY_SCHEMA = T.StructType([
     T.StructField("object", T.StructType([T.StructField("content", T.StringType())])),
 ])
 
+# A feed's root document: its entries, and the address of the next request.
+XML_FEED_SCHEMA = T.StructType([
+    T.StructField("_refreshURL", T.StringType()),
+    T.StructField("entry", T.ArrayType(XML_ENTRY_SCHEMA)),
+])
+
 RSS_CHANNEL_SCHEMA = T.StructType([
     T.StructField("channel", T.StructType([
         T.StructField("item", T.ArrayType(T.StructType([
@@ -97,6 +103,21 @@ def parse_xml_entries(df: DataFrame, col: str = "str") -> DataFrame:
     ], ["id", "published"])
 
 
+def xml_feed_documents(df: DataFrame, col: str = "str") -> DataFrame:
+    """Root documents of a feed as ``(refresh_url, id, title, href, message)``, one
+    row per entry, with the cursor of the request that would follow. A document
+    that does not parse gives no rows."""
+    from rivulet.functions.text import event_message
+
+    doc = F.from_xml(F.col(col), XML_FEED_SCHEMA, {"mode": "PERMISSIVE"})
+    entries = df.select(doc.alias("d")).select(
+        F.col("d._refreshURL").alias("refresh_url"), F.explode("d.entry").alias("e"))
+    href = F.get(F.col("e.link"), 0)["_href"]
+    return entries.select("refresh_url", F.col("e.id").alias("id"), F.col("e.title").alias("title"),
+                          href.alias("href"), event_message(F.col("e.title"), href)
+                          .alias("message"))
+
+
 def xml_feed_events(df: DataFrame, col: str = "str") -> DataFrame:
     """Feed entries as ``(id, title, href, message)`` where message is
     ``title ---> first link href``; entries that do not parse are dropped."""

@@ -39,6 +39,42 @@ def test_xml_entries(spark):
                     ("a-2", "a kite was removed ---> ???"), ("a-3", "null ---> ???")]
 
 
+def test_feed_documents_have_many_entries(spark):
+    root = f'<results refreshURL="http://next.example/7">{SHARED}{NO_LINK}</results>'
+    df = spark.createDataFrame([(root,), ("<results refreshURL='x'></results>",), (root[:90],)],
+                               "str string")
+    got = rows(DOC.xml_feed_documents(df), "refresh_url", "id", "message")
+    assert got == [("http://next.example/7", "a-1", "a kite was shared ---> http://kites.example/1"),
+                   ("http://next.example/7", "a-3", "null ---> ???")]
+
+
+def test_feed_to_bus_is_configured(spark):
+    from rivulet.sinks.files import feed_to_bus
+
+    class Recorder:
+        def __init__(self):
+            self.made = {}
+
+        def format(self, name):
+            self.made["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.made[key] = value
+            return self
+
+    import rivulet.sinks.files as SK
+
+    made = Recorder()
+    frame = type("Frame", (), {"isStreaming": True, "writeStream": made,
+                               "select": lambda self, *c: self})()
+    SK.bus_sink(frame, "host:9092", "feed", "message", "/ck")
+    assert made.made == {"format": "kafka", "kafka.bootstrap.servers": "host:9092",
+                         "topic": "feed", "checkpointLocation": "/ck"}
+    docs = spark.createDataFrame([("<results></results>",)], "str string")
+    assert type(feed_to_bus(docs, "host:9092", "feed")).__name__ == "DataFrameWriter"
+
+
 def test_json_entries(spark):
     docs = ['{"id": "1", "postedTime": "2021-03-04T05:06:07.000Z", "object": {"summary": "quake!"}}',
             '{"id": "2", "postedTime": "2021-03-04T05:06:07+00:00", "object": {"summary": "hi"}}',
