@@ -60,16 +60,19 @@ def event_ms(ts: str = "ts"):
     return epoch_millis(ts)
 
 
+def _quake():
+    return (F.col("event_type") == QUAKE_TYPE) & (F.col("value") > QUAKE_MIN_VALUE)
+
+
 def is_quake():
     """Is an event a quake? Never NULL: an event without a type or value is not."""
-    quake = (F.col("event_type") == QUAKE_TYPE) & (F.col("value") > QUAKE_MIN_VALUE)
-    return F.coalesce(quake, F.lit(False))
+    return F.coalesce(_quake(), F.lit(False))
 
 
 def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, time)``: quake events with their epoch-ms time."""
     ev = table(spark, sf_dir, "events")
-    return (ev.where(is_quake())
+    return (ev.where(_quake())  # pushed down to the scan
             .select("event_id", event_ms().alias("time")))
 
 
