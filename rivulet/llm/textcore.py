@@ -9,6 +9,7 @@ longer than the bound is a chunk of its own and is processed whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,22 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FOLDED = _BYTE[LOWER]
 _BASE = 0x9E3779B97F4A7C1B  # odd, 3 mod 8
 _INV = pow(_BASE, -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
+    if len(_POWERS.get(base, ())) < n:
+        _POWERS[base] = _powers(base, max(n, 1 << 16))
+    return _POWERS[base][:n]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
     out = np.ones(max(1, n), np.uint64)
     k = 1
     while k < n:
@@ -94,10 +105,16 @@ class Words:
         self.start, self.end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
         self.doc = np.searchsorted(off, self.start, "right") - 1
         self.count = np.bincount(self.doc, minlength=len(off) - 1)
+        self._data = data
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        n = len(self._data)
+        if not n:
+            return np.empty(0, np.uint64)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[LOWER[data]] * powers(_BASE, n)[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * powers(_INV, n)[self.start]) \
-            if n else np.empty(0, np.uint64)
+        np.cumsum(_FOLDED[self._data] * powers(_BASE, n), out=total[1:])
+        return mix((total[self.end] - total[self.start]) * powers(_INV, n)[self.start])
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
