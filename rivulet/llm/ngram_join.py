@@ -26,8 +26,9 @@ class against one leader, linear in the index. Classes already connected need
 no further test, and the pairs of unconnected classes that are left are counted.
 As long as a star at least halves them (a large group of near copies) another
 one follows, with other leaders; then, or when they are few against the index,
-all pairs with enough common signatures are verified. Every such pair is in
-the end either verified or already connected, so components are exact.
+all of them are tried: as rows for signatures of few classes, as pairs of blocks
+compared inside a task for the others. Every pair that shares a signature is in
+the end either tried or already connected, so components are exact.
 Verification first compares sizes and parity words, which bound the number of
 tokens that differ from below, and then intersects the full sets.
 
@@ -43,7 +44,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import connected_components, stored
@@ -53,6 +55,7 @@ FREQUENT_SHARE = 1 << 17   # a frequent token holds at least 1/this of all token
 STRETCH = 1 << 21          # shingles counted together in a task
 FEW = 1 << 19              # ids that may be broadcast
 WORDS = 32                 # parity words of a set
+SMALL, BLOCK = 32, 256     # classes of a signature that are joined as rows; in a block
 STARS = 12                 # star rounds before all remaining pairs are verified
 _NODE, _CELL = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -211,6 +214,58 @@ def _least_shared() -> F.Column:
     return F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("bucket") - 4)))
 
 
+def _pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of unconnected classes that share a signature, from
+    ``members(sig, size, node, comp)``.
+
+    Signatures of up to ``SMALL`` classes are joined with themselves, at most
+    ``SMALL`` rows for each. Larger ones are packed into blocks; a task compares
+    the sizes and parities of two blocks and returns the pairs that may link.
+    """
+    x = members.where(F.col("size") <= SMALL)
+    y = x.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
+    few = x.join(y, "sig").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("other")))
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK))
+    big = (members.where(F.col("size") > SMALL)
+           .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+           .join(sets.select("node", "n", "parity"), "node")
+           .groupBy("sig", "block").agg(F.collect_list(
+               F.struct("node", "comp", "n", "parity")).alias("x")))
+    big = stored(big, "ngram-blocks")
+    two = big.select("sig", F.col("block").alias("block2"), F.col("x").alias("y"))
+    many = (big.join(two, "sig").where("block <= block2")
+            .withColumn("same", F.col("block") == F.col("block2"))
+            .select("same", "x", "y").mapInArrow(_compare(num, den), "a bigint, b bigint"))
+    return few.select(F.col("node").alias("a"), "b").unionByName(many)
+
+
+def _compare(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def columns(block):
+            parity = np.asarray(pc.list_flatten(block.field("parity"))).view(np.uint64)
+            return (*(np.asarray(block.field(c)) for c in ("node", "comp", "n")),
+                    parity.reshape(-1, WORDS))
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                node, comp, n, odd = columns(batch.column("x")[i].values)
+                node2, comp2, n2, odd2 = columns(batch.column("y")[i].values)
+                differ = np.zeros((len(node), len(node2)), np.int64)
+                for k in range(WORDS):
+                    differ += np.bitwise_count(odd[:, k, None] ^ odd2[None, :, k])
+                total = n[:, None] + n2[None, :]
+                near = ((comp[:, None] != comp2[None, :])
+                        & (den * np.minimum(n[:, None], n2) >= num * np.maximum(n[:, None], n2))
+                        & ((total - differ) * den >= (total + differ) * num))
+                if batch.column("same")[i].as_py():
+                    near &= node[:, None] < node2[None, :]
+                a, b = np.nonzero(near)
+                a, b = node[a], node2[b]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    return run
+
+
 def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that their parities do not exclude. Every token of one set only turns
     one class, so the classes that differ are at most the tokens that differ."""
@@ -245,7 +300,7 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             members = post.withColumn("comp", F.col("node"))
         else:
             members = post.join(comps, post["node"] == comps["id"], "left").select(
-                "sig", "node", "bucket", F.coalesce("root", "node").alias("comp"))
+                "sig", "node", F.coalesce("root", "node").alias("comp"))
         members = stored(members, "ngram-members")
         parts = members.groupBy("sig", "comp").agg(
             F.count(F.lit(1)).alias("n"),
@@ -262,14 +317,8 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         last = r == STARS or left <= 4 * size or (before is not None and 2 * left > before)
         before = left
         if last:
-            x = members.join(open_sigs.select("sig"), "sig", "left_semi")
-            x = stored(x, "ngram-open-members")
-            y = x.select("sig", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-            cand = x.join(y, "sig").where((F.col("node") < F.col("other"))
-                                          & (F.col("comp") != F.col("other_comp")))
-            pairs = (cand.groupBy(F.col("node").alias("a"), F.col("other").alias("b"), "bucket")
-                     .agg(F.count(F.lit(1)).alias("shared"))
-                     .where(F.col("shared") >= _least_shared()).select("a", "b"))
+            x = members.join(open_sigs.select("sig", F.col("n").alias("size")), "sig")
+            pairs = _pairs(stored(x, "ngram-open-members"), sets, num, den)
         else:
             cand = members.join(open_sigs.select("sig", "best"), "sig").where(
                 F.col("comp") != F.col("best.comp"))
@@ -302,8 +351,16 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
               .where("lo <> hi").select("sig"))
     post = stored(index.join(stored(shared, "ngram-shared"), "sig").distinct(), "ngram-shared-index")
     strong = post.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= _least_shared()).select("node", "bucket")
-    post = stored(post.join(stored(strong, "ngram-strong"), ["node", "bucket"]), "ngram-post")
+        F.col("n") >= _least_shared())
+    strong = stored(strong.select("node", "bucket", "n"), "ngram-strong")
+    # Of the signatures that a set shares, the least_shared - 1 most frequent may
+    # go: the rarest one that two linked sets have in common stays in both.
+    sizes = stored(post.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "ngram-sizes")
+    rarest = Window.partitionBy("node", "bucket").orderBy("size", "sig")
+    post = (post.join(strong, ["node", "bucket"]).join(sizes, "sig")
+            .withColumn("place", F.row_number().over(rarest))
+            .where(F.col("place") <= F.col("n") - _least_shared() + 1))
+    post = stored(post.select("sig", "node"), "ngram-post")
     needed = stored(post.select("node").distinct().join(classes, "node"), "ngram-needed")
     ids = needed.select(F.col("first").alias("doc_id")).distinct()
     if needed.count() <= FEW:  # at most 8 bytes each; beyond it the join shuffles the texts
