@@ -8,9 +8,15 @@
    the current basis, Spark sums the products per column, and the driver only
    orthonormalises the basis (columns of the benchmark's own words).
 3. Candidate search: every document is read as windows of two neighbouring
-   blocks, every window is projected, and passages whose cosine with it is at
-   least ``COSINE`` are candidates. The passages are a stated query set, taken
-   in blocks of ``ITEMS`` items; every window of every document is searched.
+   blocks. A passage is a candidate wherever its anchors (the heaviest words,
+   ``ANCHOR`` of its weight) weigh as much as they must if ``PARAPHRASE`` of the
+   whole is there, so a passage that would stand the checks of 4. in any window is
+   always checked, whatever the number of passages. Passages of fewer than
+   ``SHORT`` words are compared in place at each occurrence of their heaviest word.
+   The passages are a stated query set, taken in blocks of ``ITEMS`` items; every
+   window of every document is searched. The candidate's cosine with the window in
+   the latent space is given with the hit and excludes nothing: ``RANK`` directions
+   keep less of each passage the more passages there are.
 4. Checks on the candidate's surroundings, in the same task: the longest common
    subsequence with the passage, weighted by inverse frequency, is a copy from
    ``COPY`` of the passage's weight on. From ``PARAPHRASE`` on it is a paraphrase
@@ -41,7 +47,8 @@ from pyspark.sql import functions as F
 from rivulet.llm.textcore import NOT_WORD, Words, chunks, text_bytes
 
 BLOCK, COLUMNS, RANK, ITEMS = 24, 1 << 18, 128, 20_000
-COSINE, COPY, PARAPHRASE, ANSWER, SHORT = 0.2, 0.65, 0.55, 0.55, 8
+COPY, PARAPHRASE, ANSWER, SHORT = 0.65, 0.55, 0.55, 8
+ANCHOR = 0.85
 _OVER, _STEPS = 16, 2
 
 
@@ -199,8 +206,11 @@ def check(words: np.ndarray, weight: np.ndarray, region: np.ndarray):
             if len(region) >= n else np.empty((0, n), np.uint64)
         at = np.flatnonzero((spans == words).all(1))
         return ("copy", 1.0, 1.0, int(at[0]) + n) if len(at) else (None, 0.0, 0.0, 0)
+    total = weight.sum()
+    if weight[(words[:, None] == region).any(1)].sum() < PARAPHRASE * total * (1 - 1e-9):
+        return None, 0.0, 0.0, 0  # in any order
     best, end = common_weight(words, weight, region)
-    share = best / weight.sum()
+    share = best / total
     rare = np.argsort(-weight, kind="stable")[:-(-n // 3)]
     there = np.isin(words[rare], region)
     answer = (weight[rare] * there).sum() / weight[rare].sum()
@@ -209,13 +219,106 @@ def check(words: np.ndarray, weight: np.ndarray, region: np.ndarray):
     return kind, float(share), float(answer), end
 
 
-def _search(model, cosine: float):
+def _weight(idf: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return np.maximum(idf[_column(words)], 1e-6).astype(np.float64)
+
+
+def anchors(queries: list[np.ndarray], weight: list[np.ndarray]) -> tuple:
+    """Postings ``(start, passage, value)`` by column. Of long passages the anchors,
+    whose values sum to 1 where ``PARAPHRASE`` of the passage can be; of short
+    ones the heaviest word, with its place in the passage."""
+    long, short = [], []
+    for q, (words, v) in enumerate(zip(queries, weight, strict=True)):
+        column = _column(words)
+        if len(words) < SHORT:
+            at = int(np.argmax(v))
+            short.append((column[at:at + 1], [q], [at]))
+            continue
+        column, inverse = np.unique(column, return_inverse=True)
+        v = np.bincount(inverse, v)
+        order = np.argsort(-v, kind="stable")
+        reach = np.cumsum(v[order])
+        n = int(np.searchsorted(reach, ANCHOR * reach[-1])) + 1
+        order = order[:n]
+        need = v[order].sum() - (1 - PARAPHRASE) * reach[-1]
+        long.append((column[order], np.full(len(order), q), v[order] / need))
+    out = []
+    for part in (long, short):
+        column, q, v = (np.concatenate(x) for x in zip(*part, strict=True)) if part else (
+            np.empty(0, np.int64),) * 3
+        order = np.argsort(column, kind="stable")
+        start = np.zeros(COLUMNS + 1, np.int64)
+        np.cumsum(np.bincount(column, minlength=COLUMNS), out=start[1:])
+        out.append((start, q[order].astype(np.int64), v[order]))
+    return tuple(out)
+
+
+def _postings(start: np.ndarray, column: np.ndarray):
+    """``(word, posting)`` of all postings of the columns."""
+    n = start[column + 1] - start[column]
+    word = np.repeat(np.arange(len(column)), n)
+    return word, np.arange(len(word)) + (start[column] - (np.cumsum(n) - n))[word]
+
+
+def _anchored(long, size: np.ndarray, column: np.ndarray, at: np.ndarray, row: np.ndarray):
+    """``(block, passage)`` pairs in whose surroundings (as :func:`check` gets them)
+    the anchors weigh enough; ``column`` and ``at`` are the words of each block."""
+    start, passage, value = long
+    word, post = _postings(start, column)
+    blocks = len(row)
+    key = passage[post] * blocks + at[word]
+    order = np.argsort(key, kind="stable")
+    key, v = key[order], value[post[order]]
+    total = np.concatenate(([0.0], np.cumsum(v)))
+    there = key[np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))] \
+        if len(key) else key
+    q, b = np.divmod(there, max(blocks, 1))
+    opens = np.searchsorted(row, row, "left")
+    closes = np.searchsorted(row, row, "right") - 1
+    wide = -(-size // BLOCK)
+    # All blocks of any window whose surroundings hold this block.
+    lo = np.searchsorted(key, q * blocks + np.maximum(b - 1 - 2 * wide[q], opens[b]), "left")
+    hi = np.searchsorted(key, q * blocks + np.minimum(b + 1 + 2 * wide[q], closes[b]), "right")
+    ok = total[hi] - total[lo] >= 1 - 1e-6
+    q, b = q[ok], b[ok]
+    out = []
+    for d in range(-int(wide.max(initial=0)) - 1, int(wide.max(initial=0)) + 1):
+        k = b + d
+        ok = (d <= wide[q]) & (d >= -wide[q] - 1) & (k >= opens[b]) & (k <= closes[b])
+        k, p = k[ok], q[ok]
+        lo = np.searchsorted(key, p * blocks + np.maximum(k - wide[p], opens[k]), "left")
+        hi = np.searchsorted(key, p * blocks + np.minimum(k + 1 + wide[p], closes[k]), "right")
+        ok = total[hi] - total[lo] >= 1 - 1e-6
+        out.append(k[ok] * len(size) + p[ok])
+    return np.unique(np.concatenate(out))
+
+
+def _in_place(short, queries: list[np.ndarray], w: Words, first: np.ndarray):
+    """``(first word, passage)`` of each occurrence of a short passage."""
+    start, passage, place = short
+    word, post = _postings(start, _column(w.hash))
+    q = passage[post]
+    s = word - place[post].astype(np.int64)
+    size = np.array([len(x) if len(x) < SHORT else 0 for x in queries], np.int64)
+    ok = (s >= first[w.doc[word]]) & (s + size[q] <= first[w.doc[word] + 1])
+    s, q = s[ok], q[ok]
+    padded = np.zeros((len(queries), SHORT), np.uint64)
+    for k in np.unique(q):
+        padded[k, :size[k]] = queries[k]
+    for j in range(SHORT - 1):
+        ok = (j >= size[q]) | (w.hash[np.minimum(s + j, len(w.hash) - 1)] == padded[q, j])
+        s, q = s[ok], q[ok]
+    return s, q
+
+
+def _search(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, place, vectors, units, queries, ids = model.value
+        idf, place, vectors, units, queries, ids, (long, short) = model.value
+        lengths = np.array([len(x) for x in queries], np.int64)
         schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("kind", pa.string()),
                             ("cosine", pa.float64()), ("lcs", pa.float64()),
                             ("answer", pa.float64()), ("end_word", pa.int64())])
-        item_weights = [np.maximum(idf[_column(q)], 1e-6).astype(np.float64) for q in queries]
+        item_weights = [_weight(idf, q) for q in queries]
         for b in chunks(batches, "text"):
             w = _words(b.column("text"))
             if not len(w.hash):
@@ -224,34 +327,42 @@ def _search(model, cosine: float):
             keep = np.flatnonzero(_distinct(block, w))
             col = _column(w.hash[keep])
             value, at = idf[col], block[keep]
-            square = np.bincount(at, value.astype(np.float64) ** 2, len(row))
+            first = np.concatenate(([0], np.cumsum(w.count)))
+            opens = np.searchsorted(block, np.arange(len(row)))
+            s, q = _in_place(short, queries, w, first)
+            found_at = np.union1d(_anchored(long, lengths, col, at, row),
+                                  block[s] * len(queries) + q)
+            if not len(found_at):
+                continue
+            window, passage = np.divmod(found_at, len(queries))
+            # A window is a block and its follower in the same row.
+            paired = np.zeros(len(row) + 1, bool)
+            paired[:len(row) - 1] = row[1:] == row[:-1]
+            seen = np.zeros(len(row) + 1, bool)
+            seen[window] = seen[window + 1] = True
+            square = np.bincount(at, value.astype(np.float64) ** 2, len(row) + 1)
             term = place[col]
-            known = term >= 0
-            sums = np.zeros((len(row), vectors.shape[1]), np.float32)
+            known = (term >= 0) & seen[at]
+            slot = np.cumsum(seen) - 1
+            sums = np.zeros((seen.sum(), vectors.shape[1]), np.float32)
             if known.any():
-                part, into = vectors[term[known]] * value[known, None], at[known]
+                part, into = vectors[term[known]] * value[known, None], slot[at[known]]
                 begin = np.flatnonzero(np.concatenate(([True], into[1:] != into[:-1])))
                 sums[into[begin]] = np.add.reduceat(part, begin, axis=0)
-            # A window is a block and its follower in the same row.
-            paired = np.zeros(len(row), bool)
-            paired[:-1] = row[1:] == row[:-1]
-            pair = np.flatnonzero(paired)
-            sums[pair] += sums[pair + 1]
-            square[pair] += square[pair + 1]
-            sums /= np.sqrt(np.maximum(square, 1e-30))[:, None].astype(np.float32)
             found: dict[tuple[int, int], tuple] = {}
-            first = np.concatenate(([0], np.cumsum(w.count)))
-            opens = np.searchsorted(block, np.arange(len(row)))
-            for lo in range(0, len(row), 4096):
-                like = sums[lo:lo + 4096] @ units.T
-                for k, q in np.argwhere(like >= cosine):
-                    k += lo
+            for lo in range(0, len(window), 4096):
+                ks, qs = window[lo:lo + 4096], passage[lo:lo + 4096]
+                both = paired[ks]
+                vector = sums[slot[ks]] + sums[slot[ks + 1]] * both[:, None]
+                norm = np.sqrt(np.maximum(square[ks] + square[ks + 1] * both, 1e-30))
+                like = (vector * units[qs]).sum(1) / norm
+                for k, q, cos in zip(ks, qs, like, strict=True):
                     words, d = queries[q], int(row[k])
                     a = max(first[d], opens[k] - len(words))
                     z = min(first[d + 1], opens[k] + 2 * BLOCK + len(words))
                     kind, share, answer, end = check(words, item_weights[q], w.hash[a:z])
                     key = (d, ids[q])
-                    hit = (share, answer, float(like[k - lo, q]), int(a + end - first[d]), kind)
+                    hit = (share, answer, float(cos), int(a + end - first[d]), kind)
                     if kind and (key not in found or hit > found[key]):
                         found[key] = hit
             if found:
@@ -268,7 +379,7 @@ HITS = ("doc_id bigint, item_id bigint, kind string, cosine double, lcs double,
         "end_word bigint")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item found in it: ``HITS``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -289,10 +400,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataF
         units = np.zeros((len(runs), vectors.shape[1]), np.float32)
         np.add.at(units, index, vectors[place[cols]] * values[:, None].astype(np.float32))
         units /= np.maximum(np.sqrt((units ** 2).sum(1)), 1e-30)[:, None]
-        ids = block["item_id"].to_pylist()
+        ids, queries = block["item_id"].to_pylist(), [h for _, h in runs]
         model = spark.sparkContext.broadcast(
-            (idf, place, vectors, units, [h for _, h in runs], [ids[r] for r, _ in runs]))
-        out = out.unionByName(docs.mapInArrow(_search(model, cosine), HITS))
+            (idf, place, vectors, units, queries, [ids[r] for r, _ in runs],
+             anchors(queries, [_weight(idf, q) for q in queries])))
+        out = out.unionByName(docs.mapInArrow(_search(model), HITS))
     return out
 
 

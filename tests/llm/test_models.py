@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +230,58 @@ def test_common_weight_is_the_heaviest_common_subsequence():
                                           table[i][j] + (v[i] if a[i] == b[j] else 0))
         got, _ = decontaminate.common_weight(np.array(a), np.array(v), np.array(b))
         assert got == pytest.approx(table[-1][-1])
+
+
+@pytest.mark.parametrize("items", [200, 2000])
+def test_no_copy_is_lost_however_many_passages(spark, items):
+    """Word-for-word copies of items of 3 to 60 words, in documents of other words."""
+    rnd = random.Random(items)
+    zipf = [1 / (k + 3) for k in range(20_000)]
+
+    def words(n):
+        return [f"w{k}" for k in rnd.choices(range(20_000), zipf, k=n)]
+
+    bench = [(k, words(3 + k % 58)) for k in range(items)]
+    docs, planted = [], set()
+    for k, item in bench[::items // 100]:
+        text = words(rnd.randrange(40, 200))
+        at = rnd.randrange(len(text))
+        docs.append((k, " ".join(text[:at] + item + text[at:])))
+        planted.add((k, k))
+    got = decontaminate.hits(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in bench],
+                              "item_id bigint, text string")).collect()
+    assert planted <= {(r["doc_id"], r["item_id"]) for r in got if r["kind"] == "copy"}
+
+
+def test_hits_match_a_check_of_every_window_and_passage(spark):
+    rnd = random.Random(5)
+    words = [f"w{k}" for k in range(3000)]
+    zipf = [1 / (k + 3) for k in range(3000)]
+    bench = [(k, rnd.choices(words, zipf, k=rnd.randrange(3, 100))) for k in range(150)]
+    docs = []
+    for k in range(24):
+        text = rnd.choices(words, zipf, k=rnd.randrange(10, 150))
+        item = [w for w in bench[5 * k][1] if rnd.random() < (1, 0.75, 0.62)[k % 3]]
+        docs.append((k, " ".join(text[:30] + item + text[30:])))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = decontaminate.hits(docs, spark.createDataFrame(
+        [(k, " ".join(w)) for k, w in bench], "item_id bigint, text string")).collect()
+    idf, want, block = decontaminate.weights(docs), set(), decontaminate.BLOCK
+    texts = pa.array([" ".join(w) for _, w in bench])
+    for r in docs.collect():
+        w = decontaminate._words(pa.array([r["text"]])).hash
+        for q, p in decontaminate.passages(texts):
+            v = decontaminate._weight(idf, p)
+            for a in range(0, len(w), block):
+                region = w[max(0, a - len(p)):a + 2 * block + len(p)]
+                if len(p) < decontaminate.SHORT:
+                    kind = decontaminate.check(p, v, region)[0]
+                else:
+                    share = decontaminate.common_weight(p, v, region)[0] / v.sum()
+                    kind = share >= decontaminate.PARAPHRASE and \
+                        decontaminate.check(p, v, region)[0]
+                if kind:
+                    want.add((r["doc_id"], q))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and want
