@@ -144,14 +144,27 @@ def xml_entries(spark: SparkSession, sf_dir: str,
         _maybe_broken(F.col("_doc")).alias("str"), "event_type", *keep)
 
 
-def xml_feed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One feed document per user (column ``str``): a root element with the user's
-    entries and the address of the next request. 'error' entries, which are
-    malformed, would spoil the whole document and are no part of it."""
+#: Entries of a feed document, about.
+PAGE = 1000
+
+
+def xml_feed_docs(spark: SparkSession, sf_dir: str, page: int = PAGE) -> DataFrame:
+    """Feed documents per user (column ``str``): a root element with about ``page``
+    of the user's entries (all, if there are no more) and the address of the next
+    request, which is the user's and the same in all. A document never grows with
+    its user: entries are dealt to as many as their number asks for, by event_id.
+    'error' entries, which are malformed, would spoil the whole document and are no
+    part of it."""
     whole = xml_entries(spark, sf_dir, where=F.col("event_type") != QUAKE_TYPE,
                         keep=("user_id", "event_id"))
-    docs = whole.groupBy("user_id").agg(
-        F.concat_ws("", F.collect_list("str")).alias("body"), F.max("event_id").alias("last"))
+    users = table(spark, sf_dir, "events").where(F.col("event_type") != QUAKE_TYPE) \
+        .groupBy("user_id").agg(F.max("event_id").alias("last"),
+                                F.ceil(F.count(F.lit(1)) / F.lit(page)).alias("pages"))
+    dealt = whole.join(users, "user_id").withColumn(
+        "page", F.pmod(F.xxhash64("event_id"), F.col("pages")))
+    # By user and page at once: an aggregate after the join would keep a user in one task.
+    docs = dealt.repartition("user_id", "page").groupBy("user_id", "page").agg(
+        F.concat_ws("", F.collect_list("str")).alias("body"), F.max("last").alias("last"))
     return docs.select(F.concat(
         F.lit('<results refreshURL="http://feed.example/after/'), F.col("last").cast("string"),
         F.lit('">'), F.col("body"), F.lit("</results>")).alias("str"))

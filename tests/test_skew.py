@@ -12,6 +12,8 @@ from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import topk as TK
 from rivulet.operators.reach import reach
+from rivulet.plans import derived as DV
+from rivulet.sources import documents as DOC
 from tests.conftest import rows
 
 
@@ -93,3 +95,21 @@ def test_hot_key_max_and_last_wins(spark):
     assert mx["hot"] == 999.0
     last = dict(rows(df.groupBy("k").agg(F.max_by("v", "seq").alias("v"))))
     assert last["hot"] == float(2999 % 1000)
+
+
+def test_hot_users_feed_is_cut_into_documents(spark, tmp_dir):
+    (spark.range(9000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("ts"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("bigint")
+        .alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("p").alias("props"))
+     .write.parquet(f"{tmp_dir}/events.parquet"))
+    docs = DV.xml_feed_docs(spark, tmp_dir, page=100)
+    entries = [r["str"].count("<entry>") for r in docs.collect()]
+    assert sum(entries) == 9000 and max(entries) < 200
+    got = DOC.xml_feed_documents(docs).groupBy("refresh_url").agg(
+        F.count("id").alias("n"), F.countDistinct("id").alias("ids")).collect()
+    last = {7 if k % 3 == 0 else k % 500: k for k in range(9000)}
+    assert {r["refresh_url"] for r in got} == {
+        f"http://feed.example/after/{k}" for k in last.values()}
+    assert sum(r["n"] for r in got) == sum(r["ids"] for r in got) == 9000
