@@ -175,6 +175,15 @@ def test_language_model_base_is_exact_and_the_model_beats_it(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_counters_do_not_depend_on_the_partitions(spark):
+    """One outcome holds nearly all, in a few texts; the others are spread."""
+    rnd = random.Random(3)
+    texts = ["ab " * 4000] * 3 + ["".join(rnd.choices("abc ", k=60)) for _ in range(397)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    one, many = (context_mixing.train(docs.repartition(n)).table for n in (1, 200))
+    assert one.any() and (one == many).all()
+
+
 # --- decontamination -----------------------------------------------------------------
 
 def test_planted_passages_are_found_and_clean_documents_left(spark):
