@@ -1,4 +1,4 @@
-"""Training-data operators (op1 .. op10) and the corpus pipeline's building blocks.
+"""Training-data operators (op1 .. op13) and the corpus pipeline's building blocks.
 
 Nothing outside this subpackage imports it. Functions that run inside Python
 tasks are pickled by value, so executors need not have the package installed.
