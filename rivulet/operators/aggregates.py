@@ -72,6 +72,15 @@ def count_histogram(counts: DataFrame, count: str = "count",
             .agg(F.count(F.lit(1)).alias("n_keys")))
 
 
+def bucket_moves(count: str, prev: str, size: int = BUCKET_SIZE):
+    """``(bucket, delta)`` changes of a key whose count moved: +1 on its new bucket,
+    -1 on the old one; up to two from one pass over the updates."""
+    new_b, old_b = bucket_of(count, size), bucket_of(prev, size)
+    step = lambda b, d: F.struct(b.alias("bucket"), F.lit(d).alias("delta"))
+    return F.when(F.col(prev).isNull(), F.array(step(new_b, 1))).when(
+        new_b != old_b, F.array(step(new_b, 1), step(old_b, -1)))
+
+
 def histogram_deltas(updates: DataFrame, batch: str = "batch_id",
                      count: str = "count", prev: str = "prev_count",
                      size: int = BUCKET_SIZE) -> DataFrame:
@@ -83,12 +92,7 @@ def histogram_deltas(updates: DataFrame, batch: str = "batch_id",
     batch with its running number of keys; a bucket emptied by moves stays
     with 0.
     """
-    new_b = bucket_of(count, size)
-    old_b = bucket_of(prev, size)
-    step = lambda b, d: F.struct(b.alias("bucket"), F.lit(d).alias("delta"))
-    # Up to two deltas per update, from one pass over the updates.
-    moves = F.when(F.col(prev).isNull(), F.array(step(new_b, 1))).when(
-        new_b != old_b, F.array(step(new_b, 1), step(old_b, -1)))
+    moves = bucket_moves(count, prev, size)
     touched = (updates.select(batch, F.inline(moves)).groupBy(batch, "bucket")
                .agg(F.sum("delta").alias("delta")))
     w = (Window.partitionBy("bucket").orderBy(batch)

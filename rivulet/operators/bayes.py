@@ -28,6 +28,18 @@ def class_totals(flagged: DataFrame, flag: str = "near") -> DataFrame:
     return flagged.groupBy(flag).agg(F.count(F.lit(1)).alias("message_count"))
 
 
+def class_counts(flagged: DataFrame, text: str, flag: str = "near",
+                 mode: str = "java") -> DataFrame:
+    """Both counts as one aggregate, ``(counted, near, word, count)``: every message
+    becomes one ``message`` row (no word) and a ``word`` row per word."""
+    tag = lambda kind, w: F.struct(F.lit(kind).alias("counted"), w.alias("word"))
+    rows = F.concat(F.array(tag("message", F.lit(None).cast("string"))),
+                    F.transform(F.coalesce(split_words(text, mode), F.array().cast("array<string>")),
+                                lambda w: tag("word", w)))
+    return (flagged.select(flag, F.inline(rows)).groupBy("counted", flag, "word")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
 def posterior(requests: DataFrame, word_counts: DataFrame, totals: DataFrame,
               request_id: str = "request_id", args: str = "args",
               flag: str = "near", mode: str = "java",

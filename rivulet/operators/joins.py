@@ -85,45 +85,76 @@ def keyed_lookup(requests: DataFrame, table: DataFrame, keys: list[str]) -> Data
     return requests.join(table, keys, "left")
 
 
-def near_flag(messages: DataFrame, events: DataFrame, msg_ms: str,
-              event_ms: str, within_ms: int = NEAR_WITHIN_MS,
-              name: str = "near") -> DataFrame:
-    """Flag each message that has an event strictly within ``within_ms``.
-
-    Exact, and without pairing messages with events: times are cut into
-    buckets of ``within_ms``. Any two times in the same bucket are less than
-    ``within_ms`` apart, so a message is near if its own bucket has an event,
-    or the latest event of the bucket before is close enough, or the earliest
-    event of the bucket after is. The event side is first reduced to one row
-    per bucket, then spread to the three message buckets it can serve and
-    reduced again, so each message joins exactly one summary row (or none).
-    """
-    W = F.lit(int(within_ms))
+# A stored summary with at most so many rows (some 40 bytes each) is broadcast.
+SUMMARY_BROADCAST_ROWS = 1_000_000
+# Copies of a larger summary, so that one bucket's messages spread over as many tasks.
+SUMMARY_SALTS = 32
+
+
+def near_summary(events: DataFrame, event_ms: str, within_ms: int = NEAR_WITHIN_MS) -> DataFrame:
+    """What a bucket of messages must know of the events around it.
+
+    Times are cut into buckets of ``within_ms``. Any two times in one bucket are
+    closer than that, so a message is near if its own bucket has an event, or the
+    latest event of the bucket before is close enough, or the earliest event of the
+    bucket after is. The events are first reduced to one row per bucket, then spread
+    to the three message buckets each can serve and reduced again."""
     per_bucket = (events
-                  .select(F.floor(F.col(event_ms) / W).alias("b"),
+                  .select(F.floor(F.col(event_ms) / F.lit(int(within_ms))).alias("b"),
                           F.col(event_ms).alias("t"))
                   .where(F.col("t").isNotNull())
                   .groupBy("b").agg(F.min("t").alias("lo"), F.max("t").alias("hi")))
+    none = F.lit(None).cast("bigint")
+
+    def serves(step: int, same: bool, prev_hi, next_lo):
+        return F.struct((F.col("b") + step).alias("mb"), F.lit(same).alias("same"),
+                        prev_hi.cast("bigint").alias("prev_hi"),
+                        next_lo.cast("bigint").alias("next_lo"))
+
     spread = per_bucket.select(F.explode(F.array(
-        F.struct(F.col("b").alias("mb"), F.lit(True).alias("same"),
-                 F.lit(None).cast("bigint").alias("prev_hi"),
-                 F.lit(None).cast("bigint").alias("next_lo")),
-        F.struct((F.col("b") + 1).alias("mb"), F.lit(False).alias("same"),
-                 F.col("hi").cast("bigint").alias("prev_hi"),
-                 F.lit(None).cast("bigint").alias("next_lo")),
-        F.struct((F.col("b") - 1).alias("mb"), F.lit(False).alias("same"),
-                 F.lit(None).cast("bigint").alias("prev_hi"),
-                 F.col("lo").cast("bigint").alias("next_lo")),
-    )).alias("s")).select("s.*")
-    summary = spread.groupBy("mb").agg(F.max("same").alias("_same"),
-                                       F.max("prev_hi").alias("_prev_hi"),
-                                       F.min("next_lo").alias("_next_lo"))
-    t = F.col(msg_ms)
-    flagged = (messages.withColumn("mb", F.floor(t / W))
-               .join(summary, "mb", "left"))
+        serves(0, True, none, none), serves(1, False, F.col("hi"), none),
+        serves(-1, False, none, F.col("lo")))).alias("s")).select("s.*")
+    return spread.groupBy("mb").agg(F.max("same").alias("_same"),
+                                    F.max("prev_hi").alias("_prev_hi"),
+                                    F.min("next_lo").alias("_next_lo"))
+
+
+def stored_near_summary(events: DataFrame, event_ms: str, path: str,
+                        within_ms: int = NEAR_WITHIN_MS) -> DataFrame:
+    """:func:`near_summary` written once, for streams that join it in every
+    micro-batch: broadcast if it has at most ``SUMMARY_BROADCAST_ROWS`` rows, else
+    copied under ``SUMMARY_SALTS`` salts (a stream's recent messages share a bucket,
+    and a stateful plan is not re-split at run time)."""
+    near_summary(events, event_ms, within_ms).write.parquet(path)
+    summary = events.sparkSession.read.parquet(path)
+    if summary.count() <= SUMMARY_BROADCAST_ROWS:
+        return F.broadcast(summary)
+    return summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SUMMARY_SALTS - 1))))
+
+
+def flag_by_summary(messages: DataFrame, summary: DataFrame, msg_ms: str,
+                    within_ms: int = NEAR_WITHIN_MS, name: str = "near") -> DataFrame:
+    """Messages with ``name``: each joins the one summary row of its bucket, or none."""
+    t, width = F.col(msg_ms), F.lit(int(within_ms))
+    on = ["mb"]
+    keyed = messages.withColumn("mb", F.floor(t / width))
+    if "_salt" in summary.columns:
+        on.append("_salt")
+        keyed = keyed.withColumn("_salt", F.pmod(
+            F.xxhash64(*messages.columns), F.lit(SUMMARY_SALTS)).cast("int"))
+    flagged = keyed.join(summary, on, "left")
     near = (F.coalesce(F.col("_same"), F.lit(False))
-            | F.coalesce(F.col("_prev_hi") > t - W, F.lit(False))
-            | F.coalesce(F.col("_next_lo") < t + W, F.lit(False)))
+            | F.coalesce(F.col("_prev_hi") > t - width, F.lit(False))
+            | F.coalesce(F.col("_next_lo") < t + width, F.lit(False)))
     # A message without a time cannot be near anything.
     near = F.when(t.isNull(), F.lit(False)).otherwise(near)
-    return flagged.withColumn(name, near).drop("mb", "_same", "_prev_hi", "_next_lo")
+    return flagged.withColumn(name, near).drop(*on, "_same", "_prev_hi", "_next_lo")
+
+
+def near_flag(messages: DataFrame, events: DataFrame, msg_ms: str,
+              event_ms: str, within_ms: int = NEAR_WITHIN_MS,
+              name: str = "near") -> DataFrame:
+    """Flag each message that has an event strictly within ``within_ms``: exact, and
+    without pairing messages with events (see :func:`near_summary`)."""
+    return flag_by_summary(messages, near_summary(events, event_ms, within_ms), msg_ms,
+                           within_ms, name)

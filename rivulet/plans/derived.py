@@ -197,3 +197,39 @@ def rss_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.lit("</title><link>http://listings.example/"), F.col("link"),
                    F.lit("</link></item></channel></rss>"))
     return ls.select("city", doc.alias("xml"))
+
+
+def in_arrival_order(df: DataFrame, ts: str, key: str, batches: int,
+                     jitter_s: int) -> tuple[DataFrame, str]:
+    """``df`` with the ``batch`` it arrives in, and a ``weight`` of 1.
+
+    A row arrives up to ``jitter_s`` seconds after its time (by a hash of its key);
+    the range of arrivals is cut into ``batches``. Batch ``batches`` holds one
+    heartbeat of weight 0, a day after everything. Also returns the lateness that
+    the batches keep: the jitter and the span of a batch."""
+    (out,), delay = sides_in_arrival_order([df], ts, key, batches, jitter_s)
+    return out, delay
+
+
+def sides_in_arrival_order(sides: list[DataFrame], ts: str, key: str, batches: int,
+                           jitter_s: int) -> tuple[list[DataFrame], str]:
+    """:func:`in_arrival_order` of several tables on one clock."""
+    seconds = F.floor(epoch_millis(ts) / 1000)
+    arrival = seconds + F.pmod(F.xxhash64(key), F.lit(jitter_s))
+    bounds = [s.agg(F.min(arrival).alias("lo"), F.max(arrival).alias("hi")).first() for s in sides]
+    known = [b for b in bounds if b["lo"] is not None]
+    lo = min((b["lo"] for b in known), default=0)
+    hi = max((b["hi"] for b in known), default=0)
+    span = (hi - lo) // batches + 1
+    beat = F.timestamp_add("SECOND", F.lit(int(hi) + 86_400 + span + jitter_s),
+                           F.lit("1970-01-01").cast("timestamp_ntz"))
+    out = []
+    for side in sides:
+        rows = side.where(F.col(ts).isNotNull()).withColumns({
+            "weight": F.lit(1).cast("bigint"), "batch": F.floor((arrival - lo) / span).cast("int")})
+        last = side.sparkSession.range(1).select(
+            *[(beat if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
+              for f in side.schema.fields],
+            F.lit(0).cast("bigint").alias("weight"), F.lit(batches).alias("batch"))
+        out.append(rows.unionByName(last))
+    return out, f"{int(span) + jitter_s} seconds"

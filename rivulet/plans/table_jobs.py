@@ -377,7 +377,7 @@ def count_histogram(spark, sf_dir):
     return AG.count_histogram(counts)
 
 
-@register("histogram_deltas", f"""
+HISTOGRAM_DELTAS_SQL = f"""
 WITH cwp AS ({_CWP_SQL}),
 d AS (SELECT batch_id, count // 10 AS bucket, 1 AS delta FROM cwp
       WHERE prev_count IS NULL OR count // 10 <> prev_count // 10
@@ -388,7 +388,10 @@ t AS (SELECT batch_id, bucket, sum(delta) AS delta FROM d GROUP BY 1, 2)
 SELECT batch_id, bucket,
        CAST(sum(delta) OVER (PARTITION BY bucket ORDER BY batch_id
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_keys
-FROM t""")
+FROM t"""
+
+
+@register("histogram_deltas", HISTOGRAM_DELTAS_SQL)
 def histogram_deltas(spark, sf_dir):
     updates = AG.count_with_prev(_batched_events(spark, sf_dir), "user_id", "batch_id")
     return AG.histogram_deltas(updates)

@@ -1,34 +1,17 @@
-"""Keyed tables on shared storage: truncate-and-load, and idempotent upserts.
+"""Keyed tables on shared storage: truncate-and-load, and feeds of changes.
 
-A :class:`KeyedTable` is a directory of Parquet snapshots, one per applied
-batch, plus a commit marker per snapshot. Applying batch ``b``:
-
-1. read the latest committed version ``v`` (a one-row Spark read of the
-   markers); if ``b <= v`` the batch was already applied -- a replay after a
-   failure -- and nothing happens (exactly-once, as with a stored
-   transaction id);
-2. merge the batch into snapshot ``v`` with a full outer join on the key
-   (partitioned by the key; each side shuffled once);
-3. write snapshot ``b``, then its marker. A crash between the two leaves an
-   uncommitted snapshot that the replay of ``b`` overwrites.
-
-Without a table format that supports MERGE, each batch rewrites the table;
-with one (Delta/Iceberg) step 2-3 becomes a MERGE INTO with the same key
-condition and batch-id guard.
+A streaming job keeps its table in the state store and appends what each
+micro-batch changed to a :class:`BatchLog`; the newest row per key is the table.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-Merge = Callable[[Column, Column], Column]
-
-
 def last_wins_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (map-side combined)."""
     values = [c for c in df.columns if c not in keys]
@@ -48,95 +31,6 @@ def truncate_load(df: DataFrame, path: str, keys: list[str], value: str,
     return df.sparkSession.read.parquet(path)
 
 
-class KeyedTable:
-    """Versioned key -> values table with batch-id guarded upserts."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path, list(keys)
-        # Latest committed version as known to this (single) writer; read
-        # from storage on first use, so a restarted writer resumes correctly.
-        self._version: int | None = None
-
-    def _snapshot(self, version: int) -> str:
-        return os.path.join(self.path, f"v={version:012d}")
-
-    def _marker_dir(self) -> str:
-        return os.path.join(self.path, "_commits")
-
-    def version(self) -> int:
-        """Latest committed batch id, -1 when empty."""
-        if self._version is None:
-            try:
-                row = (self.spark.read.text(self._marker_dir())
-                       .agg(F.max(F.col("value").cast("bigint")).alias("v")).first())
-            except AnalysisException:
-                row = None
-            self._version = -1 if row is None or row["v"] is None else int(row["v"])
-        return self._version
-
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return None if v < 0 else self.spark.read.parquet(self._snapshot(v))
-
-    def apply(self, batch: DataFrame, batch_id: int,
-              merge: dict[str, Merge] | None = None,
-              order: str | None = None) -> bool:
-        """Merge ``batch`` (at most one row per key) as batch ``batch_id``.
-
-        For a key on both sides, ``merge[col](old, new)`` combines a value;
-        by default the new value replaces the old one. With ``order`` the
-        whole row with the greater ``order`` value is kept instead (ties go
-        to the new row). Returns False when the batch was already applied.
-        """
-        if batch_id <= self.version():
-            return False
-        merge = merge or {}
-        values = [c for c in batch.columns if c not in self.keys]
-        current = self.read()
-        if current is None:
-            merged = batch
-        else:
-            old = current.select(*self.keys, F.lit(True).alias("_had_old"),
-                                 *[F.col(c).alias(f"_old_{c}") for c in values])
-            new = batch.withColumn("_has_new", F.lit(True))
-            j = old.join(new, self.keys, "full_outer")
-            if order:
-                take_new = (F.col(f"_old_{order}").isNull()
-                            | (F.col(order) >= F.col(f"_old_{order}")))
-            cols = []
-            for c in values:
-                o, n = F.col(f"_old_{c}"), F.col(c)
-                if order:
-                    both = F.when(take_new, n).otherwise(o)
-                else:
-                    both = merge[c](o, n) if c in merge else n
-                cols.append(F.when(F.col("_has_new").isNull(), o)
-                            .when(F.col("_had_old").isNull(), n)
-                            .otherwise(both).alias(c))
-            merged = j.select(*self.keys, *cols)
-        self._commit(merged, batch_id)
-        return True
-
-    def replace(self, rows: DataFrame, batch_id: int) -> bool:
-        """Make ``rows`` the whole table as of batch ``batch_id``."""
-        if batch_id <= self.version():
-            return False
-        self._commit(rows, batch_id)
-        return True
-
-    def _commit(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self._snapshot(batch_id))
-        (self.spark.createDataFrame([(str(batch_id),)], "value string")
-         .write.mode("overwrite")
-         .text(os.path.join(self._marker_dir(), f"b={batch_id:012d}")))
-        self._version = batch_id
-
-
-def add(old: Column, new: Column) -> Column:
-    """Merge function: running sum (missing side counts 0)."""
-    return F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))
-
-
 class BatchLog:
     """Append-only per-batch output (change feeds, update feeds, histories).
 
@@ -148,53 +42,21 @@ class BatchLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.drop("batch_id").write.mode("overwrite").parquet(
-            os.path.join(self.path, f"batch_id={int(batch_id)}"))
+    def write(self, rows: DataFrame, batch_id: int, by: str | None = None) -> None:
+        writer = rows.drop("batch_id").write.mode("overwrite")
+        if by:
+            writer = writer.partitionBy(by)
+        writer.parquet(os.path.join(self.path, f"batch_id={int(batch_id)}"))
 
     def read(self) -> DataFrame | None:
+        """All batches with their ``batch_id``; None where nothing was written."""
         try:
             df = self.spark.read.parquet(self.path)
         except AnalysisException:
             return None
         return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
-
-class UpdateLog(BatchLog):
-    """Keyed table kept as a log of per-batch updates.
-
-    An update-mode streaming aggregation already holds the full aggregate in
-    its state store; the sink only has to keep the rows each batch updated.
-    Each batch is written to its own partition (O(batch), idempotent on a
-    replay) and :meth:`latest` resolves the newest row per key with a
-    partial-aggregated ``max_by``. :meth:`compact` folds the log up to a
-    batch into a snapshot, after which reads only touch the snapshot and the
-    batches written since.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        super().__init__(spark, os.path.join(path, "log"))
-        self.keys = list(keys)
-        self.snapshots = KeyedTable(spark, os.path.join(path, "compacted"), self.keys)
-
-    def latest(self) -> DataFrame | None:
-        log = self.read()
-        upto = self.snapshots.version()
-        if upto >= 0:
-            snap = self.snapshots.read().withColumn("batch_id", F.lit(upto).cast("bigint"))
-            log = snap if log is None else snap.unionByName(log.where(F.col("batch_id") > upto))
-        if log is None:
-            return None
-        return last_wins_per_key(log, self.keys, "batch_id").drop("batch_id")
-
-    def compact(self) -> int:
-        """Fold every logged batch into a snapshot; returns the batch id it
-        covers (-1 when there is nothing to fold)."""
+    def latest(self, keys: list[str]) -> DataFrame | None:
+        """The table that the feed describes: the newest row per key."""
         log = self.read()
-        if log is None:
-            return self.snapshots.version()
-        upto = log.agg(F.max("batch_id")).first()[0]
-        if upto is None or upto <= self.snapshots.version():
-            return self.snapshots.version()
-        self.snapshots.replace(self.latest(), int(upto))
-        return int(upto)
+        return None if log is None else last_wins_per_key(log, keys, "batch_id").drop("batch_id")

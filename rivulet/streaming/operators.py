@@ -2,21 +2,30 @@
 
 * :func:`run_available` drives a query over everything available now and
   stops (bounded wait, the query is always stopped).
-* :func:`upsert_writer` turns an update-mode aggregation into a keyed table
-  through ``foreachBatch`` + :class:`~rivulet.sinks.tables.KeyedTable`,
-  guarded by the micro-batch id (a replayed batch is skipped).
-* :func:`running_total_writer`, :func:`keyed_count_writer` and
-  :func:`lowest_n_writer` are the transactional jobs of the reference:
-  exactly-once global totals, keyed counts with their previous value, and a
-  per-group lowest-N list that reports only entries that entered it.
+* :func:`feed_writer` appends what every micro-batch emits to a
+  :class:`~rivulet.sinks.tables.BatchLog`, one partition per batch id: a batch
+  that is replayed after a failure overwrites its own output, and Spark's state
+  store replays it from the state before it, so nothing counts twice.
+* The stateful operators hold their state in the state store: Spark's own
+  aggregation where it expresses the job (:func:`running_total`,
+  :func:`latest_by`), :mod:`rivulet.streaming.state` otherwise. What a batch
+  writes is what it changed, whatever the size of the table.
+
+Event-time operators take ``delay``, how late the caller knows rows to be at
+most; it bounds the state. Rows beyond it come out as ``late`` or ``expired``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog, add
+from rivulet.operators.aggregates import bucket_of, bucket_moves
+from rivulet.operators.windows import window_geometry
+from rivulet.sinks.tables import BatchLog
+from rivulet.streaming import state as ST
 
 
 class StreamTimeout(RuntimeError):
@@ -38,133 +47,197 @@ def run_available(writer, timeout_s: int = 900):
     return q
 
 
-def upsert_writer(df: DataFrame, table: KeyedTable | UpdateLog, checkpoint: str,
-                  merge=None, order: str | None = None, replay: bool = False):
-    """Update-mode stream into a keyed table (exactly-once per batch id).
-
-    With an :class:`UpdateLog` each batch appends its updated rows to its own
-    partition; with a :class:`KeyedTable` the batch is merged into a new
-    snapshot. ``replay`` applies every micro-batch twice, as a failed and
-    retried batch would be; both sinks make the second apply a no-op.
-    """
+def feed_writer(df: DataFrame, feed: BatchLog, checkpoint: str, by: str | None = None):
+    """Update-mode stream into a feed of changes; ``by`` splits each batch's
+    partition once more, so that kinds of rows are read apart."""
     def apply(batch_df: DataFrame, batch_id: int) -> None:
-        for _ in range(2 if replay else 1):
-            if isinstance(table, UpdateLog):
-                table.write(batch_df, batch_id)
-            else:
-                table.apply(batch_df, batch_id, merge=merge, order=order)
+        feed.write(batch_df, batch_id, by)
 
     return (df.writeStream.outputMode("update").foreachBatch(apply)
             .option("checkpointLocation", checkpoint))
 
 
-def running_total_writer(df: DataFrame, totals: KeyedTable, history: BatchLog,
-                         checkpoint: str, replay: bool = False):
-    """Exactly-once running row count.
-
-    Each micro-batch counts its rows (partial + final count), adds them to
-    the stored total only if its id is newer than the stored one, and
-    records ``(batch_id, count)`` after the batch.
-    """
-    def apply(batch_df: DataFrame, batch_id: int) -> None:
-        for _ in range(2 if replay else 1):
-            n = batch_df.agg(F.count(F.lit(1)).alias("count")).withColumn("key", F.lit("total"))
-            if totals.apply(n.select("key", "count"), batch_id, merge={"count": add}):
-                history.write(totals.read().select(F.col("count").cast("bigint")), batch_id)
-
-    return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-
-
-def keyed_count_writer(df: DataFrame, key: str, state: KeyedTable, updates: BatchLog,
-                       checkpoint: str, replay: bool = False):
-    """Keyed counts with their previous value, per micro-batch.
-
-    Emits ``(key, batch_id, count, prev_count)`` for every key in the batch
-    (``prev_count`` NULL on first sight) into ``updates`` and advances the
-    state, both guarded by the batch id.
-    """
-    def apply(batch_df: DataFrame, batch_id: int) -> None:
-        for _ in range(2 if replay else 1):
-            if batch_id <= state.version():
-                continue
-            n = batch_df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            cur = state.read()
-            if cur is None:
-                joined = n.withColumn("prev_count", F.lit(None).cast("bigint"))
-            else:
-                joined = n.join(cur.select(key, F.col("count").alias("prev_count")), key, "left")
-            out = joined.select(
-                key, F.lit(batch_id).cast("bigint").alias("batch_id"),
-                (F.coalesce("prev_count", F.lit(0)) + F.col("n")).cast("bigint").alias("count"),
-                F.col("prev_count").cast("bigint"))
-            # The update feed of batch b is its own partition: rewriting it on a
-            # replay (state not yet advanced) is harmless.
-            updates.write(out, batch_id)
-            state.apply(n.select(key, F.col("n").cast("bigint").alias("count")), batch_id,
-                        merge={"count": add})
-
-    return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-
-
-def lowest_n_writer(df: DataFrame, group: str, link: str, number: str, n: int,
-                    lists: KeyedTable, changes: BatchLog, checkpoint: str,
-                    carry=()):
-    """Per-group lowest-N lists; emit only the entries that entered a list.
-
-    State is the current lists (at most ``n`` rows per group). Each batch is
-    merged with them, re-ranked (one entry per link, its smallest number;
-    ties to the earlier link), and rows not in the previous lists are
-    written to ``changes`` as ``(batch_id, group, link, number, carry...)``.
-    """
-    def apply(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_id <= lists.version():
-            return
-        cols = [group, link, number, *carry]
-        cur = lists.read()
-        pool = batch_df.select(*cols)
-        if cur is not None:
-            pool = pool.unionByName(cur.select(*cols))
-        best = (pool.groupBy(group, link)
-                .agg(F.min(F.struct(F.col(number).alias("_n"),
-                                    *[F.col(c).alias(c) for c in carry])).alias("_b"))
-                .select(group, link, F.col("_b._n").alias(number),
-                        *[F.col(f"_b.{c}").alias(c) for c in carry]))
-        w = Window.partitionBy(group).orderBy(F.col(number), F.col(link))
-        top = (best.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-               .drop("_r"))
-        top = top.cache()
-        entered = top if cur is None else top.join(cur.select(group, link, number),
-                                                    [group, link, number], "left_anti")
-        changes.write(entered, batch_id)
-        # Entries pushed out of a list disappear: the lists (at most n rows
-        # per group) are replaced as a whole.
-        lists.replace(top, batch_id)
-        top.unpersist()
-
-    return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-
-
-def rolling_top_n_writer(df: DataFrame, obj: str, window: str, n: int,
-                         counts: KeyedTable, rankings: KeyedTable, checkpoint: str,
-                         count: str = "count"):
-    """Rolling top-N emitted per micro-batch.
-
-    Each batch carries the updated ``(obj, window, count)`` rows of an
-    update-mode windowed count. They are upserted into ``counts``; then only
-    the windows touched by the batch are re-ranked (count desc, object asc)
-    from the stored counts and their rankings upserted, keyed by
-    (window, rank). Counts only grow, so a window's list never shrinks.
-    """
-    from rivulet.operators.topk import top_by_count
-
-    def apply(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_id <= rankings.version():
-            return
-        counts.apply(batch_df, batch_id)
-        touched = batch_df.select(window).distinct()
-        current = counts.read().join(touched, window, "left_semi")
-        ranked = top_by_count(current, obj, n, by=[window], count=count)
-        rankings.apply(ranked.select(window, "rank", obj, count), batch_id)
-
-    return (df.writeStream.outputMode("update").foreachBatch(apply)
-            .option("checkpointLocation", checkpoint))
+def _ms(ts: str) -> Column:
+    return F.unix_millis(F.col(ts).cast("timestamp"))
+
+
+def _zoned(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """``df`` with a watermark ``delay`` behind its column ``ts`` (UTC wall time or zoned)."""
+    if df.schema[ts].dataType.simpleString() != "timestamp":
+        df = df.withColumn(ts, F.timestamp_millis(F.timestamp_diff(
+            "MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))))
+    return df.withWatermark(ts, delay)
+
+
+def wall_clock(ms: str) -> Column:
+    """UTC wall time of epoch milliseconds."""
+    return F.timestamp_add("MILLISECOND", F.col(ms), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------ keyed state
+
+def running_total(df: DataFrame) -> DataFrame:
+    """Exactly-once running row count, one row per micro-batch."""
+    return df.groupBy().agg(F.count(F.lit(1)).alias("count"))
+
+
+def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Keyed upserts: per key the row with the greatest ``order`` so far, whatever
+    the order of arrival. Emits the keys of each micro-batch."""
+    values = [c for c in df.columns if c not in keys]
+    best = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(order)).alias("_v")
+    return df.groupBy(*keys).agg(best).select(*keys, "_v.*")
+
+
+def keyed_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys..., count, prev_count)`` of every key of a micro-batch: the running
+    count and the one before it (null on first sight)."""
+    return (ST.partial_counts(df, keys).groupBy(*keys).transformWithState(
+        ST.KeyedCounts(keys), f"{ST._types(df, keys)}, count bigint, prev_count bigint",
+        "Update", "none"))
+
+
+def keyed_fold(df: DataFrame, keys: list[str], value_type: str, step) -> DataFrame:
+    """Keyed state with the caller's fold. ``value_type`` is the state's schema
+    (``name type, ...``), ``step(old, row) -> new`` makes it from the old one (a
+    tuple, None at first) and an input row."""
+    columns = [c.strip().split()[0] for c in value_type.split(",")]
+    return df.groupBy(*keys).transformWithState(
+        ST.Folded(keys, columns, value_type, step), f"{ST._types(df, keys)}, {value_type}",
+        "Update", "none")
+
+
+def histogram(updates: DataFrame, size: int | None = None) -> DataFrame:
+    """Histogram of running counts, kept by deltas: ``updates`` (of
+    :func:`keyed_counts`) becomes +1 on a key's new bucket and -1 on its old one,
+    summed per bucket by a second stateful step. Emits ``(bucket, n_keys)`` of the
+    buckets a micro-batch touched; an emptied bucket stays with 0."""
+    moves = bucket_moves("count", "prev_count", *([size] if size else []))
+    return (updates.select(F.inline(moves)).groupBy("bucket")
+            .agg(F.sum("delta").cast("bigint").alias("n_keys")))
+
+
+def lowest_n(df: DataFrame, group: str, link: str, number: str, n: int, carry=()) -> DataFrame:
+    """Per-group lowest-N lists as state; emits ``(group, number, link, carry...)`` of
+    the entries that entered a list. One entry per link, its smallest number; ties
+    to the earlier link."""
+    columns = [number, link, *carry]
+    entry = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns)
+    return (ST.partial_lowest(df, group, link, number, n, carry).groupBy(group)
+            .transformWithState(ST.LowestN(group, columns, n, entry),
+                                ST._types(df, [group, *columns]), "Update", "none"))
+
+
+# ------------------------------------------------------------ rankings
+
+def top_n(counts: DataFrame, obj: str, n: int, by=(), end: str | None = None,
+          buckets: int = 32) -> DataFrame:
+    """Two-level ranking of growing counts: ``(by..., obj, count)`` updates go into a
+    bounded list per ``by`` group and bucket of objects, and the changes of those
+    lists into one list per group, emitted whole as ``(by..., rank, obj, count)``
+    when it changes. ``end`` names the ``by`` column (milliseconds) at which a group's
+    lists are dropped."""
+    by = list(by)
+    kind = counts.schema[obj].dataType.simpleString()
+    types = ST._types(counts, by)
+    clock = "eventTime" if end else "none"
+    at = by.index(end) if end else None
+    partial = (counts.where(F.col("count") > 0)
+               .withColumn("_bucket", F.pmod(F.xxhash64(obj), F.lit(buckets)))
+               .groupBy(*by, "_bucket").transformWithState(
+                   ST.RankList([*by, "_bucket"], obj, n, kind, False, at),
+                   ", ".join(filter(None, [types, f"_bucket bigint, `{obj}` {kind}, count bigint"])),
+                   "Update", clock))
+    merged = partial.drop("_bucket") if by else partial.withColumn("_all", F.lit(0))
+    keys = by or ["_all"]
+    return merged.groupBy(*keys).transformWithState(
+        ST.RankList(keys, obj, n, kind, True, at),
+        f"{types or '_all int'}, rank bigint, `{obj}` {kind}, count bigint",
+        "Update", clock).drop("_all")
+
+
+# ------------------------------------------------------------ windows
+
+def window_counts(df: DataFrame, ts: str, keys: list[str], window_seconds: int,
+                  emit_seconds: int, delay: str, updates: bool = False,
+                  weight: str | None = None) -> DataFrame:
+    """Sliding-window counts per key: ``(kind, keys..., end_ms, count)``.
+
+    ``kind`` is ``count`` (at the tick that ends the window), ``zero`` (once, at the
+    tick after the last window with a row) or ``late`` (rows whose slot had ended by
+    the watermark; counted nowhere). With ``updates``, ``update`` instead of the
+    first two: the present count of each window a micro-batch touched. Rows are
+    counted per slot before the shuffle. ``weight``: a column to sum instead of
+    counting rows; rows of weight 0 only move the time on."""
+    slots, width = window_geometry(window_seconds, emit_seconds)
+    emit = emit_seconds * 1000
+    timed = _zoned(df, ts, delay)
+    slotted = timed.where(F.col(ts).isNotNull()).withColumn(
+        "slot", _ms(ts) - F.pmod(_ms(ts), F.lit(emit)))
+    counted = ST.partial_counts(slotted, [*keys, "slot"], weight)
+    return counted.groupBy(*keys).transformWithState(
+        ST.WindowCounts(keys, width * 1000, emit, updates),
+        f"kind string, {ST._types(df, keys)}, end_ms bigint, count bigint", "Update", "eventTime")
+
+
+def rolling_top_n(df: DataFrame, ts: str, obj: str, n: int, window_seconds: int,
+                  emit_seconds: int, delay: str, weight: str | None = None) -> DataFrame:
+    """Rolling top-N: window counts, a bounded list per window and bucket, one list
+    per window. Emits ``(window_end, rank, obj, count)`` of windows whose list changed."""
+    counts = window_counts(df, ts, [obj], window_seconds, emit_seconds, delay, True, weight)
+    ranked = top_n(counts.where("kind = 'update'").drop("kind"), obj, n, ["end_ms"], "end_ms")
+    return ranked.select(wall_clock("end_ms").alias("window_end"), "rank", obj, "count")
+
+
+# ------------------------------------------------------------ joins
+
+def natural_join(sides: list[DataFrame], out_fields: list[str], ts: str | None = None,
+                 within_seconds: int | None = None, delay: str | None = None) -> DataFrame:
+    """N-way natural inner join of streams on the fields that all of them have.
+
+    A result is emitted when the last of its sides has come (``kind`` = ``joined``);
+    a second row of a side while its key is pending is an error. With ``ts`` (a
+    column of every side, not part of the key), ``within_seconds`` and ``delay``, the
+    rows of a result lie at most ``within_seconds`` apart, and pending sides that can
+    no longer be completed come out as ``expired``, with ``sides`` the bits of those
+    that had come. A row whose key is null only moves the time on. Returns
+    ``(kind, sides, out_fields...)``."""
+    if len(sides) < 2:
+        raise ValueError("natural_join needs at least two inputs")
+    if (ts is None) != (within_seconds is None) or (ts is None) != (delay is None):
+        raise ValueError("expiry needs ts, within_seconds and delay")
+    common = set.intersection(*(set(s.columns) for s in sides)) - {ts}
+    keys = [c for c in sides[0].columns if c in common]
+    if not keys:
+        raise ValueError("inputs share no field to join on")
+    owners: dict[str, int] = {}
+    for i, s in enumerate(sides):
+        for c in s.columns:
+            owners.setdefault(c, i)
+    missing = [f for f in out_fields if f not in owners]
+    if missing:
+        raise ValueError(f"output fields not produced by any input: {missing}")
+    fields = [f for f in out_fields if f not in keys]
+
+    def tagged(i: int, side: DataFrame) -> DataFrame:
+        if ts is not None:
+            side = _zoned(side, ts, delay)
+        null_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+        known = lambda f: (F.col(f) if owners[f] == i else F.lit(None).cast(
+            sides[owners[f]].schema[f].dataType))
+        tag = F.when(null_key, F.lit(-1)).otherwise(F.lit(i))
+        out = side.select(*keys, tag.cast("int").alias("side"),
+                          (_ms(ts) if ts else F.lit(None).cast("bigint")).alias("at"),
+                          *[known(f).alias(f) for f in fields])
+        return out if ts is not None else out.where("side >= 0")
+
+    both = reduce(DataFrame.unionByName, (tagged(i, s) for i, s in enumerate(sides)))
+    types = ", ".join(f"`{f}` {sides[owners[f]].schema[f].dataType.simpleString()}"
+                      for f in fields)
+    processor = ST.NaturalJoin(keys, fields, len(sides),
+                               None if within_seconds is None else within_seconds * 1000,
+                               types, {f: owners[f] for f in fields})
+    schema = ", ".join(filter(None, ["kind string, sides int", ST._types(sides[0], keys), types]))
+    joined = both.groupBy(*keys).transformWithState(
+        processor, schema, "Update", "none" if ts is None else "eventTime")
+    return joined.select("kind", "sides", *out_fields)

@@ -78,3 +78,14 @@ def landed_batches(df: DataFrame, batch_col: str, batches: list, path: str):
         (df.where(F.col(batch_col) == F.lit(b)).drop(batch_col)
          .write.parquet(os.path.join(path, f"batch_{i:06d}")))
         yield parquet_stream(df.sparkSession, os.path.join(path, "batch_*"), schema)
+
+
+def landed_stream(df: DataFrame, batch_col: str, batches: int, path: str,
+                  files: int = 8) -> DataFrame:
+    """``df`` landed in order of ``batch_col`` (0 .. batches - 1), then read as one
+    stream: at most ``files`` files a batch, and as many per micro-batch, oldest first."""
+    schema = df.drop(batch_col).schema
+    for b in range(batches):
+        (df.where(F.col(batch_col) == b).drop(batch_col).coalesce(files)
+         .write.parquet(os.path.join(path, f"batch_{b:06d}")))
+    return parquet_stream(df.sparkSession, os.path.join(path, "batch_*"), schema, files)

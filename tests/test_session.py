@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 
 import rivulet.session as RS
-from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog
+from rivulet.sinks.tables import BatchLog
 from tests.conftest import SF_SMALL, rows
 
 
@@ -59,12 +59,10 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     assert m.inputFiles() and all(bare(f).startswith(base) for f in m.inputFiles())
 
 
-def test_empty_sinks_read_as_none(spark, tmp_dir):
-    assert BatchLog(spark, os.path.join(tmp_dir, "b")).read() is None
-    assert UpdateLog(spark, os.path.join(tmp_dir, "u"), ["k"]).latest() is None
-    kt = KeyedTable(spark, os.path.join(tmp_dir, "k"), ["k"])
-    assert kt.read() is None and kt.version() == -1
-    assert kt.replace(spark.createDataFrame([("a", 1)], "k string, v int"), 3)
-    assert rows(kt.read()) == [("a", 1)] and kt.version() == 3
-    # a fresh handle on the same path sees the committed version
-    assert KeyedTable(spark, os.path.join(tmp_dir, "k"), ["k"]).version() == 3
+def test_empty_feed_reads_as_none(spark, tmp_dir):
+    feed = BatchLog(spark, os.path.join(tmp_dir, "b"))
+    assert feed.read() is None and feed.latest(["k"]) is None
+    feed.write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
+    feed.write(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
+    feed.write(spark.createDataFrame([("a", 3)], "k string, v int"), 1)  # a replay
+    assert rows(feed.latest(["k"])) == [("a", 3), ("b", 1)]

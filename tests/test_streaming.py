@@ -1,26 +1,71 @@
-"""Streaming = batch, exactly-once under replay, restart from checkpoint."""
+"""Streaming = batch, exactly-once over faults and restarts, bounded state."""
 
 import os
+import random
+from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
 
 from rivulet.operators import aggregates as AG
-from rivulet.sinks.tables import BatchLog, KeyedTable, UpdateLog, add
+from rivulet.operators import joins as JN
+from rivulet.operators import topk as TK
+from rivulet.operators import windows as WN
+from rivulet.plans import derived as DV
+from rivulet.sinks.tables import BatchLog
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
 from tests.conftest import rows
 
 # Words that land together, batch by batch.
 BATCHES = [["fig", "oak", "oak"], [], ["oak", "elm", "fig", "fig", "fig"], ["ash"]]
+DAY = 86_400
 
 
-def _land(spark, root, start, batches=BATCHES, schema="word string"):
-    """Runs ``start(stream)`` on every landed batch."""
-    rows_in = [(i, w) for i, ws in enumerate(batches) for w in ws]
+@pytest.fixture(autouse=True)
+def three_partitions(spark):
+    """Few state partitions: the jobs are small and restarted often."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+class LosesACommit(BatchLog):
+    """A feed whose writer dies once, after batch ``at`` is written and before Spark
+    can commit it: the restarted query must run that batch again."""
+
+    def __init__(self, spark, path, at):
+        super().__init__(spark, path)
+        self.at, self.written = at, []
+
+    def write(self, rows_, batch_id, by=None):
+        super().write(rows_, batch_id, by)
+        self.written.append(batch_id)
+        if batch_id == self.at and self.written.count(batch_id) == 1:
+            raise RuntimeError("executor lost")
+
+
+def _run(start, feed, ck):
+    try:
+        SO.run_available(SO.feed_writer(start, feed, ck))
+    except StreamingQueryException as e:
+        assert "executor lost" in str(e)
+        SO.run_available(SO.feed_writer(start, feed, ck))
+
+
+def _land(spark, root, job, batches=BATCHES, schema="word string", lost=None):
+    """Runs ``job(stream)`` on every landed batch; returns the feed."""
+    rows_in = [(i, *(w if isinstance(w, tuple) else (w,))) for i, ws in enumerate(batches) for w in ws]
     df = spark.createDataFrame(rows_in, f"batch int, {schema}").repartition(5)
+    feed = LosesACommit(spark, os.path.join(root, "feed"), lost)
     for stream in SS.landed_batches(df, "batch", list(range(len(batches))),
                                     os.path.join(root, "landing")):
-        SO.run_available(start(stream))
+        _run(job(stream), feed, os.path.join(root, "ck"))
+    if lost is not None:
+        assert feed.written.count(lost) == 2  # the fault did happen
+    return feed
 
 
 def _running(batches):
@@ -36,140 +81,293 @@ def _running(batches):
     return totals, updates, seen
 
 
-def test_keyed_table_replay_is_noop(spark, tmp_dir):
-    t = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["k"])
-    assert t.version() == -1
-    b0 = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
-    assert t.apply(b0, 0, merge={"n": add})
-    assert not t.apply(b0, 0, merge={"n": add})       # replay of batch 0
-    b1 = spark.createDataFrame([("a", 5), ("c", 1)], "k string, n long")
-    assert t.apply(b1, 1, merge={"n": add})
-    assert rows(t.read()) == [("a", 6), ("b", 2), ("c", 1)]
-    assert t.version() == 1
-
-
-def test_keyed_table_order_keeps_latest(spark, tmp_dir):
-    t = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["k"])
-    t.apply(spark.createDataFrame([("a", 5, "new")], "k string, v long, s string"), 0, order="v")
-    t.apply(spark.createDataFrame([("a", 3, "old"), ("b", 1, "x")], "k string, v long, s string"),
-            1, order="v")
-    assert rows(t.read()) == [("a", 5, "new"), ("b", 1, "x")]
-
+# ------------------------------------------------------------ totals, counts, upserts
 
-def test_running_total_exactly_once(spark, tmp_dir):
-    totals = KeyedTable(spark, os.path.join(tmp_dir, "tot"), ["key"])
-    hist = BatchLog(spark, os.path.join(tmp_dir, "hist"))
-    _land(spark, tmp_dir, lambda stream: SO.running_total_writer(
-        stream, totals, hist, os.path.join(tmp_dir, "ck"), replay=True))
-    assert rows(hist.read(), "batch_id", "count") == _running(BATCHES)[0]
+@pytest.mark.parametrize("lost", [None, 2])
+def test_running_total_exactly_once(spark, tmp_dir, lost):
+    feed = _land(spark, tmp_dir, SO.running_total, lost=lost)
+    assert rows(feed.read(), "batch_id", "count") == _running(BATCHES)[0]
 
 
 def test_running_total_with_fewer_rows_than_files(spark, tmp_dir):
     """Seven rows in eight-way batches: a landed batch is a micro-batch."""
-    totals = KeyedTable(spark, os.path.join(tmp_dir, "tot"), ["key"])
-    hist = BatchLog(spark, os.path.join(tmp_dir, "hist"))
-    _land(spark, tmp_dir, lambda stream: SO.running_total_writer(
-        stream, totals, hist, os.path.join(tmp_dir, "ck")),
-        [["a"] * 2, ["b"] * 3, ["c"] * 2])
-    assert rows(hist.read(), "batch_id", "count") == [(0, 2), (1, 5), (2, 7)]
-
-
-def test_keyed_counts_with_prev_stream(spark, tmp_dir):
-    state = KeyedTable(spark, os.path.join(tmp_dir, "s"), ["word"])
-    upd = BatchLog(spark, os.path.join(tmp_dir, "u"))
-    _land(spark, tmp_dir, lambda stream: SO.keyed_count_writer(
-        stream, "word", state, upd, os.path.join(tmp_dir, "ck"), replay=True))
-    _, updates, seen = _running(BATCHES)
-    assert sorted(rows(upd.read(), "batch_id", "word", "count", "prev_count"), key=str) == sorted(
-        updates, key=str)
-    assert dict(rows(state.read())) == seen
-
-
-def test_stream_word_count_restart_equals_batch(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "in")
-    docs = [("green tea and black tea",), ("a kettle for the tea",)]
-    more = [("no tea no kettle",)]
-    spark.createDataFrame(docs, "text string").write.parquet(os.path.join(land, "a"))
-    ck = os.path.join(tmp_dir, "ck")
-    out = KeyedTable(spark, os.path.join(tmp_dir, "out"), ["word"])
-
-    def run():
-        s = SS.parquet_stream(spark, os.path.join(land, "*"), "text string")
-        SO.run_available(SO.upsert_writer(AG.word_count(s, "text"), out, ck))
+    feed = _land(spark, tmp_dir, SO.running_total, [["a"] * 2, ["b"] * 3, ["c"] * 2])
+    assert rows(feed.read(), "batch_id", "count") == [(0, 2), (1, 5), (2, 7)]
 
-    run()
-    spark.createDataFrame(more, "text string").write.parquet(os.path.join(land, "b"))
-    run()   # restart: same checkpoint, only the new file is read
-    batch = AG.word_count(spark.createDataFrame(docs + more, "text string"), "text")
-    assert rows(out.read()) == rows(batch)
-    assert dict(rows(out.read()))["tea"] == 4
-
-
-def test_lowest_n_change_feed(spark, tmp_dir):
-    data = [(0, "c", "l1", 5), (0, "c", "l2", 7), (1, "c", "l3", 1), (1, "c", "l4", 9),
-            (2, "c", "l5", 6)]
-    df = spark.createDataFrame(data, "batch int, city string, link string, price int")
-    lists = KeyedTable(spark, os.path.join(tmp_dir, "lists"), ["city", "link"])
-    changes = BatchLog(spark, os.path.join(tmp_dir, "chg"))
-    for stream in SS.landed_batches(df, "batch", [0, 1, 2], os.path.join(tmp_dir, "land")):
-        SO.run_available(SO.lowest_n_writer(stream, "city", "link", "price", 2, lists, changes,
-                                            os.path.join(tmp_dir, "ck")))
-    got = rows(changes.read(), "batch_id", "link")
-    # batch 0: l1,l2 enter; batch 1: l3 enters (l2 pushed out), l4 does not; batch 2: nothing
-    assert got == [(0, "l1"), (0, "l2"), (1, "l3")]
-    assert rows(lists.read(), "link") == [("l1",), ("l3",)]
-
-
-def test_stream_join_watermarks(spark, tmp_dir):
-    from rivulet.operators.joins import time_bounded_join
-
-    land_l, land_r = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "r")
-    spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")],
-                          "k int, lt string").write.parquet(land_l)
-    spark.createDataFrame([(1, "2024-01-01 00:10:00"), (2, "2024-01-01 02:00:00")],
-                          "k int, rt string").write.parquet(land_r)
-    left = (SS.parquet_stream(spark, land_l, "k int, lt string")
-            .withColumn("lt", F.col("lt").cast("timestamp")).withWatermark("lt", "1 hour"))
-    right = (SS.parquet_stream(spark, land_r, "k int, rt string")
-             .withColumn("rt", F.col("rt").cast("timestamp")).withWatermark("rt", "1 hour"))
-    j = time_bounded_join(left, right, ["k"], "lt", "rt", 1800).select(F.col("l.k").alias("k"))
-    out = os.path.join(tmp_dir, "out")
-    SO.run_available(j.writeStream.format("parquet").option("path", out)
-                     .option("checkpointLocation", os.path.join(tmp_dir, "ck")))
-    assert rows(spark.read.parquet(out)) == [(1,)]
-
-
-def test_rolling_top_n_ranked_per_batch(spark, tmp_dir):
-    from rivulet.operators import topk as TK
-    from rivulet.operators import windows as WN
-
-    ev = [(0, "u1", "2024-01-01 00:10:00"), (0, "u1", "2024-01-01 00:20:00"),
-          (0, "u2", "2024-01-01 00:30:00"),
-          (1, "u2", "2024-01-01 00:40:00"), (1, "u2", "2024-01-01 00:50:00"),
-          (1, "u3", "2024-01-01 01:10:00")]
-    df = spark.createDataFrame(ev, "batch int, user string, ts string").withColumn(
-        "ts", F.col("ts").cast("timestamp"))
-    w = F.window("ts", "2 hours", "1 hour")
-    stored = KeyedTable(spark, os.path.join(tmp_dir, "c"), ["user", "window_end"])
-    ranks = KeyedTable(spark, os.path.join(tmp_dir, "r"), ["window_end", "rank"])
-    for stream in SS.landed_batches(df, "batch", [0, 1], os.path.join(tmp_dir, "land")):
-        counts = (stream.groupBy(w.alias("w"), "user").agg(F.count(F.lit(1)).alias("count"))
-                  .select("user", F.col("w.end").alias("window_end"), "count"))
-        SO.run_available(SO.rolling_top_n_writer(counts, "user", "window_end", 2, stored, ranks,
-                                                 os.path.join(tmp_dir, "ck")))
-    batch = WN.rolling_count(df.drop("batch"), "ts", ["user"], 7200, 3600)
-    want = rows(TK.top_by_count(batch, "user", 2, by=["window_end"]),
-                "window_end", "rank", "user", "count")
-    assert rows(ranks.read(), "window_end", "rank", "user", "count") == want
-    assert ranks.version() >= 1   # ranked in more than one micro-batch
-
-
-def test_stream_outer_join_exposes_expired_side(spark, tmp_dir):
-    """A left row whose partner does not arrive within the bound is emitted
-    with a NULL right side once the watermark passes it (the expiry of a
-    pending side)."""
-    from rivulet.operators.joins import time_bounded_join
 
+@pytest.mark.parametrize("lost", [None, 2])
+def test_keyed_counts_with_previous_value(spark, tmp_dir, lost):
+    feed = _land(spark, tmp_dir, lambda s: SO.keyed_counts(s, ["word"]), lost=lost)
+    _, updates, seen = _running(BATCHES)
+    got = rows(feed.read(), "batch_id", "word", "count", "prev_count")
+    assert sorted(got, key=str) == sorted(updates, key=str)
+    assert dict(rows(feed.latest(["word"]), "word", "count")) == seen
+
+
+def test_a_batch_writes_what_it_changed(spark, tmp_dir):
+    many = [f"w{k}" for k in range(300)]
+    feed = _land(spark, tmp_dir, lambda s: SO.keyed_counts(s, ["word"]), [many, ["w5"], ["new", "w5"]])
+    assert rows(feed.read().groupBy("batch_id").count()) == [(0, 300), (1, 1), (2, 2)]
+
+
+def test_null_keys_are_counted(spark, tmp_dir):
+    feed = _land(spark, tmp_dir, lambda s: SO.keyed_counts(s, ["word"]), [["a", None], [None, None]])
+    got = sorted([(r["batch_id"], r["word"], r["count"]) for r in feed.read().collect()], key=str)
+    assert got == sorted([(0, "a", 1), (0, None, 1), (1, None, 3)], key=str)
+
+
+@pytest.mark.parametrize("lost", [None, 1])
+def test_upserts_keep_the_latest_whatever_the_order(spark, tmp_dir, lost):
+    batches = [[("a", 5, "new"), ("b", 1, "x")], [("a", 3, "old"), ("b", 2, "y")], [("c", 9, "z")]]
+    feed = _land(spark, tmp_dir, lambda s: SO.latest_by(s, ["k"], "v"), batches,
+                 "k string, v long, s string", lost)
+    assert rows(feed.latest(["k"]), "k", "v", "s") == [("a", 5, "new"), ("b", 2, "y"), ("c", 9, "z")]
+    assert feed.read().where("batch_id = 2").count() == 1
+
+
+def test_keyed_fold_is_the_callers_state(spark, tmp_dir):
+    def step(old, row):
+        low, high = old or (row.v, row.v)
+        return min(low, row.v), max(high, row.v)
+
+    feed = _land(spark, tmp_dir, lambda s: SO.keyed_fold(s, ["k"], "low bigint, high bigint", step),
+                 [[("a", 5), ("a", 2), ("b", 1)], [("a", 3)], [("a", 9), ("b", 1)]], "k string, v long")
+    assert rows(feed.read(), "batch_id", "k", "low", "high") == [
+        (0, "a", 2, 5), (0, "b", 1, 1), (2, "a", 2, 9)]  # unchanged keys are not emitted
+
+
+@pytest.mark.parametrize("lost", [None, 1])
+def test_histogram_by_deltas(spark, tmp_dir, lost):
+    rng = random.Random(4)
+    batches = [[f"k{rng.randrange(12)}" for _ in range(60)] for _ in range(3)]
+    feed = _land(spark, tmp_dir, lambda s: SO.histogram(SO.keyed_counts(s, ["word"]), 5), batches,
+                 lost=lost)
+    flat = spark.createDataFrame([(w, b) for b, ws in enumerate(batches) for w in ws],
+                                 "word string, batch_id int")
+    want = AG.histogram_deltas(AG.count_with_prev(flat, "word"), size=5)
+    assert rows(feed.read(), "batch_id", "bucket", "n_keys") == rows(want, "batch_id", "bucket", "n_keys")
+    final = dict(rows(feed.latest(["bucket"])))
+    counts = Counter(w for ws in batches for w in ws)
+    alive = Counter(c // 5 for c in counts.values())
+    assert {b: n for b, n in final.items() if n} == dict(alive)
+    assert 0 in final.values()  # emptied buckets stay
+
+
+# ------------------------------------------------------------ lowest-N
+
+@pytest.mark.parametrize("lost", [None, 1])
+def test_lowest_n_change_feed(spark, tmp_dir, lost):
+    batches = [[("c", "l1", 5), ("c", "l2", 7), ("c", "l1", 6)],
+               [("c", "l3", 1), ("c", "l4", 9), ("c", "l1", 8)],   # l2 is pushed out
+               [("c", "l5", 6)],                                   # nothing changes
+               [("c", "l2", 0), ("d", "l1", 4), ("c", None, 1)]]   # l2 comes back, lower
+    feed = _land(spark, tmp_dir, lambda s: SO.lowest_n(s, "city", "link", "price", 2), batches,
+                 "city string, link string, price int", lost)
+    got = sorted([(r["batch_id"], r["city"], r["link"], r["price"]) for r in feed.read().collect()],
+                 key=str)
+    assert got == sorted([(0, "c", "l1", 5), (0, "c", "l2", 7), (1, "c", "l3", 1), (3, "c", "l2", 0),
+                          (3, "d", "l1", 4), (3, "c", None, 1)], key=str)
+
+
+def test_lowest_n_matches_batch_on_random_listings(spark, tmp_dir):
+    rng = random.Random(9)
+    batches = [[(f"c{rng.randrange(3)}", f"l{rng.randrange(25):02d}", rng.randrange(40), rng.randrange(5))
+                for _ in range(50)] for _ in range(3)]
+    feed = _land(spark, tmp_dir, lambda s: SO.lowest_n(s, "city", "link", "price", 4, ["size"]), batches,
+                 "city string, link string, price int, size int")
+    held = defaultdict(dict)
+    want, before = [], {}
+    for b, ws in enumerate(batches):
+        for city, link, price, size in ws:
+            best = held[city].get(link)
+            if best is None or (price, size) < best:
+                held[city][link] = (price, size)
+        for city, links in held.items():
+            low = sorted((p, link, s) for link, (p, s) in links.items())[:4]
+            entered = {(p, link) for p, link, _ in low} - {(p, link) for p, link, _ in before.get(city, ())}
+            want += [(b, city, link, p, s) for p, link, s in low if (p, link) in entered]
+            before[city] = low
+    assert rows(feed.read(), "batch_id", "city", "link", "price", "size") == sorted(want)
+
+
+# ------------------------------------------------------------ windows
+
+def _clicks(spark, n=400, seed=3, keys="abc", days=3):
+    rng = random.Random(seed)
+    data = [(k, rng.choice(keys), rng.randrange(days * DAY)) for k in range(n)]
+    # Two quiet days in between, so that windows empty and fill again.
+    data = [(k, u, s if s < DAY else s + 2 * DAY) for k, u, s in data]
+    return spark.createDataFrame(data, "id int, user string, s long").select(
+        "id", "user", F.timestamp_add("SECOND", F.col("s"), F.lit("2024-02-01").cast("timestamp_ntz"))
+        .alias("ts"))
+
+
+def _windows(spark, root, df, job, lost=None):
+    """``job(stream, delay)`` over four batches in order of arrival and a heartbeat."""
+    landed, delay = DV.in_arrival_order(df, "ts", "id", 4, 5 * 3600)
+    feed = LosesACommit(spark, os.path.join(root, "feed"), lost)
+    queries = []
+    for stream in SS.landed_batches(landed, "batch", [0, 1, 2, 3, 4], os.path.join(root, "in")):
+        for _ in range(2):
+            try:
+                queries.append(SO.run_available(SO.feed_writer(
+                    job(stream, delay), feed, os.path.join(root, "ck"))))
+                break
+            except StreamingQueryException as e:
+                assert "executor lost" in str(e)
+    return feed, queries
+
+
+def _state_rows(query):
+    return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress
+            if p["stateOperators"]]
+
+
+@pytest.mark.parametrize("lost", [None, 3])
+def test_zero_rows_come_from_timers(spark, tmp_dir, lost):
+    df = _clicks(spark)
+    batch = WN.with_zero_rows(WN.rolling_count(df, "ts", ["user"], 7200 * 3, 7200), ["user"], 7200)
+    feed, queries = _windows(spark, tmp_dir, df, lambda s, delay: SO.window_counts(
+        s, "ts", ["user"], 7200 * 3, 7200, delay, weight="weight"), lost)
+    got = feed.read().select("user", SO.wall_clock("end_ms").alias("window_end"), "count", "kind")
+    assert rows(got.drop("kind")) == rows(batch)   # each (user, tick) once
+    assert rows(got.where("count = 0").select("kind").distinct()) == [("zero",)]
+    assert feed.read().where("kind = 'late'").count() == 0
+    assert feed.read().select("batch_id").distinct().count() >= 3   # emitted as the time moved on
+    assert _state_rows(queries[-1])[-1] == 0       # and nothing is kept behind the last window
+
+
+def test_state_is_bounded_by_the_open_windows(spark, tmp_dir):
+    df = _clicks(spark, 600, keys="abcdefghij", days=6)
+    _, queries = _windows(spark, tmp_dir, df, lambda s, delay: SO.window_counts(
+        s, "ts", ["user"], 7200, 3600, "8 hours", weight="weight"))
+    assert max(x for q in queries for x in _state_rows(q)) <= 20  # a value and a timer per user
+
+
+def test_late_rows_are_handed_on(spark, tmp_dir):
+    data = [(0, "a", "2024-01-01 00:10:00"), (0, "a", "2024-01-01 05:00:00"),
+            (1, "a", "2024-01-01 00:20:00"), (1, "b", "2024-01-01 00:30:00"),
+            (1, "a", "2024-01-01 04:30:00"), (2, "a", "2024-01-03 00:00:00")]
+    df = spark.createDataFrame(data, "batch int, user string, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    feed = BatchLog(spark, os.path.join(tmp_dir, "feed"))
+    for s in SS.landed_batches(df, "batch", [0, 1, 2], os.path.join(tmp_dir, "in")):
+        SO.run_available(SO.feed_writer(SO.window_counts(s, "ts", ["user"], 7200, 3600, "1 hour"), feed,
+                                        os.path.join(tmp_dir, "ck"), by="kind"))
+    late = feed.read().where("kind = 'late'").groupBy("user").agg(F.sum("count").alias("n"))
+    assert rows(late) == [("a", 1), ("b", 1)]
+    counted = feed.read().where("kind = 'count' AND user = 'a'").agg(F.sum("count")).first()[0]
+    assert counted == 2 * 3   # 00:10, 05:00, 04:30 in two windows each; the last hour stays open
+
+
+@pytest.mark.parametrize("lost", [None, 2])
+def test_rolling_top_n_keeps_lists_of_open_windows(spark, tmp_dir, lost):
+    df = _clicks(spark, 500, keys="abcdefgh")
+    feed, queries = _windows(spark, tmp_dir, df, lambda s, delay: SO.rolling_top_n(
+        s, "ts", "user", 3, 7200 * 3, 7200, delay, "weight"), lost)
+    want = TK.top_by_count(WN.rolling_count(df, "ts", ["user"], 7200 * 3, 7200), "user", 3,
+                           by=["window_end"])
+    cols = ("window_end", "rank", "user", "count")
+    assert rows(feed.latest(["window_end", "rank"]), *cols) == rows(want, *cols)
+    assert _state_rows(queries[-1])[-1] == 0
+
+
+def test_global_top_words_merge_partial_lists(spark, tmp_dir):
+    rng = random.Random(8)
+    words = [f"w{k:02d}" for k in range(40)]
+    batches = [rng.choices(words, [1 / (k + 1) for k in range(40)], k=300) for _ in range(3)]
+    batches[2] += ["w39"] * 200   # from the bottom to the top
+    feed = _land(spark, tmp_dir, lambda s: SO.top_n(SO.keyed_counts(s, ["word"]).drop("prev_count"),
+                                                    "word", 5, buckets=4), batches)
+    for upto in range(3):
+        count = Counter(w for ws in batches[:upto + 1] for w in ws)
+        want = sorted(count.items(), key=lambda e: (-e[1], e[0]))[:5]
+        seen = BatchLog.latest(type("Part", (), {
+            "read": lambda self, u=upto: feed.read().where(f"batch_id <= {u}")})(), ["rank"])
+        assert [(r["word"], r["count"]) for r in seen.orderBy("rank").collect()] == want
+
+
+# ------------------------------------------------------------ joins
+
+def _three_sides(spark, root, shift=1, extra=()):
+    schemas = ["k int, name string, both string", "k int, town string, both string", "k int, age int"]
+    data = [[(k, f"n{k}", f"first{k}") for k in range(12)], [(k, f"t{k}", "second") for k in range(10)],
+            [(k, 20 + k) for k in range(11)]]
+    streams = []
+    for i, (schema, side) in enumerate(zip(schemas, data, strict=True)):
+        df = spark.createDataFrame(side + [e[1] for e in extra if e[0] == i], schema).withColumn(
+            "batch", F.pmod(F.col("k") + i * shift, F.lit(3)))
+        streams.append(SS.landed_stream(df, "batch", 3, os.path.join(root, f"s{i}"), 2))
+    return streams
+
+
+@pytest.mark.parametrize("shift", [0, 1])
+def test_natural_join_of_three_streams(spark, tmp_dir, shift):
+    sides = _three_sides(spark, tmp_dir, shift)
+    feed = LosesACommit(spark, os.path.join(tmp_dir, "feed"), 1)
+    _run(SO.natural_join(sides, ["k", "age", "both", "name"]), feed, os.path.join(tmp_dir, "ck"))
+    assert feed.written.count(1) == 2
+    assert rows(feed.read(), "k", "age", "both", "name") == [
+        (k, 20 + k, f"first{k}", f"n{k}") for k in range(10)]
+
+
+def test_second_row_of_a_pending_side_is_an_error(spark, tmp_dir):
+    sides = _three_sides(spark, tmp_dir, extra=[(0, (11, "again", "x"))])  # key 11 stays pending
+    with pytest.raises(StreamingQueryException, match="second row of side 0"):
+        SO.run_available(SO.feed_writer(SO.natural_join(sides, ["k", "age"]),
+                                        BatchLog(spark, os.path.join(tmp_dir, "feed")),
+                                        os.path.join(tmp_dir, "ck")))
+
+
+def test_natural_join_checks_its_fields(spark, tmp_dir):
+    sides = _three_sides(spark, tmp_dir)
+    with pytest.raises(ValueError, match="not produced"):
+        SO.natural_join(sides, ["k", "nothing"])
+    with pytest.raises(ValueError, match="share no field"):
+        SO.natural_join([sides[0], sides[1].drop("k", "both")], ["name"])
+    with pytest.raises(ValueError, match="expiry needs"):
+        SO.natural_join(sides, ["k"], within_seconds=3)
+
+
+@pytest.mark.parametrize("lost", [None, 2])
+def test_expired_sides_come_out_and_leave_the_state(spark, tmp_dir, lost):
+    rng = random.Random(6)
+    base = F.lit("2024-03-01").cast("timestamp_ntz")
+    at = lambda c: F.timestamp_add("SECOND", F.col(c), base)
+    data = [(k, rng.randrange(4 * DAY), rng.choice([0, 600, 1800, 1801, 9000, -1800, -4000]))
+            for k in range(120)]
+    df = spark.createDataFrame(data, "k int, s long, d long")
+    left = df.where("k % 9 != 0").select("k", at("s").alias("ts"), F.concat(F.lit("l"), "k").alias("lv"))
+    right = df.where("k % 10 != 0").withColumn("s", F.col("s") + F.col("d")).select(
+        "k", at("s").alias("ts"), F.concat(F.lit("r"), "k").alias("rv"))
+    parts, delay = DV.sides_in_arrival_order([left, right], "ts", "k", 4, 7200)
+    streams = [SS.landed_stream(p.drop("weight"), "batch", 5, os.path.join(tmp_dir, f"s{i}"), 2)
+               for i, p in enumerate(parts)]
+    joined = SO.natural_join(streams, ["k", "lv", "rv"], "ts", 1800, delay)
+    feed = LosesACommit(spark, os.path.join(tmp_dir, "feed"), lost)
+    query = None
+    for _ in range(2):
+        try:
+            query = SO.run_available(SO.feed_writer(joined, feed, os.path.join(tmp_dir, "ck")))
+            break
+        except StreamingQueryException as e:
+            assert "executor lost" in str(e)
+    want = []
+    for k, _, d in data:
+        sides = (1 if k % 9 else 0) | (2 if k % 10 else 0)
+        if sides == 3 and abs(d) <= 1800:
+            want.append((k, "joined", f"l{k}", f"r{k}"))
+        else:
+            want += [(k, "expired", f"l{k}", None)] * (sides & 1) + [(k, "expired", None, f"r{k}")] * (sides >> 1)
+    got = [(r["k"], r["kind"], r["lv"], r["rv"]) for r in feed.read().collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    held = _state_rows(query)
+    assert max(held) > 0 and held[-1] == 0
+
+
+def test_time_bounded_join_of_streams(spark, tmp_dir):
+    """Spark's own interval join: a left row whose partner does not arrive within the
+    bound is emitted with a NULL right side once the watermark passes it."""
     land_l, land_r = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "r")
     # k=1 matches; k=2's partner is 2 h late; k=9 rows only move the watermarks on.
     spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")],
@@ -183,7 +381,7 @@ def test_stream_outer_join_exposes_expired_side(spark, tmp_dir):
                 .withColumn("lt", F.col("lt").cast("timestamp")).withWatermark("lt", "30 minutes"))
         right = (SS.parquet_stream(spark, os.path.join(land_r, "*"), "k int, rt string")
                  .withColumn("rt", F.col("rt").cast("timestamp")).withWatermark("rt", "30 minutes"))
-        j = time_bounded_join(left, right, ["k"], "lt", "rt", 1800, how="left_outer").select(
+        j = JN.time_bounded_join(left, right, ["k"], "lt", "rt", 1800, how="left_outer").select(
             F.col("l.k").alias("k"), F.col("r.k").alias("rk"))
         SO.run_available(j.writeStream.format("parquet").option("path", out)
                          .option("checkpointLocation", ck))
@@ -198,29 +396,40 @@ def test_stream_outer_join_exposes_expired_side(spark, tmp_dir):
     assert got == [(1, 1), (2, None)]
 
 
-def test_update_log_restart_and_replay(spark, tmp_dir):
+# ------------------------------------------------------------ aggregates and proximity
+
+def test_stream_word_count_restart_equals_batch(spark, tmp_dir):
     land = os.path.join(tmp_dir, "in")
-    spark.createDataFrame([("a b a",)], "text string").write.parquet(os.path.join(land, "1"))
-    ck = os.path.join(tmp_dir, "ck")
-    out = UpdateLog(spark, os.path.join(tmp_dir, "log"), ["word"])
+    docs = [("green tea and black tea",), ("a kettle for the tea",)]
+    more = [("no tea no kettle",)]
+    spark.createDataFrame(docs, "text string").write.parquet(os.path.join(land, "a"))
+    out = BatchLog(spark, os.path.join(tmp_dir, "out"))
 
     def run():
         s = SS.parquet_stream(spark, os.path.join(land, "*"), "text string")
-        SO.run_available(SO.upsert_writer(AG.word_count(s, "text"), out, ck, replay=True))
+        SO.run_available(SO.feed_writer(AG.word_count(s, "text"), out, os.path.join(tmp_dir, "ck")))
 
     run()
-    spark.createDataFrame([("b c",)], "text string").write.parquet(os.path.join(land, "2"))
-    run()
-    assert dict(rows(out.latest())) == {"a": 2, "b": 2, "c": 1}
-    # the second batch only wrote the keys it updated
-    assert rows(out.read().where("batch_id = 1"), "word", "count") == [("b", 2), ("c", 1)]
-
-
-def test_update_log_compaction(spark, tmp_dir):
-    log = UpdateLog(spark, os.path.join(tmp_dir, "ul"), ["k"])
-    log.write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
-    log.write(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
-    assert log.compact() == 1
-    log.write(spark.createDataFrame([("b", 5), ("c", 1)], "k string, n long"), 2)
-    assert dict(rows(log.latest())) == {"a": 2, "b": 5, "c": 1}
-    assert log.compact() == 2 and dict(rows(log.latest())) == {"a": 2, "b": 5, "c": 1}
+    spark.createDataFrame(more, "text string").write.parquet(os.path.join(land, "b"))
+    run()   # restart: same checkpoint, only the new file is read
+    batch = AG.word_count(spark.createDataFrame(docs + more, "text string"), "text")
+    assert rows(out.latest(["word"])) == rows(batch)
+    # the second batch only wrote the words it changed
+    assert rows(out.read().where("batch_id = 1"), "word") == [("kettle",), ("no",), ("tea",)]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_stored_summary_flags_like_the_batch(spark, tmp_dir, monkeypatch, limit):
+    """Broadcast, and salted beyond the limit."""
+    monkeypatch.setattr(JN, "SUMMARY_BROADCAST_ROWS", limit)
+    rng = random.Random(2)
+    quakes = spark.createDataFrame([(rng.randrange(10**8),) for _ in range(12)], "time long")
+    # A third of the messages in one bucket.
+    msgs = spark.createDataFrame([(k, rng.randrange(10**8) if k % 3 else 5 * 10**7 + k, )
+                                  for k in range(600)] + [(900, None)], "id int, published long")
+    summary = JN.stored_near_summary(quakes, "time", os.path.join(tmp_dir, "q"))
+    got = rows(JN.flag_by_summary(msgs, summary, "published"), "id", "near")
+    assert got == rows(JN.near_flag(msgs, quakes, "published", "time"), "id", "near")
+    times = [r["time"] for r in quakes.collect()]
+    assert dict(got) == {r["id"]: r["published"] is not None and any(
+        abs(r["published"] - t) < JN.NEAR_WITHIN_MS for t in times) for r in msgs.collect()}
