@@ -14,41 +14,71 @@ from rivulet.operators import topk as TK
 from rivulet.operators.reach import reach as reach_op
 from rivulet.plans.derived import listings, stock_lines
 from rivulet.plans.registry import register
-from rivulet.sinks.reports import count_report as count_report_op
-from rivulet.sinks.reports import topn_report as topn_report_op
+from rivulet.sinks import reports as RP
 from rivulet.session import scratch_path, table
 from rivulet.sources import files as FS
 
 # ---------------------------------------------------------------- sources
 
-_CSV_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-             "l_returnflag", "l_linestatus"]
+def _line_columns(df):
+    """Every column as the text a delimited file holds."""
+    return [F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if "timestamp" in f.dataType.simpleString()
+            else F.col(f.name).cast("string") for f in df.schema.fields]
+
+
+_CSV_FIELDS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_CSV_SQL = [f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c == "l_shipdate" else f"CAST({c} AS VARCHAR)"
+            for c in _CSV_FIELDS]
+# Malformed records: a surplus field behind one in ten first lines, and of one in
+# eleven others the last two fields missing.
+_SURPLUS, _SHORT = "l_linenumber = 1 AND l_orderkey % 10 = 3", "l_linenumber = 2 AND l_orderkey % 11 = 5"
 
 
 def _write_lineitem_csv(spark, sf_dir, header):
+    """lineitem, all columns, as ';'-separated text; without a header also some
+    malformed records."""
     path = scratch_path(spark, "csv_scan")
-    (table(spark, sf_dir, "lineitem").select(*_CSV_COLS)
-     .write.option("sep", ";").option("header", str(header).lower()).csv(path))
+    li = table(spark, sf_dir, "lineitem").select(*_CSV_FIELDS)
+    cells = _line_columns(li)
+    if header:
+        (li.select(*[c.alias(n) for c, n in zip(cells, _CSV_FIELDS, strict=True)])
+         .write.option("sep", ";").option("header", "true").csv(path))
+    else:
+        line = (F.when(F.expr(_SURPLUS), F.concat_ws(";", *cells, F.lit("surplus")))
+                .when(F.expr(_SHORT), F.concat_ws(";", *cells[:-2])).otherwise(F.concat_ws(";", *cells)))
+        li.select(line).write.text(path)
     return path
 
 
-@register("csv_scan", """
-SELECT CAST(l_orderkey AS VARCHAR) AS field_0, CAST(l_partkey AS VARCHAR) AS field_1,
-       CAST(l_suppkey AS VARCHAR) AS field_2, CAST(l_linenumber AS VARCHAR) AS field_3,
-       l_returnflag AS field_4, l_linestatus AS field_5
-FROM lineitem""")
+@register("csv_scan", f"""
+SELECT {", ".join(f"{c} AS field_{i}" for i, c in enumerate(_CSV_SQL))}
+FROM lineitem WHERE NOT ({_SURPLUS}) AND NOT ({_SHORT})""")
 def csv_scan(spark, sf_dir):
-    """lineitem written as ';'-separated text without header, scanned back."""
-    return FS.csv_scan(spark, _write_lineitem_csv(spark, sf_dir, False), sep=";")
-
-
-@register("csv_scan_header", """
-SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
-       CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-       l_returnflag, l_linestatus
+    """lineitem as ';'-separated text without header, scanned back; records of the
+    wrong width are not rows."""
+    path = _write_lineitem_csv(spark, sf_dir, False)
+    return FS.csv_scan(spark, path, ";", fields=len(_CSV_FIELDS))
+
+
+@register("csv_rejects", f"""
+SELECT array_to_string([{", ".join(_CSV_SQL)}], ';') || ';surplus' AS line,
+       CAST(l_orderkey AS VARCHAR) AS first FROM lineitem WHERE {_SURPLUS}
+UNION ALL
+SELECT array_to_string([{", ".join(_CSV_SQL[:-2])}], ';'), CAST(l_orderkey AS VARCHAR)
+FROM lineitem WHERE {_SHORT}""")
+def csv_rejects(spark, sf_dir):
+    """The records of the wrong width, from the place the scan puts them."""
+    path, rejects = _write_lineitem_csv(spark, sf_dir, False), scratch_path(spark, "csv_rejects")
+    FS.csv_scan(spark, path, ";", fields=len(_CSV_FIELDS), rejects=rejects)
+    return spark.read.parquet(rejects).select("line", F.col("fields")[0].alias("first"))
+
+
+@register("csv_scan_header", f"""
+SELECT {", ".join(f"{c} AS {n}" for c, n in zip(_CSV_SQL, _CSV_FIELDS, strict=True))}
 FROM lineitem""")
 def csv_scan_header(spark, sf_dir):
-    """Same file with a header row: names come from it, the row is skipped."""
+    """Same columns with a header row: names come from it, the row is skipped."""
     return FS.csv_scan(spark, _write_lineitem_csv(spark, sf_dir, True), sep=";", header=True)
 
 
@@ -164,12 +194,33 @@ def lowest_n_overall(spark, sf_dir):
 
 
 @register("topn_report", f"""
-SELECT city, rank,
-       printf('[%s], %s: [%d]  with title [%s] and link [%s].',
-              city, 'Top5PriceByCity', price, title, link) AS line
-FROM ({_LOWEST5_SQL})""")
+SELECT city, rank, part,
+       CASE WHEN part = 3 THEN
+         printf('[%s], %s: [%d]  with title [%s] and link [%s].', city, 'Top5PriceByCity', price, title, link)
+       ELSE ['', '**************************', ' [' || city || '] for Top5PriceByCity'][part + 1]
+       END AS line
+FROM (SELECT *, unnest(CASE WHEN rank = 1 THEN [0, 1, 2, 3] ELSE [3] END) AS part
+      FROM ({_LOWEST5_SQL}))""")
 def topn_report(spark, sf_dir):
-    return topn_report_op(_lowest5(spark, sf_dir), "Top5PriceByCity")
+    """The report's lines, each group under its heading."""
+    return RP.topn_report(_lowest5(spark, sf_dir), "Top5PriceByCity")
+
+
+@register("topn_report_file", f"""
+SELECT CAST(row_number() OVER (ORDER BY city, rank, part) AS BIGINT) AS line_no, line FROM (
+  SELECT city, rank, part,
+         CASE WHEN part = 3 THEN
+           printf('[%s], %s: [%d]  with title [%s] and link [%s].', city, 'Top5PriceByCity', price, title, link)
+         ELSE ['', '**************************', ' [' || city || '] for Top5PriceByCity'][part + 1]
+         END AS line
+  FROM (SELECT *, unnest(CASE WHEN rank = 1 THEN [0, 1, 2, 3] ELSE [3] END) AS part
+        FROM ({_LOWEST5_SQL})))""")
+def topn_report_file(spark, sf_dir):
+    """The report as text files in order of the groups, read back in file order."""
+    path = scratch_path(spark, "topn_report_file")
+    RP.write_report(RP.topn_report(_lowest5(spark, sf_dir), "Top5PriceByCity"),
+                    ["city", "rank", "part"], path)
+    return FS.numbered_lines(spark, path)
 
 
 # ---------------------------------------------------------------- dimension counts
@@ -200,7 +251,7 @@ FROM ({_ORDER_COUNTS_SQL})""")
 def count_report(spark, sf_dir):
     counts = _order_counts(spark, sf_dir).withColumn(
         "key", F.col("c_custkey").cast("string"))
-    return count_report_op(counts, key="key", value="c_name", count="count")
+    return RP.count_report(counts, key="key", value="c_name", count="count")
 
 
 # ---------------------------------------------------------------- joins

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.functions import text as TX
-from rivulet.functions.udtf import split_words_udtf
+from rivulet.functions.udtf import split_words_batches
 from rivulet.operators import aggregates as AG
 from rivulet.operators import topk as TK
 from rivulet.plans.registry import register
@@ -35,7 +35,7 @@ def word_count(spark, sf_dir):
 SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents""")
 def split_words_udtf_q(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return split_words_udtf(docs, "text", mode="python", keep=["doc_id"])
+    return split_words_batches(docs, "text", mode="python", keep=["doc_id"])
 
 
 @register("top_words", f"""

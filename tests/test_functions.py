@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import records as RC
 from rivulet.functions import text as TX
-from rivulet.functions.udtf import split_sentence, split_words_udtf
+from rivulet.functions.udtf import split_sentence, split_words_batches, split_words_udtf
 
 SENTENCES = ["the cow jumped over the moon", "", "   ", " lead", "trail  ",
              "a  b", "tab\tand\nnewline  x ", "  two  spaces  "]
@@ -33,7 +33,18 @@ def test_udtf_matches_jvm_split(spark):
     for mode in ["java", "python", "ruby"]:
         a = sorted(tuple(r) for r in split_words_udtf(df, "s", mode, keep=["id"]).collect())
         b = sorted(tuple(r) for r in df.select("id", F.explode(TX.split_words("s", mode))).collect())
-        assert a == b, mode
+        c = sorted(tuple(r) for r in split_words_batches(df, "s", mode, ["id"], rows=2).collect())
+        assert a == b == c, mode
+
+
+def test_batches_split_like_rows(spark):
+    texts = ["", " ", "  x", "x  ", "\n\t", "a \n b", "a\x0bb\x0c", "é  ü ", None, "w " * 100_000, "\u00a0 y"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "id int, s string")
+    for mode in ["java", "python", "ruby"]:
+        got = sorted(tuple(r) for r in split_words_batches(df, "s", mode, ["id"]).collect())
+        assert got == sorted((i, w) for i, s in enumerate(texts) if s is not None
+                             for w in split_sentence(s, mode)), mode
+    assert split_words_batches(df.limit(0), "s").count() == 0
 
 
 def test_append_suffix_chained(spark):
