@@ -15,8 +15,7 @@ def _csv_records(spark: SparkSession, path: str, sep: str, header: bool,
     """All records, strings only, with the raw record where the width is wrong."""
     reader = (spark.read.option("sep", sep).option("header", str(header).lower())
               .option("multiLine", str(multi_line).lower())
-              # An empty field is an empty string, quoted or not; nothing is NULL.
-              .option("nullValue", "\0").option("emptyValue", ""))
+              .option("escape", '"'))
     if fields is None:
         names = reader.csv(path).columns  # the first record
         if not header:
