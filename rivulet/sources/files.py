@@ -23,8 +23,11 @@ def _csv_records(spark: SparkSession, path: str, sep: str, header: bool,
     else:
         names = [f"field_{i}" for i in range(fields)] if isinstance(fields, int) else list(fields)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
-    return (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
-            .schema(schema).csv(path))
+    records = (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
+               .schema(schema).csv(path))
+    # Always true, and needs every column: Spark checks the width of the columns that
+    # it reads, so a consumer of some of them must not let the others be pruned.
+    return records.where(F.concat_ws("", *[F.col(f"`{n}`") for n in names]) >= "")
 
 
 def csv_scan(spark: SparkSession, path: str, sep: str = ",", header: bool = False,
@@ -44,10 +47,7 @@ def csv_scan(spark: SparkSession, path: str, sep: str = ",", header: bool = Fals
     # Spark reads an empty field as NULL, quoted or not; in a record of the right
     # width nothing else is.
     text = {c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in records.columns if c != _RAW}
-    # Always true, but Spark refuses to read the raw record without any other column.
-    also = next(iter(text.values())) >= ""
-    return records.where(F.col(_RAW).isNull() & also).select(
-        *[v.alias(c) for c, v in text.items()])
+    return records.where(F.col(_RAW).isNull()).select(*[v.alias(c) for c, v in text.items()])
 
 
 def csv_rejects(spark: SparkSession, path: str, sep: str = ",", header: bool = False,
