@@ -335,7 +335,17 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs(doc_id, text)``."""
+    """``doc_id, n_shingles, component_id`` per row of ``docs(doc_id, text)``. The
+    least similarity ``num / den`` is at least one half: the index looks for a set's
+    partners in its own size bucket and the one below."""
+    return _components(docs, size, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """:func:`similar_documents` with the row's set (``node``) and its component as one
+    of its sets (``cluster``)."""
+    if not 2 * num >= den >= num > 0:
+        raise ValueError("the least similarity must be from one half to one")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scan = stored(docs.mapInArrow(
         _scan(size), "doc_id bigint, n bigint, node bigint, token bigint, seen bigint"),
@@ -372,28 +382,56 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
                   "ngram-sets")
     links = _links(post, sets, num, den)
     if links is None:  # no two sets share a signature
-        named = classes.select("node", F.col("first").alias("component_id"))
+        named = classes.select("node", F.col("first").alias("component_id"),
+                               F.col("node").alias("cluster"))
     else:
         ids = stored(connected_components(links).withColumnRenamed("id", "node")
                      .join(classes, "node"), "ngram-ids")
         low = stored(ids.groupBy("root").agg(F.min("first").alias("low")), "ngram-low")
-        low = ids.join(low, "root").select("node", "low")
+        low = ids.join(low, "root").select("node", "low", "root")
         named = classes.join(low, "node", "left").select(
-            "node", F.coalesce("low", "first").alias("component_id"))
+            "node", F.coalesce("low", "first").alias("component_id"),
+            F.coalesce("root", "node").alias("cluster"))
     named = stored(named.withColumnRenamed("node", "class"), "ngram-named")
     # Rows without a set or an id stand alone.
     linked = (F.col("node") == F.col("class")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return rows.join(named, linked, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        F.coalesce("component_id", "doc_id").alias("component_id"), "node",
+        F.coalesce("cluster", "node").alias("cluster"))
+
+
+def _with_node(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` with the hash of each row's set as ``node`` (columns by place)."""
+    names = [f"k{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, text):
+            node = _sets(b.select([text]).rename_columns(["text"]), size)[3]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node)], [*names, "node"])
+
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}"
+                       for n, f in zip(names, docs.schema.fields, strict=True))
+    return docs.toDF(*names).mapInArrow(run, f"{schema}, node bigint")
 
 
 def first_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row of ``docs`` per component: the one with the smallest doc_id. Rows
-    with a null doc_id are all kept; of repeated rows with that doc_id, one is."""
-    keep = (similar_documents(docs, size, num, den)
-            .where("doc_id = component_id").select("doc_id").distinct())
+    """One row of ``docs`` per component: one with the smallest doc_id. Rows with a
+    null doc_id are all kept. Where a doc_id stands on several rows, they are told
+    apart by their sets: each component that has it as its smallest keeps a row."""
+    rows = stored(_components(docs, size, num, den).where("doc_id IS NOT NULL"), "ngram-rows")
+    keep = (rows.where("doc_id = component_id").groupBy("doc_id", "cluster")
+            .agg(F.min("node").alias("node")).select("doc_id", "node"))
+    twice = stored(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                   .select("doc_id"), "ngram-twice")
     keep = stored(keep, "ngram-keep")
-    known = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(
-        docs.where("doc_id IS NULL").select(*known.columns)).select(*docs.columns)
+    plain = docs.where("doc_id IS NULL").unionByName(docs.join(
+        keep.join(twice, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+        .select(*docs.columns))
+    again = _with_node(docs.join(twice, "doc_id", "left_semi").select(*docs.columns), size)
+    key = f"k{docs.columns.index('doc_id')}"
+    again = (again.join(keep.select(F.col("doc_id").alias(key), "node"), [key, "node"], "left_semi")
+             .dropDuplicates([key, "node"]))
+    places = [F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return plain.unionByName(again.select(*places))

@@ -221,3 +221,39 @@ def test_embeddings_match_brute_force(spark, monkeypatch, block):
                   for r in embedding_join.near_embeddings(df, 0.98).collect()), key=str)
     assert got == brute_vectors(rows, 0.98)
     assert embedding_join.near_embeddings(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_a_doc_id_are_told_apart(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    near_a = a + " tail"
+    rows = [(1, a), (1, b), (1, b), (1, near_a), (2, a), (3, "c d e f g h"), (3, b), (0, "c d e f g h"),
+            (None, a), (None, a), (4, None), (4, ""), (4, "z")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, node int")
+    kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.first_of_each(df, 3, 80, 100).collect()),
+                  key=str)
+    as_a = [(1, a)] if (1, a) in kept else [(1, near_a)]   # either stands for their component
+    empty = [r for r in kept if r[0] == 4 and not r[1]]
+    assert len(empty) == 1
+    assert kept == sorted([*as_a, (1, b), (0, "c d e f g h"), (None, a), (None, a), (4, "z"), *empty],
+                          key=str)
+
+
+@pytest.mark.parametrize("num", [50, 65, 80, 95])
+def test_links_match_brute_force_at_every_threshold(spark, num):
+    rng = random.Random(num)
+    texts = []
+    for k in range(60):
+        words = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(3, 40))]
+        texts.append(" ".join(words))
+        cut = rng.randrange(1, len(words) + 1)
+        texts.append(" ".join(words[:cut] + [f"x{k}"] * rng.randrange(3)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert result(ngram_join.similar_documents(df, 1, num, 100)) == sorted(
+        brute(list(enumerate(texts)), 1, num, 100), key=str)
+
+
+def test_thresholds_below_one_half_are_refused(spark):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for num, den in ((20, 100), (49, 100), (101, 100), (0, 100)):
+        with pytest.raises(ValueError):
+            ngram_join.similar_documents(df, 3, num, den)
