@@ -193,13 +193,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = features(*text_bytes(b.column("text")))
         off = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column("y"), pa.ListArray.from_arrays(off, pa.array(x.ravel()))], ["y", "x"])
+            [b.column("doc_id"), b.column("y"), pa.ListArray.from_arrays(off, pa.array(x.ravel()))],
+            ["doc_id", "y", "x"])
 
 
-def _scores(model, names: list[str]):
+def _scores(model, names: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, "text"):
-            score = predict(model.value, features(*text_bytes(b.column("text"))))
+        for b in chunks(batches, text):
+            score = predict(model.value, features(*text_bytes(b.column(text))))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in names), pa.array(score)], [*names, "score"])
     return run
@@ -214,8 +215,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
         sample = sample.where(usable)
     sample = (sample.select("doc_id", F.col("quality").cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # max_rows rows
-            .select("y", "text").mapInArrow(_features, "y int, x array<double>").toArrow())
+    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+            .join(F.broadcast(sample), "doc_id")  # max_rows rows
+            .select("doc_id", "y", "text")
+            .mapInArrow(_features, "doc_id bigint, y int, x array<double>")
+            # A labelled doc_id may stand on many rows: the bound holds for those, too.
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(max_rows)
+            .select("y", "x").toArrow())
     y = np.asarray(rows["y"].combine_chunks(), np.float64)
     x = np.asarray(rows["x"].combine_chunks().flatten(), np.float64).reshape(len(y), WIDTH)
     order = np.lexsort((*x.T, y))  # the model does not depend on the order of arrival
@@ -227,10 +233,10 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"k{i}" for i in range(len(docs.columns))]
     text = names[docs.columns.index("text")]
-    plain = docs.toDF(*names).withColumn("text", F.col(text))
+    plain = docs.toDF(*names)
     schema = ", ".join(f"{n} {f.dataType.simpleString()}"
                        for n, f in zip(names, docs.schema.fields, strict=True))
-    out = plain.mapInArrow(_scores(shared, names), f"{schema}, score double")
+    out = plain.mapInArrow(_scores(shared, names, text), f"{schema}, score double")
     return out.toDF(*docs.columns, "quality_score")
 
 

@@ -185,6 +185,26 @@ def test_counters_do_not_depend_on_the_partitions(spark):
     assert one.any() and (one == many).all()
 
 
+def test_the_bound_holds_for_repeated_documents(spark):
+    """One labelled doc_id on many rows: no more than the bound reach the driver."""
+    docs = spark.range(3000).select(F.when(F.col("id") < 2500, 7).otherwise(F.col("id")).alias("doc_id"),
+                                    F.concat(F.lit("word "), "id").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).distinct()
+    taken = []
+
+    def watch(x, y, **shape):
+        taken.append(len(x))
+        return plain(x, y, trees=2, depth=2)
+
+    plain, quality.fit = quality.fit, watch
+    try:
+        quality.train(docs, labels, max_rows=200)
+        quality.train(docs.limit(0), labels, max_rows=200)
+    finally:
+        quality.fit = plain
+    assert taken == [200, 0]
+
+
 # --- decontamination -----------------------------------------------------------------
 
 def test_planted_passages_are_found_and_clean_documents_left(spark):
