@@ -12,11 +12,21 @@ from rivulet.llm import decontaminate, mixing, ngram_join, quality, sharding
 from rivulet.llm.common import load, stored
 
 QUALITY = 0.3
+# Rows that Spark hands to a Python task at a time. A document may be long, and the
+# buffers of a batch, in the executor and in its workers, are never given back.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts in small Arrow batches, for all stages of the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(BATCH_ROWS, int(spark.conf.get(key)) or BATCH_ROWS)))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier (3): rows with a score below ``QUALITY`` go. Learned from
     the labelled rows of ``docs`` whose crc32(doc_id as text) mod 5 is not 0."""
+    small_batches(spark)
     labels = load(spark, sf_dir, "labels")
     model = quality.train(docs, labels, quality.remainder(5) != 0)
     return (quality.score(docs, model).where(f"quality_score >= {QUALITY}")
@@ -26,11 +36,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (1): of each component of documents whose 5-word shingles
     have a similarity of 0.8 or more, the one with the smallest doc_id stays."""
+    small_batches(spark)
     return ngram_join.first_of_each(docs, 5, 80, 100)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (8): documents in which an item is found go."""
+    small_batches(spark)
     return decontaminate.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
