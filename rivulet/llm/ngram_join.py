@@ -27,8 +27,11 @@ no further test, and the pairs of unconnected classes that are left are counted.
 As long as a star at least halves them (a large group of near copies) another
 one follows, with other leaders; then, or when they are few against the index,
 all of them are tried: as rows for signatures of few classes, as pairs of blocks
-compared inside a task for the others. Every pair that shares a signature is in
-the end either tried or already connected, so components are exact.
+compared inside a task for the others. Those return, first within blocks and then
+across them, only pairs enough to connect what may link; what these connect needs
+no further test, and the few pairs left between components come last. Every pair
+that shares a signature is in the end either tried or already connected, so
+components are exact.
 Verification first compares sizes and parity words, which bound the number of
 tokens that differ from below, and then intersects the full sets.
 
@@ -56,6 +59,7 @@ STRETCH = 1 << 21          # shingles counted together in a task
 FEW = 1 << 19              # ids that may be broadcast
 WORDS = 32                 # parity words of a set
 SMALL, BLOCK = 32, 256     # classes of a signature that are joined as rows; in a block
+_STEPS = ("same", "cross", "all")  # the steps behind the stars
 STARS = 12                 # star rounds before all remaining pairs are verified
 _NODE, _CELL = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -214,32 +218,56 @@ def _least_shared() -> F.Column:
     return F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.col("bucket") - 4)))
 
 
-def _pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of unconnected classes that share a signature, from
-    ``members(sig, size, node, comp)``.
-
-    Signatures of up to ``SMALL`` classes are joined with themselves, at most
-    ``SMALL`` rows for each. Larger ones are packed into blocks; a task compares
-    the sizes and parities of two blocks and returns the pairs that may link.
-    """
+def _few_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of unconnected classes in signatures of up to ``SMALL`` classes, which are
+    joined with themselves, at most ``SMALL`` rows for each."""
     x = members.where(F.col("size") <= SMALL)
     y = x.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
     few = x.join(y, "sig").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("other")))
+    return few.select(F.col("node").alias("a"), "b")
+
+
+def _block_pairs(members: DataFrame, sets: DataFrame, num: int, den: int, step: str) -> DataFrame:
+    """Pairs of unconnected classes in signatures of more than ``SMALL`` classes, from
+    ``members(sig, size, node, comp)``. The classes are packed into blocks; a task
+    compares the sizes and parities of two blocks (``same``: of one with itself,
+    ``cross``: of different ones, ``all``: both). The first two steps return no more
+    pairs than connect what may link, fewer than classes; the last returns the rest."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK))
     big = (members.where(F.col("size") > SMALL)
            .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
            .join(sets.select("node", "n", "parity"), "node")
            .groupBy("sig", "block").agg(F.collect_list(
                F.struct("node", "comp", "n", "parity")).alias("x")))
-    big = stored(big, "ngram-blocks")
-    two = big.select("sig", F.col("block").alias("block2"), F.col("x").alias("y"))
-    many = (big.join(two, "sig").where("block <= block2")
-            .withColumn("same", F.col("block") == F.col("block2"))
-            .select("same", "x", "y").mapInArrow(_compare(num, den), "a bigint, b bigint"))
-    return few.select(F.col("node").alias("a"), "b").unionByName(many)
+    if step == "same":
+        both = big.select(F.lit(True).alias("same"), "x", F.col("x").alias("y"))
+    else:
+        big = stored(big, "ngram-blocks")
+        two = big.select("sig", F.col("block").alias("block2"), F.col("x").alias("y"))
+        both = big.join(two, "sig").where("block < block2" if step == "cross" else "block <= block2")
+        both = both.select((F.col("block") == F.col("block2")).alias("same"), "x", "y")
+    return both.mapInArrow(_compare(num, den, step != "all"), "a bigint, b bigint")
+
 
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Marks pairs that connect what all of them connect, and no more."""
+    parent: dict[int, int] = {}
 
-def _compare(num: int, den: int):
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    keep = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep[k] = True
+    return keep
+
+
+def _compare(num: int, den: int, forest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns(block):
             parity = np.asarray(pc.list_flatten(block.field("parity"))).view(np.uint64)
@@ -260,6 +288,9 @@ def _compare(num: int, den: int):
                 if batch.column("same")[i].as_py():
                     near &= node[:, None] < node2[None, :]
                 a, b = np.nonzero(near)
+                if forest:
+                    keep = _forest(comp[a], comp2[b])
+                    a, b = a[keep], b[keep]
                 a, b = node[a], node2[b]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -293,9 +324,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links among the classes of ``post(sig, node)`` that connect all components."""
     size = post.count()
-    links = None
-    comps = before = None
-    for r in range(STARS + 1):
+    links = comps = before = None
+    step = "star"
+    for r in range(STARS + len(_STEPS)):
         if comps is None:
             members = post.withColumn("comp", F.col("node"))
         else:
@@ -305,30 +336,38 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         parts = members.groupBy("sig", "comp").agg(
             F.count(F.lit(1)).alias("n"),
             F.min_by("node", F.xxhash64("node", F.lit(r))).alias("lead"))
+        # Pairs of small signatures are all tried in the step behind the stars.
+        least = 0 if step == "star" else SMALL
         open_sigs = stored(
             parts.groupBy("sig").agg(
                 F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"),
                 F.max_by(F.struct("lead", "comp"), F.struct("n", "comp")).alias("best"),
                 F.count(F.lit(1)).alias("comps"))
-            .where("comps > 1"), "ngram-open")
+            .where((F.col("comps") > 1) & (F.col("n") > least)), "ngram-open")
         left = open_sigs.agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2)).first()[0] or 0
         if not left:
             break
-        last = r == STARS or left <= 4 * size or (before is not None and 2 * left > before)
+        if step != "star":
+            step = _STEPS[_STEPS.index(step) + 1]
+        elif r == STARS or left <= 4 * size or (before is not None and 2 * left > before):
+            step = "same"
         before = left
-        if last:
-            x = members.join(open_sigs.select("sig", F.col("n").alias("size")), "sig")
-            pairs = _pairs(stored(x, "ngram-open-members"), sets, num, den)
-        else:
+        if step == "star":
             cand = members.join(open_sigs.select("sig", "best"), "sig").where(
                 F.col("comp") != F.col("best.comp"))
             pairs = cand.select(F.least("node", "best.lead").alias("a"),
                                 F.greatest("node", "best.lead").alias("b"))
+        else:
+            x = stored(members.join(open_sigs.select("sig", F.col("n").alias("size")), "sig"),
+                       "ngram-open-members")
+            pairs = _block_pairs(x, sets, num, den, step)
+            if step == "same":
+                pairs = pairs.unionByName(_few_pairs(x))
         pairs = stored(pairs.distinct(), "ngram-pairs")
         pairs = stored(_near(pairs, sets, num, den), "ngram-near")
         found = stored(_verified(pairs, sets, num, den), "ngram-links")
         links = found if links is None else links.unionByName(found)
-        if last:
+        if step == _STEPS[-1]:
             break
         comps = stored(connected_components(links), "ngram-comps")
     return links
