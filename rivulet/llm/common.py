@@ -20,7 +20,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     survives lost executors, and lets several consumers scan one result."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove :func:`stored` tables that nothing reads any more. What was made of them
+    must be stored itself: a lost executor must not need them again."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(
+            path, True)
 
 
 def _stamp(edges: DataFrame) -> tuple:
@@ -47,11 +59,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-low")
         large = stored(both.join(low, "u").where(F.col("v") > F.col("u"))
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc-large")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
-        small = (large.join(low, "u").where(F.col("v") != F.col("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        small = (large.join(least, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = stored(small, "cc-edges")
+                 .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        old, edges = edges, stored(small, "cc-edges")
+        discard(old, low, large, least)
         before, stamp = stamp, _stamp(edges)
         if stamp == before:
             break

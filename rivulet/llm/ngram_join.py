@@ -51,7 +51,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import connected_components, stored
+from rivulet.llm.common import connected_components, discard, stored
 from rivulet.llm.textcore import Words, chunks, mix, row_sums, shingles, text_bytes
 
 FREQUENT_SHARE = 1 << 17   # a frequent token holds at least 1/this of all tokens
@@ -227,26 +227,29 @@ def _few_pairs(members: DataFrame) -> DataFrame:
     return few.select(F.col("node").alias("a"), "b")
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame, num: int, den: int, step: str) -> DataFrame:
+def _block_pairs(members: DataFrame, sets: DataFrame, num: int, den: int, step: str):
     """Pairs of unconnected classes in signatures of more than ``SMALL`` classes, from
     ``members(sig, size, node, comp)``. The classes are packed into blocks; a task
     compares the sizes and parities of two blocks (``same``: of one with itself,
     ``cross``: of different ones, ``all``: both). The first two steps return no more
-    pairs than connect what may link, fewer than classes; the last returns the rest."""
+    pairs than connect what may link, fewer than classes; the last returns the rest.
+    Also returns the stored tables that the pairs are made of."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK))
     big = (members.where(F.col("size") > SMALL)
            .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
            .join(sets.select("node", "n", "parity"), "node")
            .groupBy("sig", "block").agg(F.collect_list(
                F.struct("node", "comp", "n", "parity")).alias("x")))
+    made = []
     if step == "same":
         both = big.select(F.lit(True).alias("same"), "x", F.col("x").alias("y"))
     else:
         big = stored(big, "ngram-blocks")
+        made = [big]
         two = big.select("sig", F.col("block").alias("block2"), F.col("x").alias("y"))
         both = big.join(two, "sig").where("block < block2" if step == "cross" else "block <= block2")
         both = both.select((F.col("block") == F.col("block2")).alias("same"), "x", "y")
-    return both.mapInArrow(_compare(num, den, step != "all"), "a bigint, b bigint")
+    return both.mapInArrow(_compare(num, den, step != "all"), "a bigint, b bigint"), made
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -346,12 +349,13 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .where((F.col("comps") > 1) & (F.col("n") > least)), "ngram-open")
         left = open_sigs.agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2)).first()[0] or 0
         if not left:
+            discard(members, open_sigs)
             break
         if step != "star":
             step = _STEPS[_STEPS.index(step) + 1]
         elif r == STARS or left <= 4 * size or (before is not None and 2 * left > before):
             step = "same"
-        before = left
+        before, used = left, [members, open_sigs]
         if step == "star":
             cand = members.join(open_sigs.select("sig", "best"), "sig").where(
                 F.col("comp") != F.col("best.comp"))
@@ -360,12 +364,14 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         else:
             x = stored(members.join(open_sigs.select("sig", F.col("n").alias("size")), "sig"),
                        "ngram-open-members")
-            pairs = _block_pairs(x, sets, num, den, step)
+            pairs, made = _block_pairs(x, sets, num, den, step)
+            used += [x, *made]
             if step == "same":
                 pairs = pairs.unionByName(_few_pairs(x))
         pairs = stored(pairs.distinct(), "ngram-pairs")
-        pairs = stored(_near(pairs, sets, num, den), "ngram-near")
-        found = stored(_verified(pairs, sets, num, den), "ngram-links")
+        near = stored(_near(pairs, sets, num, den), "ngram-near")
+        found = stored(_verified(near, sets, num, den), "ngram-links")
+        discard(*used, pairs, near)
         links = found if links is None else links.unionByName(found)
         if step == _STEPS[-1]:
             break
@@ -398,7 +404,9 @@ def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                    "ngram-index")
     shared = (index.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .where("lo <> hi").select("sig"))
-    post = stored(index.join(stored(shared, "ngram-shared"), "sig").distinct(), "ngram-shared-index")
+    shared = stored(shared, "ngram-shared")
+    common = post = stored(index.join(shared, "sig").distinct(), "ngram-shared-index")
+    discard(index, shared)
     strong = post.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n")).where(
         F.col("n") >= _least_shared())
     strong = stored(strong.select("node", "bucket", "n"), "ngram-strong")
@@ -410,6 +418,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             .withColumn("place", F.row_number().over(rarest))
             .where(F.col("place") <= F.col("n") - _least_shared() + 1))
     post = stored(post.select("sig", "node"), "ngram-post")
+    discard(common, strong, sizes)
     needed = stored(post.select("node").distinct().join(classes, "node"), "ngram-needed")
     ids = needed.select(F.col("first").alias("doc_id")).distinct()
     if needed.count() <= FEW:  # at most 8 bytes each; beyond it the join shuffles the texts
@@ -432,6 +441,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             "node", F.coalesce("low", "first").alias("component_id"),
             F.coalesce("root", "node").alias("cluster"))
     named = stored(named.withColumnRenamed("node", "class"), "ngram-named")
+    discard(post, needed, sets, classes)
     # Rows without a set or an id stand alone.
     linked = (F.col("node") == F.col("class")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return rows.join(named, linked, "left").select(

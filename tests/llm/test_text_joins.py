@@ -252,6 +252,24 @@ def test_links_match_brute_force_at_every_threshold(spark, num):
         brute(list(enumerate(texts)), 1, num, 100), key=str)
 
 
+def test_tables_nothing_reads_are_removed(spark, tmp_dir, monkeypatch):
+    import os
+
+    from rivulet.llm import common
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: os.path.join(
+        tmp_dir, f"{name}-{len(os.listdir(tmp_dir))}-{os.urandom(4).hex()}"))
+    rng = random.Random(3)
+    texts = [" ".join(f"w{(k // 4) * 50 + n + (n == rng.randrange(50))}" for n in range(50))
+             for k in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ngram_join.similar_documents(df, 1, 80, 100)
+    left = {n.rsplit("-", 2)[0] for n in os.listdir(tmp_dir)}
+    assert "ngram-named" in left and "ngram-links" in left
+    assert not left & {"ngram-index", "ngram-post", "ngram-sets", "ngram-members", "ngram-pairs",
+                       "ngram-near", "cc-low", "cc-large"}
+    assert result(got) == sorted(brute(list(enumerate(texts)), 1, 80, 100), key=str)
+
+
 def test_thresholds_below_one_half_are_refused(spark):
     df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     for num, den in ((20, 100), (49, 100), (101, 100), (0, 100)):
