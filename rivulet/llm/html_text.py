@@ -75,12 +75,16 @@ def _attrs(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(text)}
 
 
+def hidden(text: str) -> bool:
+    """Do the attributes say that this element is not shown?"""
+    a = _attrs(text)
+    return bool("hidden" in a or a.get("aria-hidden") == "true" or re.search(
+        r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")))
+
+
 def named_out(tag: str, text: str) -> bool:
     """Do the attributes say that this element is not part of the main text?"""
     a = _attrs(text)
-    if ("hidden" in a or a.get("aria-hidden") == "true"
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""))):
-        return True
     if tag in WHOLE or tag in HEADINGS:
         return False
     for name in f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".split():
@@ -95,8 +99,9 @@ def named_out(tag: str, text: str) -> bool:
 class _Page:
     """Elements (tag, parent, links) and blocks (element, text, linked characters)."""
 
-    def __init__(self, html: str, by_name: bool):
+    def __init__(self, html: str, by_name: bool, spared: frozenset[int] = frozenset()):
         self.tag, self.parent = ["#"], [-1]
+        self.shut = [False]  # is the element left out, or in one that is?
         self.blocks: list[tuple[int, str, int]] = []
         self.links: list[int] = []  # links of each element's blocks
         stack, out, inside = [0], 0, 0  # out: open left-out elements; inside: open links
@@ -183,8 +188,11 @@ class _Page:
                 continue
             self.tag.append(tag)
             self.parent.append(stack[-1])
-            drop = tag in LEFT_OUT or (bool(m["attrs"]) and named_out(tag, m["attrs"])
-                                       if by_name else False)
+            attrs = m["attrs"]
+            drop = ((tag in LEFT_OUT or (by_name and bool(attrs) and named_out(tag, attrs)))
+                    and len(self.tag) - 1 not in spared)
+            drop = drop or (by_name and bool(attrs) and hidden(attrs))
+            self.shut.append(drop or out > 0)
             if drop and not out:
                 flush()
             dropped.append(drop)
@@ -252,11 +260,32 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = _Page(html, by_name=True)
-    if not page.blocks and not {"article", "main"} & set(page.tag):
+    marked = [k for k, tag in enumerate(page.tag) if tag in ("article", "main")]
+    if marked and all(page.shut[k] for k in marked):
+        page = _unwrapped(html, page, marked) or page
+    elif not page.blocks and not marked:
         page = _Page(html, by_name=False)  # the names speak of the whole page
+        if not page.blocks:  # or a form is around it
+            page = _Page(html, False, frozenset(
+                k for k, tag in enumerate(page.tag) if tag == "form"))
     return "\n\n".join(page.kept())
 
 
+def _unwrapped(html: str, page: _Page, marked: list[int]) -> _Page | None:
+    """The page without the wrappers that took its only articles with them - a layout
+    named after its sidebar, a form around everything - if those articles are most of
+    what it then says. Asides, menus and the like are no wrappers."""
+    spared = {e for k in marked for e in page.above(k)}
+    if any(page.tag[e] in LEFT_OUT - {"form"} for e in spared):
+        return None
+    open_page = _Page(html, True, frozenset(spared))
+    inside = set(marked)
+    held = sum(len(text) for k, text, _ in open_page.blocks
+               if not inside.isdisjoint(open_page.above(k)))
+    whole = sum(len(text) for _, text, _ in open_page.blocks)
+    return open_page if 2 * held > whole else None
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [main_text(b.column("html")[k].as_py()) for k in range(b.num_rows)]

@@ -37,6 +37,25 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+STORY = "<p>A long story, told in full, with more than a few words in it.</p>" * 3
+TOLD = "\n\n".join(["A long story, told in full, with more than a few words in it."] * 3)
+
+
+@pytest.mark.parametrize("html", [
+    f"<div class='layout sidebar-right'><article>{STORY}</article></div><p>Rest of page</p>",
+    f"<form action=x><div><main>{STORY}</main></div></form>",
+    f"<form>{STORY}</form>",
+    f"<section id=discussion><article>{STORY}</article></section><div class=ad>Buy</div>",
+    f"<div>{STORY}</div><aside><article><p>Another post, a teaser of it only.</p></article></aside>",
+    f"<article>{STORY}</article><section class=comments><article><p>I do not agree with this, "
+    f"not at all, not one word.</p></article></section>",
+    f"<div>{STORY}</div><form><p>Your name, your mail, your opinion on all of this.</p></form>",
+    f"<div>{STORY}</div><div style='display:none'><article><p>Hidden.</p></article></div>",
+])
+def test_wrappers_do_not_take_the_article(html):
+    assert main_text(html) == TOLD
+
+
 def test_long_and_deep_pages():
     assert main_text("<div>" * 30000 + "deep") == "deep"
     words = " ".join(f"w{k}" for k in range(60000))
