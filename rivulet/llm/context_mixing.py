@@ -10,18 +10,18 @@ pair counts), so a byte costs about three decisions instead of eight.
   counters each. The counters are summed over all training texts: every task
   counts its own texts, Spark adds the exact counts block by block, and only the
   sums are scaled to bytes, so the table does not depend on the partitions.
-* Mixing: the predictors' log odds are added with weights chosen by a gate, the
-  levels of evidence of the contexts. The weights are learned online by
-  every task and averaged by the evidence of each gate; the counts of a
-  decision leave out the decision itself. (One of ``STRIDE`` blocks of each
-  training text, at a place given by its hash, is used for these
-  ``GATES * CONTEXTS`` numbers; the counters see every byte.)
+* Mixing: a counter is one of ``STATES`` states. All decisions of all training
+  texts are counted by the states of their contexts (:func:`_learn`; the counts of a
+  decision leave out the decision itself). From these exact sums come the
+  log odds of every state and, by Newton steps, the weights with which a gate, the
+  contexts' levels of evidence, adds them up; the outcomes of each combination of
+  states correct its mix. Neither the counters nor the weights depend on how the input is split.
 * Refinement: while a text is scored, offsets per log-odds range are adapted to
   it after each block of ``BLOCK`` symbols, starting from zero.
 
 The sum of the decisions' log probabilities is the text's; the total in bits
-over the bytes of the token sequence is ``bits_per_byte``. All texts of a chunk advance together, block
-by block. The counter tables have a fixed size (the broadcast is
+over the bytes of the token sequence is ``bits_per_byte``. All texts of a chunk advance
+together, block by block, in slices of ``SLICE`` symbols. The counter tables have a fixed size (the broadcast is
 ``CONTEXTS * SLOTS * 2`` bytes, 32 MB, at any input size); what is counted and
 merged grows with the corpus.
 
@@ -49,14 +49,14 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import stored
 from rivulet.llm.textcore import (
-    _BASE, _BYTE, _INV, _M1, LOWER, SPACE, Words, chunks, mix, powers, text_bytes,
+    _BASE, _BYTE, _INV, _M1, LOWER, SPACE, Words, chunks, powers, text_bytes,
 )
 
 ORDERS, SLOT_BITS = (3, 6, 9), 22
 CONTEXTS, SLOTS, PART = len(ORDERS) + 1, 1 << SLOT_BITS, 1 << 13
-BLOCK, STRIDE, LEVELS, RANGES = 192, 16, 7, 12
-GATES = LEVELS ** CONTEXTS
-CHUNK = 1 << 18
+BLOCK, STATES, LEVELS, RANGES = 192, 32, 7, 12
+GATES, CELLS = LEVELS ** CONTEXTS, STATES ** CONTEXTS
+SLICE, CHUNK, OWN = 1 << 16, 1 << 18, 30.0
 COMMON = 1 << 20
 END = 256
 END_TOKEN = np.uint64(0x5851F42D4C957F2D)
@@ -125,29 +125,32 @@ def symbols(data: np.ndarray, off: np.ndarray):
     return symbol, prev, row, place
 
 
-def contexts(symbol: np.ndarray, prev: np.ndarray, place: np.ndarray,
-             order: np.ndarray) -> list[np.ndarray]:
-    """32-bit hashes of the contexts at the symbols ``order``: the last bytes, and
-    the word begun (from the white space before it)."""
+def word_begun(symbol: np.ndarray, place: np.ndarray):
+    """Sums of hashed bytes, and at each symbol where its word began (the white space
+    before it)."""
     n = len(symbol)
-    recent = prev.astype(np.uint32)
-    out, hashed = [], recent[order] * np.uint32(0x2C1B3C6D)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[symbol] * powers(_BASE, n), out=total[1:])
+    at = np.arange(n, dtype=np.int32)
+    begun = np.zeros(n, np.int32)
+    np.maximum.accumulate(np.where(_GAP[symbol[:-1]], at[1:], 0), out=begun[1:])
+    return total, np.maximum(begun, at - place)
+
+
+def contexts(prev: np.ndarray, place: np.ndarray, word, order: np.ndarray) -> list[np.ndarray]:
+    """32-bit hashes of the contexts at the symbols ``order``: the last bytes, and
+    the word begun."""
+    out, hashed = [], prev[order].astype(np.uint32) * np.uint32(0x2C1B3C6D)
     depth = place[order]
     for back in range(2, max(ORDERS) + 1):
-        older = recent[np.maximum(order - (back - 1), 0)]
+        older = prev[np.maximum(order - (back - 1), 0)].astype(np.uint32)
         older[depth < back - 1] = _FIRST
         hashed = (hashed ^ older) * np.uint32(0x297A2D39 + 2 * back)
         hashed ^= hashed >> np.uint32(15)
         if back in ORDERS:
             out.append(hashed)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[symbol] * powers(_BASE, n), out=total[1:])
-    at = np.arange(n, dtype=np.int32)
-    begun = np.empty(n, np.int32)
-    begun[0:1] = 0
-    np.maximum.accumulate(np.where(_GAP[symbol[:-1]], at[1:], 0), out=begun[1:])
-    begun = np.maximum(begun[order], order - depth)
-    h = (total[order] - total[begun]) * powers(_INV, n)[begun] * _M1
+    total, begun = word[0], word[1][order]
+    h = (total[order] - total[begun]) * powers(_INV, len(prev))[begun] * _M1
     return [*out, (h >> np.uint64(32)).astype(np.uint32)]
 
 
@@ -155,45 +158,47 @@ _GAP = np.concatenate((SPACE, [True]))
 _VALUE = np.concatenate((_BYTE, [np.uint64(1)]))
 
 
-def decisions(code, data: np.ndarray, off: np.ndarray, chosen=None):
-    """All decisions of a chunk, ordered by block and row.
+def decisions(code, data: np.ndarray, off: np.ndarray):
+    """All decisions of a chunk, ordered by block and row, in slices.
 
-    Returns ``(slots, bit, row, step)``: per context the slot of each decision,
-    its outcome, the row, and the index at which each block begins. ``chosen(row, block)`` may
-    select symbols.
+    Yields ``(slots, bit, row, step)``: per context the slot of each decision,
+    its outcome, the row, and the indexes at which blocks begin, and the end.
     """
     length, offset, path = code
     symbol, prev, row, place = symbols(data, off)
+    if not len(symbol):
+        return
+    word = word_begun(symbol, place)
     block = place // np.int32(BLOCK)
-    if not len(block) or block.max() < 32768:
-        block = block.astype(np.int16)  # sorted by radix
-    depth = place
-    if chosen is None:
-        order = np.argsort(block, kind="stable")
-    else:
-        at = np.flatnonzero(chosen(row, block))
-        order = at[np.argsort(block[at], kind="stable")]
-    pair = (prev * np.int32(257) + symbol)[order]
-    size = length[pair]
-    total = int(size.sum())
-    end = np.cumsum(size)
-    place = np.repeat(np.arange(len(pair)), size)
-    shift = offset[pair] - (end - size)
-    node = path.take(shift.take(place) + np.arange(total))
-    bit = (node & 1).astype(bool)
-    salt = (node >> 1).astype(np.uint32) * np.uint32(0x9E3779B1)
-    slots = []
-    for h in contexts(symbol, prev, depth, order):
-        x = h.take(place)
-        x ^= salt
-        x *= np.uint32(0x85EBCA6B)
-        x >>= np.uint32(32 - SLOT_BITS)
-        slots.append(x)
-    blocks = block[order]
-    edge = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))) \
-        if len(blocks) else np.empty(0, np.int64)
-    step = np.append((end - size)[edge], total)
-    return slots, bit, row[order].take(place), step
+    # int16 is sorted by radix.
+    order = np.argsort(block.astype(np.int16) if block.max() < 32768 else block, kind="stable")
+    block, row = block[order], row[order]
+    fresh = np.flatnonzero(np.concatenate(
+        ([True], (block[1:] != block[:-1]) | (row[1:] != row[:-1]), [True])))
+    # A block of a text is never cut.
+    cuts = np.unique(fresh[np.searchsorted(fresh, np.arange(0, len(order) + SLICE, SLICE))
+                           .clip(max=len(fresh) - 1)])
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        at = order[lo:hi]
+        pair = prev[at] * np.int32(257) + symbol[at]
+        size = length.take(pair)
+        first = np.cumsum(size, dtype=np.int32) - size
+        step = np.repeat(offset.take(pair) - first, size)
+        step += np.arange(len(step), dtype=np.int32)
+        node = path.take(step)
+        salt = (node >> 1).astype(np.uint32)
+        salt *= np.uint32(0x9E3779B1)
+        slots = []
+        for h in contexts(prev, place, word, at):
+            x = np.repeat(h, size)
+            x ^= salt
+            x *= np.uint32(0x85EBCA6B)
+            x >>= np.uint32(32 - SLOT_BITS)
+            slots.append(x)
+        blocks = block[lo:hi]
+        edge = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
+        yield (slots, (node & 1).astype(bool), np.repeat(row[lo:hi], size),
+               np.append(first[edge], len(node)))
 
 
 # --- counters ----------------------------------------------------------------
@@ -219,19 +224,26 @@ def _unsqueeze(packed: bytes) -> np.ndarray:
     return counts
 
 
-def _lookup(skip: int | None):
-    """Log odds and evidence level of each packed count; ``skip``: without one
-    observation of that outcome."""
+def states(skip: int | None = None) -> np.ndarray:
+    """State of each packed count; ``skip``: without one observation of that outcome."""
     zero, one = np.arange(65536) & 255, np.arange(65536) >> 8
     if skip == 0:
         zero = np.maximum(zero - 1, 0)
     if skip == 1:
         one = np.maximum(one - 1, 0)
-    odds = np.log((one + 0.15) / (zero + 0.15)).astype(np.float32)
     n, less = zero + one, np.minimum(zero, one)
-    sure = (n > 0) + (n > 1) + (n > 3).astype(np.int16)
-    level = np.where(less == 0, sure, 4 + (n > 7) + (n > 40))
-    return odds, level.astype(np.int16)
+    sure = 1 + 2 * np.searchsorted([2, 3, 5, 15], n, "right") + (one > 0)
+    odds = np.log((one + 0.4) / (zero + 0.4))
+    mixed = np.select(  # 5, 7 and 9 ranges of the odds
+        [n < 8, n < 41], [13 + np.rint(odds / 0.6).clip(-2, 2), 19 + np.rint(odds / 0.8).clip(-3, 3)],
+        27 + np.rint(odds).clip(-4, 4))
+    return np.where(n == 0, 0, np.where(less == 0, sure, mixed)).astype(np.uint8)
+
+
+def _level(state: np.ndarray) -> np.ndarray:
+    """Level of evidence of a state: none, once, two to four times or more and all alike
+    (1 to 3), mixed (4 to 6)."""
+    return np.array([0, 1, 1, *[2] * 4, *[3] * 4, *[4] * 5, *[5] * 7, *[6] * 9])[state]
 
 
 def _count(code):
@@ -241,10 +253,11 @@ def _count(code):
         some = False
         for b in chunks(batches, "text", CHUNK):
             data, off = text_bytes(b.column("text"))
-            slots, bit, _, _ = decisions(code.value, *canonical(data, off, Words(data, off)))
             some = some or b.num_rows > 0
-            for k in range(CONTEXTS):
-                np.add.at(table[k], slots[k] * np.uint32(2) + bit, np.uint32(1))
+            for slots, bit, _, _ in decisions(code.value,
+                                              *canonical(data, off, Words(data, off))):
+                for k in range(CONTEXTS):
+                    np.add.at(table[k], (slots[k].astype(np.int64) << 1) + bit, np.uint32(1))
         if not some:
             return
         for k in range(CONTEXTS):
@@ -277,95 +290,95 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _evidence(table, slots, lookup):
-    """Log odds per context and the gate of each decision."""
-    odds, level = lookup
-    stretch, gate = [], None
-    for k in range(CONTEXTS):
-        c = table[k].take(slots[k])
-        stretch.append(odds.take(c))
-        g = level.take(c)
-        gate = g if gate is None else gate * LEVELS + g
-    return stretch, gate
-
-
 # --- mixing ------------------------------------------------------------------
 
-START = np.full((GATES, CONTEXTS), 0.4, np.float32)
+def _cell(state: list[np.ndarray]) -> np.ndarray:
+    cell = state[0].astype(np.int64)
+    for s in state[1:]:
+        cell *= STATES
+        cell += s
+    return cell
 
 
 def _learn(code, table):
-    """Gate weights learned online by the task: sums over ``gate, k, w * n, n``."""
+    """Decisions of the task's texts by the states of their contexts: ``cell, zero, one``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, power = START.astype(np.float64), np.full((GATES, CONTEXTS), 1e-3)
-        seen = np.zeros(GATES)
-        one, two = _lookup(0), _lookup(1)
-        for b in chunks(batches, "text", 4 * CHUNK):
+        without = np.concatenate((states(0), states(1)))
+        seen = np.zeros(2 * CELLS, np.int64)
+        for b in chunks(batches, "text", CHUNK):
             data, off = text_bytes(b.column("text"))
-            data, off = canonical(data, off, Words(data, off))
-            pick = mix(np.add.reduceat(np.append(data, 0), off[:-1], dtype=np.uint64)
-                       + np.diff(off).astype(np.uint64)) % np.uint64(STRIDE)
-            slots, bit, _, _ = decisions(
-                code.value, data, off,
-                lambda r, k, pick=pick: (k + pick[r].astype(np.int32)) % STRIDE == 0)
-            without = [_evidence(table.value, slots, x) for x in (one, two)]
-            stretch = [np.where(bit, y, x) for x, y in zip(without[0][0], without[1][0],
-                                                          strict=True)]
-            gates = np.where(bit, without[1][1], without[0][1])
-            for lo in range(0, len(bit), 4096):
-                at = slice(lo, lo + 4096)
-                g, x = gates[at], [s[at].astype(np.float64) for s in stretch]
-                z = sum(w[g, k] * x[k] for k in range(CONTEXTS))
-                err = bit[at] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                n = np.bincount(g, minlength=GATES)
-                for k in range(CONTEXTS):
-                    slope = np.bincount(g, err * x[k], GATES)
-                    power[:, k] += slope ** 2
-                    w[:, k] += 0.05 * slope / np.sqrt(power[:, k])
-                seen += n
-        g, k = np.divmod(np.arange(GATES * CONTEXTS), CONTEXTS)
+            for slots, bit, _, _ in decisions(code.value,
+                                              *canonical(data, off, Words(data, off))):
+                high = bit.astype(np.int32) << 16
+                cell = _cell([without.take(table.value[k].take(slots[k]) | high)
+                              for k in range(CONTEXTS)])
+                cell *= 2
+                cell += bit
+                np.add.at(seen, cell, 1)
+        pair = seen.reshape(CELLS, 2)
+        at = np.flatnonzero(pair.any(1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(g), pa.array(k), pa.array(w.ravel() * seen[g]), pa.array(seen[g])],
-            ["gate", "k", "wn", "n"])
+            [pa.array(at), pa.array(pair[at, 0]), pa.array(pair[at, 1])], ["cell", "zero", "one"])
     return run
 
 
+def fit(zero: np.ndarray, one: np.ndarray, steps: int = 12) -> np.ndarray:
+    """Log odds of every cell from the decisions seen in each (``CELLS`` numbers): the mix
+    of its states, and ``OWN`` decisions of it weigh as much as the cell's own."""
+    rest, state = np.arange(CELLS), []
+    for _ in range(CONTEXTS):
+        rest, s = np.divmod(rest, STATES)
+        state.insert(0, s)
+    gate, x = np.zeros(CELLS, np.int64), []
+    for s in state:
+        gate = gate * LEVELS + _level(s)
+        odds = np.log((np.bincount(s, one, STATES) + 0.4) / (np.bincount(s, zero, STATES) + 0.4))
+        x.append(odds[s])
+    x = np.stack([*x, np.ones(CELLS)], 1)
+    n, wide, prior = zero + one, CONTEXTS + 1, 2.0
+    start = np.array([0.4] * CONTEXTS + [0.0])
+    w = np.tile(start, (GATES, 1))
+    used = n > 0
+    g, xu, nu, ou = gate[used], x[used], n[used], one[used]
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip((w[g] * xu).sum(1), -15, 15)))
+        slope = np.stack([np.bincount(g, (ou - nu * p) * xu[:, k], GATES)
+                          for k in range(wide)], 1) - prior * (w - start)
+        bend = np.stack([np.stack([np.bincount(g, nu * p * (1 - p) * xu[:, j] * xu[:, k], GATES)
+                                   for j in range(wide)], 1)
+                         for k in range(wide)], 1) + prior * np.eye(wide)
+        move = np.linalg.solve(bend, slope[..., None])[..., 0]
+        w += move / np.maximum(1, np.abs(move).max(1, keepdims=True))
+    p = 1 / (1 + np.exp(-np.clip((w[gate] * x).sum(1), -15, 15)))
+    odds = np.log(one + OWN * p) - np.log(zero + OWN * (1 - p))
+    return np.clip(odds, -12, 12).astype(np.float32)
+
+
 def log10_probabilities(model, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """log10 probability of each text of a chunk, refined while it is read."""
-    code, table, weights = model
+    code, table, odds = model
     rows = len(off) - 1
-    slots, bit, row, step = decisions(code, data, off)
-    stretch, gate = _evidence(table, slots, _lookup_all())
-    z = np.zeros(len(bit), np.float32)
-    for k in range(CONTEXTS):
-        z += weights[:, k].take(gate) * stretch[k]
-    np.clip(z, -15, 15, out=z)
-    key = row * np.int32(RANGES) + np.clip(z + np.float32(RANGES / 2), 0, RANGES - 1).astype(
-        np.int32)
+    total = np.zeros(rows)
     shift = np.zeros(rows * RANGES, np.float32)
     seen = np.full(rows * RANGES, 20.0, np.float32)
-    for a, b in zip(step[:-1], step[1:], strict=True):
-        if b == a:
-            continue
-        k = key[a:b]
-        z[a:b] += shift[k]
-        err = bit[a:b] - 1 / (1 + np.exp(-z[a:b]))
-        lo = int(k.min())
-        hi = int(k.max()) + 1
-        seen[lo:hi] += np.bincount(k - lo, minlength=hi - lo)
-        shift[lo:hi] += 2 * np.bincount(k - lo, err, hi - lo).astype(np.float32) / seen[lo:hi]
-    signed = np.where(bit, -z, z)
-    loss = np.log1p(np.exp(signed))
-    return -np.bincount(row, loss, rows) / np.log(10)
-
-
-_LOOKUPS: list = []
-
-
-def _lookup_all():
-    if not _LOOKUPS:
-        _LOOKUPS.append(_lookup(None))
-    return _LOOKUPS[0]
+    for slots, bit, row, step in decisions(code, data, off):
+        z = odds.take(_cell([table[k].take(slots[k]) for k in range(CONTEXTS)]))
+        key = row * np.int64(RANGES) + RANGES // 2
+        key += np.floor(z).clip(-RANGES // 2, RANGES // 2 - 1).astype(np.int64)
+        sign = 1 - 2 * bit.astype(np.float32)
+        z *= sign
+        for a, b in zip(step[:-1], step[1:], strict=True):
+            k, s, x = key[a:b], sign[a:b], z[a:b]
+            x += shift.take(k) * s
+            np.exp(x, out=x)  # odds of the other outcome
+            x += 1
+            lo, hi = int(k.min()), int(k.max()) + 1
+            err = s / x - s  # outcome less its probability
+            k = k - lo
+            seen[lo:hi] += np.bincount(k, minlength=hi - lo)
+            shift[lo:hi] += 2 * np.bincount(k, err, hi - lo).astype(np.float32) / seen[lo:hi]
+        total -= np.bincount(row, np.log(z), rows)
+    return total / np.log(10)
 
 
 # --- training and scoring ---------------------------------------------------------
@@ -408,10 +421,11 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Trained state: ``code, table, weights`` and the token counts ``(token, n)``."""
+    """Trained state: ``code``, the states ``table``, the cells' ``odds``, and the token
+    counts ``(token, n)``."""
 
-    def __init__(self, code, table, weights, counts: DataFrame, tokens: int, distinct: int):
-        self.code, self.table, self.weights = code, table, weights
+    def __init__(self, code, table, odds, counts: DataFrame, tokens: int, distinct: int):
+        self.code, self.table, self.odds = code, table, odds
         self.counts, self.tokens, self.distinct = counts, tokens, distinct
 
 
@@ -432,17 +446,20 @@ def train(docs: DataFrame) -> Model:
              .repartition("part").sortWithinPartitions("part")
              .mapInArrow(_merge, "part bigint, counts binary"))
     table = np.zeros((CONTEXTS * (SLOTS // PART), PART), np.uint16)
-    for r in stored(parts, "lm-counters").collect():  # CONTEXTS * SLOTS * 2 bytes
+    for r in stored(parts, "lm-counters").toLocalIterator():  # CONTEXTS * SLOTS * 2 bytes in all
         table[r["part"]] = np.frombuffer(r["counts"], np.uint16)
     table = table.reshape(CONTEXTS, SLOTS)
-    learned = (texts.mapInArrow(_learn(shared, sc.broadcast(table)),
-                                "gate bigint, k bigint, wn double, n double")
-               .groupBy("gate", "k").agg(F.sum("wn").alias("wn"), F.sum("n").alias("n")).collect())
-    weights = START.copy()
-    for r in learned:
-        if r["n"]:
-            weights[r["gate"], r["k"]] = r["wn"] / r["n"]
-    return Model(code, table, weights, counts, tokens, distinct)
+    counters = sc.broadcast(table)
+    cells = stored(texts.mapInArrow(_learn(shared, counters),
+                                    "cell bigint, zero bigint, one bigint")
+                   .groupBy("cell").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")),
+                   "lm-cells").toArrow()  # at most CELLS rows
+    counters.destroy()
+    shared.destroy()
+    zero, one = np.zeros(CELLS), np.zeros(CELLS)
+    at = np.asarray(cells["cell"])
+    zero[at], one[at] = np.asarray(cells["zero"]), np.asarray(cells["one"])
+    return Model(code, states().take(table), fit(zero, one), counts, tokens, distinct)
 
 
 def _score(model, common, total: float):
@@ -499,10 +516,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     token = np.asarray(often["token"].combine_chunks(), np.int64).view(np.uint64)
     order = np.argsort(token)
     common = sc.broadcast((token[order], np.asarray(often["n"].combine_chunks())[order]))
+    shared = sc.broadcast((model.code, model.table, model.odds))
     rows = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _score(sc.broadcast((model.code, model.table, model.weights)), common, total),
+        _score(shared, common, total),
         "row bigint, doc_id bigint, token bigint, n bigint, known bigint, base double, "
         "score double, bytes bigint"), "lm-scores")
+    shared.destroy()
+    common.destroy()
     texts = rows.where("score IS NOT NULL").drop("token")
     rest = (rows.where("score IS NULL").select("row", "token", "n")
             .join(model.counts.where(F.col("n") < least)

@@ -136,22 +136,99 @@ def test_trees_code_every_symbol():
         assert len(codes) == 257
 
 
-def test_scores_do_not_depend_on_the_chunk():
-    rng = np.random.default_rng(3)
-    texts = ["", "a", "the cat sat on the mat " * 40, "zzz \x00 é", "x" * 1500]
+TEXTS = ["", "a", "the cat sat on the mat " * 40, "zzz \x00 é  Sat\tON", "x" * 1500, "   "]
+
+
+def a_model(texts):
+    """Trees of the texts, with invented states and odds."""
     data, off = flat(texts)
     data, off = context_mixing.canonical(data, off, Words(data, off))
-    code = context_mixing.huffman(context_mixing.pair_counts(data, off).reshape(257, 257))
-    table = rng.integers(0, 65536, (context_mixing.CONTEXTS, context_mixing.SLOTS)).astype(np.uint16)
-    model = (code, table, context_mixing.START)
+    rng = np.random.default_rng(3)
+    return (context_mixing.huffman(context_mixing.pair_counts(data, off).reshape(257, 257)),
+            rng.integers(0, context_mixing.STATES,
+                         (context_mixing.CONTEXTS, context_mixing.SLOTS), np.uint8),
+            rng.normal(0, 3, context_mixing.CELLS).astype(np.float32)), data, off
+
+
+def test_scores_do_not_depend_on_chunks_and_slices(monkeypatch):
+    model, data, off = a_model(TEXTS)
     whole = context_mixing.log10_probabilities(model, data, off)
-    for k in range(len(texts)):
+    for k in range(len(TEXTS)):
         one = context_mixing.log10_probabilities(model, data[off[k]:off[k + 1]],
                                                  np.array([0, off[k + 1] - off[k]]))
         assert one[0] == pytest.approx(whole[k], rel=1e-5)
+    monkeypatch.setattr(context_mixing, "SLICE", 50)
+    assert context_mixing.log10_probabilities(model, data, off) == pytest.approx(whole, rel=1e-5)
     assert (whole < 0).all()
 
 
+def plain_score(model, text):
+    """The model's log10 probability of one text, decision by decision."""
+    (length, offset, path), table, odds = model
+    word, half = (1 << 64) - 1, (1 << 32) - 1
+    gap = {0x20, 9, 10, 11, 12, 13}
+    symbols = [*b" ".join(x.lower() for x in re.findall(rb"[^\x20\x09-\x0D]+", text.encode())), 256]
+    value = [int(v) for v in context_mixing._VALUE]
+    total, shift, seen, pending = 0.0, Counter(), Counter(), []
+    for i, symbol in enumerate(symbols):
+        if i and i % context_mixing.BLOCK == 0:
+            err = Counter()
+            for span, e in pending:
+                seen[span] += 1
+                err[span] += e
+            for span, e in err.items():
+                shift[span] += 2 * e / (20 + seen[span])
+            pending.clear()
+        last = [symbols[i - b] if i >= b else 256 for b in range(1, 10)]
+        hashed, own = last[0] * 0x2C1B3C6D & half, []
+        for b, older in enumerate(last[1:], 2):
+            hashed = (hashed ^ older) * (0x297A2D39 + 2 * b) & half
+            hashed ^= hashed >> 15
+            own += [hashed] if b in context_mixing.ORDERS else []
+        begun = max([j + 1 for j in range(i) if symbols[j] in gap] + [0])
+        spelt = sum(value[s] * pow(context_mixing._BASE, j, 1 << 64)
+                    for j, s in enumerate(symbols[begun:i])) & word
+        own.append((spelt * int(context_mixing._M1) & word) >> 32)
+        pair = last[0] * 257 + symbol
+        for x in path[offset[pair]:offset[pair] + length[pair]].tolist():
+            cell = 0
+            for j, c in enumerate(own):
+                salted = (c ^ (x >> 1) * 0x9E3779B1 & half) * 0x85EBCA6B & half
+                cell = cell * context_mixing.STATES + int(
+                    table[j, salted >> (32 - context_mixing.SLOT_BITS)])
+            z = float(odds[cell])
+            span = min(max(math.floor(z), -6), 5)
+            p = 1 / (1 + math.exp(-(z + shift[span])))
+            total += math.log10(p if x & 1 else 1 - p)
+            pending.append((span, (x & 1) - p))
+    return total
+
+
+def test_scores_are_those_of_a_plain_coder():
+    model, data, off = a_model(TEXTS)
+    assert context_mixing.log10_probabilities(model, data, off) == pytest.approx(
+        [plain_score(model, x) for x in TEXTS], rel=1e-4)
+
+
+def test_weights_are_fitted_to_the_decisions_seen():
+    """Two contexts agree with the outcome, one is noise, one empty: the odds come out near the shares."""
+    rng = np.random.default_rng(5)
+    n, size = 200000, context_mixing.STATES
+    bit = rng.random(n) < 0.5
+    good = [np.where(rng.random(n) < p, np.where(bit, 30, 24), np.where(bit, 24, 30)) for p in (0.9, 0.8)]
+    cell = ((good[0] * size + good[1]) * size + rng.integers(23, 32, n)) * size
+    one = np.bincount(cell[bit], minlength=context_mixing.CELLS).astype(float)
+    zero = np.bincount(cell[~bit], minlength=context_mixing.CELLS).astype(float)
+    odds = context_mixing.fit(zero, one)
+    loss = np.log1p(np.exp(np.where(bit, -odds[cell], odds[cell]))).mean()
+    best = []
+    for a, b in ((30, 30), (30, 24), (24, 30), (24, 24)):
+        at = (good[0] == a) & (good[1] == b)
+        p = bit[at].mean()
+        best.append(-at.mean() * (p * math.log(p) + (1 - p) * math.log(1 - p)))
+    assert sum(best) - 1e-3 < loss < sum(best) + 2e-3
+
+
 def test_language_model_base_is_exact_and_the_model_beats_it(spark):
     docs = documents(spark).select("doc_id", "text", F.lit("x").alias("token"),
                                    F.lit(1).alias("n"), F.lit(2).alias("row"))
@@ -176,13 +253,17 @@ def test_language_model_base_is_exact_and_the_model_beats_it(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_counters_do_not_depend_on_the_partitions(spark):
+def test_the_model_does_not_depend_on_the_partitions(spark):
     """One outcome holds nearly all, in a few texts; the others are spread."""
     rnd = random.Random(3)
     texts = ["ab " * 4000] * 3 + ["".join(rnd.choices("abc ", k=60)) for _ in range(397)]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    one, many = (context_mixing.train(docs.repartition(n)).table for n in (1, 200))
-    assert one.any() and (one == many).all()
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    models = [context_mixing.train(docs.repartition(n)) for n in (1, 60)]
+    assert models[0].table.any() and (models[0].table == models[1].table).all()
+    assert (models[0].odds == models[1].odds).all()
+    got = [{r["doc_id"]: r["score"] for r in context_mixing.score(docs.repartition(n), m).collect()}
+           for n, m in ((60, models[0]), (1, models[1]))]
+    assert got[0] == pytest.approx(got[1], rel=1e-5)
 
 
 def test_the_bound_holds_for_repeated_documents(spark):
