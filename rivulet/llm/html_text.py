@@ -24,6 +24,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -105,6 +106,7 @@ class _Page:
         self.blocks: list[tuple[int, str, int]] = []
         self.links: list[int] = []  # links of each element's blocks
         stack, out, inside = [0], 0, 0  # out: open left-out elements; inside: open links
+        opened = Counter()  # open elements by tag
         dropped = [False]
         pieces: list[str] = []
         linked: list[str] = []
@@ -126,6 +128,7 @@ class _Page:
             k = stack.pop()
             if self.tag[k] in BLOCKS:
                 flush_at(k)
+            opened[self.tag[k]] -= 1
             out -= dropped[k]
             inside -= self.tag[k] == "a"
 
@@ -135,6 +138,8 @@ class _Page:
             stack.pop()
 
         def close(tags, stops) -> None:
+            if not any(opened[t] for t in tags):
+                return
             for depth in range(len(stack) - 1, 0, -1):
                 name = self.tag[stack[depth]]
                 if name in tags:
@@ -160,7 +165,7 @@ class _Page:
                 continue
             tag = m["tag"].lower()
             if m["close"]:
-                if tag in ("br", "p") and tag not in (self.tag[k] for k in stack):
+                if tag in ("br", "p") and not opened[tag]:
                     pieces.append(" ")
                     continue
                 close({tag}, {"table"} if tag not in BLOCKS else ())
@@ -176,8 +181,7 @@ class _Page:
                     close({"p"}, {"table", "td", "th"})
                 if tag in CLOSES:
                     close(*CLOSES[tag])
-                if tag not in ("html", "head") and len(stack) > 1 \
-                        and any(self.tag[k] == "head" for k in stack):
+                if tag not in ("html", "head"):
                     close({"head"}, ())
                 flush()
             if tag == "a":
@@ -198,6 +202,7 @@ class _Page:
             dropped.append(drop)
             out += drop
             inside += tag == "a"
+            opened[tag] += 1
             stack.append(len(self.tag) - 1)
         while len(stack) > 1:
             pop()
@@ -208,30 +213,44 @@ class _Page:
             yield k
             k = self.parent[k]
 
-    def kept(self) -> list[str]:
-        points: dict[int, float] = {}
-        chars: dict[int, int] = {}
-        linked: dict[int, int] = {}
-        links: dict[int, int] = {}
+    def points(self):
+        """Per element its points, and of its subtree: are there scored blocks, characters,
+        linked characters and links. A paragraph's box has its points whole, the box's
+        parent half, the next a sixth, and each further one two thirds of the last."""
+        n = len(self.tag)
+        chars, linked, links = [0] * n, [0] * n, [0] * n
+        own, handed, scored = [0.0] * n, [0.0] * n, [False] * n
         for (k, text, in_links), anchors in zip(self.blocks, self.links, strict=True):
             size = len(text)
             score = 1 + text.count(",") + min(size / 100, 3) if size >= 25 else size / 50
             score *= 1 - min(1.0, in_links / size)
             box = self.parent[k] if self.tag[k] in PARAGRAPHS else k
-            for level, e in enumerate(self.above(box)):
-                points[e] = points.get(e, 0) + score / (1 if not level else 2 if level == 1
-                                                        else 3 * level)
-            for e in self.above(k):
-                chars[e] = chars.get(e, 0) + size
-                linked[e] = linked.get(e, 0) + in_links
-                links[e] = links.get(e, 0) + anchors
-        if not points:
+            own[box] += score
+            scored[box] = True
+            chars[k] += size
+            linked[k] += in_links
+            links[k] += anchors
+        points = own[:]
+        for e in range(n - 1, 0, -1):  # children come after their parents
+            up = self.parent[e]
+            chars[up] += chars[e]
+            linked[up] += linked[e]
+            links[up] += links[e]
+            points[up] += own[e] / 2 + handed[e]
+            handed[up] += own[e] / 6 + handed[e] * 2 / 3
+            scored[up] |= scored[e]
+        return points, scored, chars, linked, links
+
+    def kept(self) -> list[str]:
+        if not self.blocks:
             return []
+        n = len(self.tag)
+        points, scored, chars, linked, links = self.points()
 
         def density(e: int) -> float:
             return min(1.0, linked[e] / chars[e])
 
-        rated = {e: p * (1 - density(e)) for e, p in points.items() if e in chars}
+        rated = {e: points[e] * (1 - density(e)) for e in range(n) if scored[e] and chars[e]}
         best = max(rated, key=lambda e: (rated[e], -e)) if rated else 0
         boxes = {best}
         marked = [e for e in self.above(best) if self.tag[e] == "article"] or [
@@ -240,19 +259,17 @@ class _Page:
             boxes = {marked[0]}
         else:
             for e in range(1, len(self.tag)):
-                if self.parent[e] == self.parent[best] and e in chars and e != best and (
+                if self.parent[e] == self.parent[best] and chars[e] and e != best and (
                         rated.get(e, 0) >= 0.2 * rated[best]
                         or self.tag[e] in HEADINGS
                         or (self.tag[e] == "p" and density(e) < 0.25)):
                     boxes.add(e)
-        out = []
-        for k, text, _ in self.blocks:
-            chain = list(self.above(k))
-            if not boxes.isdisjoint(chain) and not any(
-                    self.tag[e] in ("ul", "ol", "dl", "table") and links[e] >= 3
-                    and density(e) > 0.8 for e in chain):
-                out.append(text)
-        return out
+        held, listed = [False] * n, [False] * n  # in a box; in a list of links
+        for e in range(n):
+            held[e] = e in boxes or (e > 0 and held[self.parent[e]])
+            listed[e] = (e > 0 and listed[self.parent[e]]) or (
+                self.tag[e] in ("ul", "ol", "dl", "table") and links[e] >= 3 and density(e) > 0.8)
+        return [text for k, text, _ in self.blocks if held[k] and not listed[k]]
 
 
 def main_text(html: str | None) -> str:
@@ -280,8 +297,10 @@ def _unwrapped(html: str, page: _Page, marked: list[int]) -> _Page | None:
         return None
     open_page = _Page(html, True, frozenset(spared))
     inside = set(marked)
-    held = sum(len(text) for k, text, _ in open_page.blocks
-               if not inside.isdisjoint(open_page.above(k)))
+    within = [False] * len(open_page.tag)
+    for e in range(1, len(within)):
+        within[e] = e in inside or within[open_page.parent[e]]
+    held = sum(len(text) for k, text, _ in open_page.blocks if within[k])
     whole = sum(len(text) for _, text, _ in open_page.blocks)
     return open_page if 2 * held > whole else None
 

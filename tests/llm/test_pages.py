@@ -3,6 +3,7 @@
 import hashlib
 import os
 import struct
+import time
 
 import pytest
 import zstandard
@@ -62,6 +63,38 @@ def test_long_and_deep_pages():
     assert main_text(f"<article><p>{words}</p></article>") == words
 
 
+@pytest.mark.parametrize("opening, closing", [
+    ("<div>", "</div>"), ("<span><div>", "</p></b></i>"), ("<ul><li>", "</li></ul>")])
+def test_time_grows_with_the_page_not_with_its_depth(opening, closing):
+    """20,000 nested blocks with text of their own; closings that match nothing."""
+    html = (opening + "words of a block, and more of them") * 20000 + closing * 20000
+    began = time.process_time()
+    text = main_text(html)
+    assert time.process_time() - began < 2
+    assert text.count("words of a block") == 20000
+
+
+def plain_points(page):
+    """Points of every element, each block handing its score up on its own."""
+    points = {}
+    for (k, text, in_links) in page.blocks:
+        score = 1 + text.count(",") + min(len(text) / 100, 3) if len(text) >= 25 else len(text) / 50
+        score *= 1 - min(1.0, in_links / len(text))
+        box = page.parent[k] if page.tag[k] in html_text.PARAGRAPHS else k
+        for level, e in enumerate(page.above(box)):
+            points[e] = points.get(e, 0) + score * (
+                1 if not level else 0.5 if level == 1 else (2 / 3) ** (level - 2) / 6)
+    return points
+
+
+def test_points_are_those_of_a_walk_per_block(spark):
+    pages = spark.read.parquet(os.path.join(SF_SMALL, "pages.parquet")).collect()
+    for row in pages:
+        page = html_text._Page(row["html"] or "", by_name=True)
+        got, want = page.points()[0], plain_points(page)
+        assert got == pytest.approx([want.get(e, 0) for e in range(len(got))])
+
+
 def test_extract_keeps_every_row(spark):
     pages = spark.createDataFrame([(k, "u", h, 1, "t") for k, (h, _) in enumerate(PAGES)]
                                   + [(None, None, "x", 1, "t"), (0, "u", None, 1, "t")],
