@@ -490,7 +490,7 @@ def _score(model, common, total: float):
             none = pa.nulls(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), b.column("doc_id"), none, pa.array(w.count + 1), pa.array(known),
-                 pa.array(base), pa.array(score), pa.array(np.diff(off))], names)
+                 pa.array(base.astype(float)), pa.array(score), pa.array(np.diff(off))], names)
             h, doc = h[~hit], doc[~hit]
             order = np.lexsort((h, doc))
             h, doc = h[order], doc[order]
