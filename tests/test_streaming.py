@@ -13,6 +13,7 @@ from rivulet.operators import joins as JN
 from rivulet.operators import topk as TK
 from rivulet.operators import windows as WN
 from rivulet.plans import derived as DV
+from rivulet.session import keyed_state_store
 from rivulet.sinks.tables import BatchLog
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
@@ -125,6 +126,49 @@ def test_upserts_keep_the_latest_whatever_the_order(spark, tmp_dir, lost):
     assert feed.read().where("batch_id = 2").count() == 1
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STORES = "org.apache.spark.sql.execution.streaming.state."
+
+
+@pytest.fixture()
+def plain(spark):
+    """A session with Spark's own state store, as a launcher makes it."""
+    s = spark.newSession()
+    s.conf.set(PROVIDER, STORES + "HDFSBackedStateStoreProvider")
+    s.conf.set("spark.sql.shuffle.partitions", "2")
+    return s
+
+
+@pytest.mark.parametrize("job, batches, schema, expected", [
+    (lambda s: SO.top_n(SO.keyed_counts(s, ["word"]), "word", 2), [["fig", "oak", "oak"]],
+     "word string", [(1, "oak", 2), (2, "fig", 1)]),
+    (lambda s: SO.histogram(SO.keyed_counts(s, ["word"]), 5), [["fig", "oak", "oak"]],
+     "word string", [(0, 2)]),
+    (lambda s: SO.keyed_counts(s, ["word"]).drop("prev_count"), [["fig", "oak"], ["oak"]],
+     "word string", [("fig", 1), ("oak", 1), ("oak", 2)]),
+    (lambda s: SO.keyed_fold(s, ["k"], "total bigint", lambda old, row: ((old or (0,))[0] + row.v,)),
+     [[("a", 1), ("a", 2)]], "k string, v long", [("a", 3)]),
+    (lambda s: SO.lowest_n(s, "city", "link", "price", 1), [[("a", "x", 3), ("a", "y", 2)]],
+     "city string, link string, price int", [("a", 2, "y")]),
+    (lambda s: SO.window_counts(s.withColumn("ts", F.timestamp_seconds("at")), "ts", ["word"], 7200,
+                                3600, "1 hour", True), [[("a", 0)]],
+     "word string, at long", [("update", "a", 3_600_000, 1), ("update", "a", 7_200_000, 1)]),
+    (lambda s: SO.natural_join([s.where("a > 0").select("k", "a"), s.where("b > 0").select("k", "b")],
+                               ["k", "a", "b"]), [[(1, 5, 0), (1, 0, 7), (2, 5, 0)]],
+     "k long, a int, b int", [("joined", 3, 1, 5, 7)]),
+])
+def test_keyed_state_needs_no_setting(plain, tmp_dir, job, batches, schema, expected):
+    """Every operator with state of its own runs where the session chose no store."""
+    feed = _land(plain, tmp_dir, job, batches, schema)
+    assert rows(feed.read().drop("batch_id")) == expected
+
+
+def test_a_chosen_state_store_stays(plain):
+    plain.conf.set(PROVIDER, "com.example.OwnStateStoreProvider")
+    keyed_state_store(plain)
+    assert plain.conf.get(PROVIDER) == "com.example.OwnStateStoreProvider"
+
+
 def test_keyed_fold_is_the_callers_state(spark, tmp_dir):
     def step(old, row):
         low, high = old or (row.v, row.v)
