@@ -5,28 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.session import materialize
+
+# Followers, repeats included, that a request may have to be counted as one row.
+LIGHT = 10_000
+
 
 def reach(requests: DataFrame, tweeters: DataFrame, followers: DataFrame,
           request_id: str = "request_id", key: str = "url",
           tweeter: str = "tweeter", follower: str = "follower",
-          approx: bool = False, rsd: float = 0.05) -> DataFrame:
+          approx: bool = False, rsd: float = 0.05, light: int = LIGHT) -> DataFrame:
     """``(request_id, reach)`` = distinct followers of everyone linked to the key.
 
     ``requests(request_id, key)``, ``tweeters(key, tweeter)`` and
     ``followers(tweeter, follower)`` are edge tables. Each (request, tweeter)
-    pair is reduced to one row before the follower expansion, then the
-    distinct count is Spark's two-phase distinct: partial dedupe of
-    (request, follower) on the map side, one exchange on the pair, then a
-    count per request. An unknown key reaches 0. ``approx`` swaps in a
-    HyperLogLog++ sketch (one small sketch per request crosses the shuffle).
+    pair is reduced to one row before the follower expansion. What a request
+    expands to is counted first. Requests with at most ``light`` followers join
+    the set of each of their tweeters and unite the sets, so that neither a set nor
+    a union is larger; the others expand to (request, follower) rows, and the
+    distinct count is Spark's two-phase distinct: partial dedupe on the map side,
+    one exchange on the pair, then a count per request. An unknown key reaches 0.
+    ``approx`` swaps in a HyperLogLog++ sketch of the same followers.
     """
-    reached_by = (requests.select(request_id, key)
-                  .join(tweeters.select(key, tweeter), key, "inner")
-                  .select(request_id, tweeter).distinct())
-    people = reached_by.join(followers.select(tweeter, follower), tweeter, "inner")
-    agg = (F.approx_count_distinct(follower, rsd) if approx
-           else F.count_distinct(follower))
-    counted = people.groupBy(request_id).agg(agg.alias("reach"))
+    edges = followers.select(tweeter, follower).where(F.col(follower).isNotNull())
+    degrees = materialize(edges.groupBy(tweeter).agg(F.count(F.lit(1)).alias("_n")),
+                          "reach-degrees")
+    reached_by = materialize(requests.select(request_id, key)
+                             .join(tweeters.select(key, tweeter), key, "inner")
+                             .select(request_id, tweeter).distinct(), "reach-links")
+    heavy = materialize(reached_by.join(degrees, tweeter).groupBy(request_id)
+                        .agg(F.sum("_n").alias("_n")).where(F.col("_n") > light)
+                        .select(request_id), "reach-heavy")
+
+    def counted(people: DataFrame) -> DataFrame:
+        agg = F.approx_count_distinct(follower, rsd) if approx else F.count_distinct(follower)
+        return people.groupBy(request_id).agg(agg.alias("reach"))
+
+    sets = (edges.join(degrees.where(F.col("_n") > light), tweeter, "left_anti")
+            .groupBy(tweeter).agg(F.collect_set(follower).alias("_followers")))
+    united = (reached_by.join(heavy, request_id, "left_anti").join(sets, tweeter)
+              .select(request_id, "_followers").repartition(request_id).groupBy(request_id)
+              .agg(F.array_distinct(F.flatten(F.collect_list("_followers"))).alias("_followers")))
+    counts = (counted(united.select(request_id, F.explode("_followers").alias(follower))) if approx
+              else united.select(request_id, F.size("_followers").cast("bigint").alias("reach")))
+    if not heavy.isEmpty():
+        counts = counts.unionByName(counted(reached_by.join(heavy, request_id, "left_semi")
+                                            .join(edges, tweeter)))
     return (requests.select(request_id).distinct()
-            .join(counted, request_id, "left")
+            .join(counts, request_id, "left")
             .select(request_id, F.coalesce("reach", F.lit(0)).cast("bigint").alias("reach")))

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregates as AG
@@ -67,6 +68,39 @@ def test_hot_time_bucket_near_flag(spark):
     assert got == {i: near(t) for i, t in enumerate(msgs)}
 
 
+@pytest.mark.parametrize("light", [0, 5, 40, 10_000])
+def test_reach_of_light_and_heavy_requests(spark, light):
+    """The same counts whichever requests are united as sets; links and follows come
+    twice, some ends are null."""
+    rnd = random.Random(7)
+    links = [(f"u{rnd.randrange(30)}", rnd.choice(["star", None, *range(12)])) for _ in range(80)]
+    links = [(u, t if t is None else str(t)) for u, t in links]
+    follows = [("star", f) for f in range(60)] + [
+        (str(rnd.randrange(12)), rnd.choice([None, *range(40)])) for _ in range(90)]
+    req = spark.createDataFrame([(f"r{i}", f"u{i % 35}") for i in range(70)] + [(None, "u0"), ("r1", None)],
+                                "request_id string, url string")
+    tw = spark.createDataFrame(links + links[:20], "url string, tweeter string")
+    fo = spark.createDataFrame(follows + follows[50:80], "tweeter string, follower int")
+    want = {f"r{i}": len({f for u, t in links if u == f"u{i % 35}" and t is not None
+                          for s, f in follows if s == t and f is not None}) for i in range(70)}
+    got = reach(req, tw, fo, light=light)
+    assert {r["request_id"]: r["reach"] for r in got.collect()} == want | {None: 0}
+    about = reach(req, tw, fo, approx=True, rsd=0.01, light=light)
+    assert all(abs(r["reach"] - (want | {None: 0})[r["request_id"]]) <= 2 for r in about.collect())
+
+
+def test_reach_shuffles_sets_not_pairs(spark):
+    """50 requests with the same 40 tweeters of 50 followers: 100,000 pairs, none of
+    which is a row."""
+    req = spark.range(50).selectExpr("id AS request_id", "id AS url")
+    tw = spark.range(50 * 40).selectExpr("id % 50 AS url", "id DIV 50 AS tweeter")
+    fo = spark.range(40 * 50).selectExpr("id % 40 AS tweeter", "id % 100 AS follower")
+    df = reach(req, tw, fo)
+    assert rows(df) == [(i, 100) for i in range(50)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct(flatten(collect_list" in plan and "count(distinct" not in plan
+
+
 def test_hot_tweeter_reach(spark):
     rnd = random.Random(5)
     tweeters = [(f"u{r}", "star") for r in range(300)] + \
