@@ -325,7 +325,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among the classes of ``post(sig, node)`` that connect all components."""
+    """Links among the classes of ``post(sig, node)`` that connect all components; ``post``
+    is removed. Components only grow: a signature whose classes are in one is left out
+    of the later rounds, and behind the stars one of few classes is too."""
     size = post.count()
     links = comps = before = None
     step = "star"
@@ -336,6 +338,7 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             members = post.join(comps, post["node"] == comps["id"], "left").select(
                 "sig", "node", F.coalesce("root", "node").alias("comp"))
         members = stored(members, "ngram-members")
+        discard(post)
         parts = members.groupBy("sig", "comp").agg(
             F.count(F.lit(1)).alias("n"),
             F.min_by("node", F.xxhash64("node", F.lit(r))).alias("lead"))
@@ -356,16 +359,16 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         elif r == STARS or left <= 4 * size or (before is not None and 2 * left > before):
             step = "same"
         before, used = left, [members, open_sigs]
+        x = stored(members.join(open_sigs.select(
+            "sig", F.col("n").alias("size"), *(["best"] if step == "star" else [])), "sig"),
+            "ngram-open-members")
         if step == "star":
-            cand = members.join(open_sigs.select("sig", "best"), "sig").where(
-                F.col("comp") != F.col("best.comp"))
+            cand = x.where(F.col("comp") != F.col("best.comp"))
             pairs = cand.select(F.least("node", "best.lead").alias("a"),
                                 F.greatest("node", "best.lead").alias("b"))
         else:
-            x = stored(members.join(open_sigs.select("sig", F.col("n").alias("size")), "sig"),
-                       "ngram-open-members")
             pairs, made = _block_pairs(x, sets, num, den, step)
-            used += [x, *made]
+            used += made
             if step == "same":
                 pairs = pairs.unionByName(_few_pairs(x))
         pairs = stored(pairs.distinct(), "ngram-pairs")
@@ -374,7 +377,11 @@ def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         discard(*used, pairs, near)
         links = found if links is None else links.unionByName(found)
         if step == _STEPS[-1]:
+            discard(x)
             break
+        post = x if step == "star" else x.where(F.col("size") > SMALL)
+        post = post.select("sig", "node")
+        post._stored_at = x._stored_at
         comps = stored(connected_components(links), "ngram-comps")
     return links
 
@@ -441,7 +448,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             "node", F.coalesce("low", "first").alias("component_id"),
             F.coalesce("root", "node").alias("cluster"))
     named = stored(named.withColumnRenamed("node", "class"), "ngram-named")
-    discard(post, needed, sets, classes)
+    discard(needed, sets, classes)
     # Rows without a set or an id stand alone.
     linked = (F.col("node") == F.col("class")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return rows.join(named, linked, "left").select(

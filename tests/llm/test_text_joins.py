@@ -252,6 +252,25 @@ def test_links_match_brute_force_at_every_threshold(spark, num):
         brute(list(enumerate(texts)), 1, num, 100), key=str)
 
 
+def test_rounds_leave_out_what_is_settled(spark, monkeypatch):
+    """Signatures of few classes are all tried in the first step: later ones read none."""
+    whole, read = ngram_join.stored, []
+
+    def counted(df, name):
+        table = whole(df, name)
+        if name == "ngram-members":
+            read.append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    words = [f"w{k}" for k in range(12)]
+    df = spark.createDataFrame([(k, " ".join(words[:12 - k % 3] + [f"own{k}"])) for k in range(9)],
+                               "doc_id long, text string")
+    assert result(ngram_join.similar_documents(df, 1, 70, 100)) == sorted(
+        (k, 13 - k % 3, 0) for k in range(9))
+    assert read[0] > 0 and read[1:] == [0]
+
+
 def test_tables_nothing_reads_are_removed(spark, tmp_dir, monkeypatch):
     import os
 
