@@ -21,13 +21,14 @@ saw it at least four times in a stretch of their input, is at least
 1/2**17 of all tokens: that table has at most 131,072 rows at any input size.
 
 Candidates and verification. Equal sets are one class, so copies are never
-paired. Within a signature the candidates are tried as stars first: every
-class against one leader, linear in the index. Classes already connected need
+paired. Within a signature of many classes the candidates are tried as stars
+first, at any input size: every class against one leader, linear in the index.
+Classes already connected need
 no further test, and the pairs of unconnected classes that are left are counted.
 As long as a star at least halves them (a large group of near copies) another
 one follows, with other leaders; then, or when they are few against the index,
-all of them are tried: as rows for signatures of few classes, as pairs of blocks
-compared inside a task for the others. Those return, first within blocks and then
+all of them are tried, as pairs of blocks compared inside a task; the pairs of
+signatures of few classes are tried once, as rows, with the first of these. Blocks return, first within blocks and then
 across them, only pairs enough to connect what may link; what these connect needs
 no further test, and the few pairs left between components come last. Every pair
 that shares a signature is in the end either tried or already connected, so
@@ -51,12 +52,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import connected_components, discard, stored
+from rivulet.llm.common import connected_components, discard, in_few_tasks, stored
 from rivulet.llm.textcore import Words, chunks, mix, row_sums, shingles, text_bytes
 
 FREQUENT_SHARE = 1 << 17   # a frequent token holds at least 1/this of all tokens
 STRETCH = 1 << 21          # shingles counted together in a task
 FEW = 1 << 19              # ids that may be broadcast
+SETS_A_TASK = 1 << 13      # rows with whole sets that are worth a task
 WORDS = 32                 # parity words of a set
 SMALL, BLOCK = 32, 256     # classes of a signature that are joined as rows; in a block
 _STEPS = ("same", "cross", "all")  # the steps behind the stars
@@ -202,8 +204,8 @@ def _whole_sets(size: int):
 
 
 def _frequent(scan: DataFrame):
-    """Broadcast (sorted tokens, levels) of the frequent tokens."""
-    total = scan.agg(F.sum("n")).first()[0] or 0
+    """Broadcast (sorted tokens, levels) of the frequent tokens; the number of texts."""
+    total, texts = scan.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
     least = max(8, -(-total // FREQUENT_SHARE))
     rows = (scan.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
             .where(F.col("seen") >= least).collect())
@@ -211,7 +213,7 @@ def _frequent(scan: DataFrame):
     tokens = np.array([t for t, _ in rows], np.uint64)
     seen = np.array([c for _, c in rows], np.float64)
     levels = 1 + np.floor(np.log2(np.maximum(seen / least, 1))).astype(np.int64)
-    return scan.sparkSession.sparkContext.broadcast((tokens, levels))
+    return scan.sparkSession.sparkContext.broadcast((tokens, levels)), texts
 
 
 def _least_shared() -> F.Column:
@@ -244,7 +246,7 @@ def _block_pairs(members: DataFrame, sets: DataFrame, num: int, den: int, step:
     if step == "same":
         both = big.select(F.lit(True).alias("same"), "x", F.col("x").alias("y"))
     else:
-        big = stored(big, "ngram-blocks")
+        big = stored(in_few_tasks(big, members.count(), SETS_A_TASK), "ngram-blocks")
         made = [big]
         two = big.select("sig", F.col("block").alias("block2"), F.col("x").alias("y"))
         both = big.join(two, "sig").where("block < block2" if step == "cross" else "block <= block2")
@@ -315,7 +317,11 @@ def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, count: int, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``count`` pairs that link, by their full sets."""
+    if 2 * count <= FEW:  # else every set is shuffled, needed or not
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = sets.join(F.broadcast(ids), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("bigint")
@@ -324,66 +330,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             .where(F.col("both") * den >= union * num).select("a", "b"))
 
 
-def _links(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among the classes of ``post(sig, node)`` that connect all components; ``post``
-    is removed. Components only grow: a signature whose classes are in one is left out
-    of the later rounds, and behind the stars one of few classes is too."""
+def _in_components(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """``members`` with the component ``comp`` of each node, at first itself."""
+    if comps is None:
+        return members.withColumn("comp", F.col("node"))
+    return members.join(comps, F.col("node") == comps["id"], "left").select(
+        *members.columns, F.coalesce("root", "node").alias("comp"))
+
+
+def _linked(post: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
+    """``(id, root)`` of the classes of ``post(sig, node)`` that link, None if no two share a
+    signature; ``post`` is removed. Components only grow: a signature whose classes are
+    in one is left out of the later rounds. Stars are for signatures of many classes;
+    those of few are all tried once, in the step behind the stars."""
     size = post.count()
-    links = comps = before = None
-    step = "star"
-    for r in range(STARS + len(_STEPS)):
-        if comps is None:
-            members = post.withColumn("comp", F.col("node"))
-        else:
-            members = post.join(comps, post["node"] == comps["id"], "left").select(
-                "sig", "node", F.coalesce("root", "node").alias("comp"))
-        members = stored(members, "ngram-members")
-        discard(post)
+    comps = before = few = None
+    step, waits = "star", False  # waits: those of few classes are still to be tried
+    for r in range(STARS + len(_STEPS) + 1):
+        members = stored(in_few_tasks(_in_components(post.select("sig", "node"), comps), size),
+                         "ngram-members")
+        if not waits or post._stored_at != few._stored_at:
+            discard(post)
         parts = members.groupBy("sig", "comp").agg(
             F.count(F.lit(1)).alias("n"),
             F.min_by("node", F.xxhash64("node", F.lit(r))).alias("lead"))
-        # Pairs of small signatures are all tried in the step behind the stars.
-        least = 0 if step == "star" else SMALL
-        open_sigs = stored(
-            parts.groupBy("sig").agg(
-                F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"),
-                F.max_by(F.struct("lead", "comp"), F.struct("n", "comp")).alias("best"),
-                F.count(F.lit(1)).alias("comps"))
-            .where((F.col("comps") > 1) & (F.col("n") > least)), "ngram-open")
-        left = open_sigs.agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2)).first()[0] or 0
-        if not left:
+        open_sigs = parts.groupBy("sig").agg(
+            F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("nn"),
+            F.max_by(F.struct("lead", "comp"), F.struct("n", "comp")).alias("best"),
+            F.count(F.lit(1)).alias("comps"))
+        open_sigs = stored(in_few_tasks(open_sigs.where(
+            (F.col("comps") > 1) & (F.col("size") > (SMALL if r else 0))), size), "ngram-open")
+        free = (F.col("size") * F.col("size") - F.col("nn")) / 2
+        left, some = open_sigs.agg(F.coalesce(F.sum(F.when(F.col("size") > SMALL, free)), F.lit(0)),
+                                   F.count(F.lit(1))).first()
+        if not some and not waits:
             discard(members, open_sigs)
             break
         if step != "star":
             step = _STEPS[_STEPS.index(step) + 1]
-        elif r == STARS or left <= 4 * size or (before is not None and 2 * left > before):
+        elif not left or r and (r >= STARS or left <= 4 * size
+                                or before is not None and 2 * left > before):
             step = "same"
         before, used = left, [members, open_sigs]
-        x = stored(members.join(open_sigs.select(
-            "sig", F.col("n").alias("size"), *(["best"] if step == "star" else [])), "sig"),
-            "ngram-open-members")
+        x = members.join(open_sigs.select("sig", "size", *(["best"] if step == "star" else [])), "sig")
+        x = stored(in_few_tasks(x, size), "ngram-open-members")
         if step == "star":
-            cand = x.where(F.col("comp") != F.col("best.comp"))
+            if not r:
+                few, waits = x, True
+            cand = x.where((F.col("size") > SMALL) & (F.col("comp") != F.col("best.comp")))
             pairs = cand.select(F.least("node", "best.lead").alias("a"),
                                 F.greatest("node", "best.lead").alias("b"))
         else:
             pairs, made = _block_pairs(x, sets, num, den, step)
             used += made
-            if step == "same":
+            if waits:
+                tried = _in_components(few.where(F.col("size") <= SMALL)
+                                       .select("sig", "node", "size"), comps)
+                tried = stored(in_few_tasks(tried, size), "ngram-few-members")
+                used += [tried, few]
+                pairs, waits = pairs.unionByName(_few_pairs(tried)), False
+            elif step == "same":
                 pairs = pairs.unionByName(_few_pairs(x))
-        pairs = stored(pairs.distinct(), "ngram-pairs")
-        near = stored(_near(pairs, sets, num, den), "ngram-near")
-        found = stored(_verified(near, sets, num, den), "ngram-links")
+        pairs = stored(in_few_tasks(pairs.distinct(), size), "ngram-pairs")
+        count = pairs.count()
+        near = stored(in_few_tasks(_near(pairs, sets, num, den), count), "ngram-near")
+        count = near.count()
+        found = stored(in_few_tasks(_verified(near, count, sets, num, den), count, SETS_A_TASK),
+                       "ngram-links")
         discard(*used, pairs, near)
-        links = found if links is None else links.unionByName(found)
+        if comps is None:
+            comps = stored(connected_components(found, count), "ngram-comps")
+        elif found.count():
+            links = found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b")))
+            comps = stored(connected_components(links, links.count()), "ngram-comps")
         if step == _STEPS[-1]:
             discard(x)
             break
-        post = x if step == "star" else x.where(F.col("size") > SMALL)
-        post = post.select("sig", "node")
+        post = x.where(F.col("size") > SMALL)
         post._stored_at = x._stored_at
-        comps = stored(connected_components(links), "ngram-comps")
-    return links
+    return comps
 
 
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -403,51 +428,58 @@ def _components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         _scan(size), "doc_id bigint, n bigint, node bigint, token bigint, seen bigint"),
         "ngram-scan")
     rows = scan.where("n IS NOT NULL").select("doc_id", "n", "node")
-    frequent = _frequent(scan)
-    classes = stored(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
-                     .agg(F.min("doc_id").alias("first")), "ngram-classes")
+    frequent, texts = _frequent(scan)
+    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("first"))
+    classes = stored(in_few_tasks(classes, texts), "ngram-classes")
     index = stored(docs.where("doc_id IS NOT NULL")
                    .mapInArrow(_index(size, num, den, frequent), "sig bigint, node bigint, bucket int"),
                    "ngram-index")
     shared = (index.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .where("lo <> hi").select("sig"))
-    shared = stored(shared, "ngram-shared")
-    common = post = stored(index.join(shared, "sig").distinct(), "ngram-shared-index")
+    entries = index.count()
+    shared = stored(in_few_tasks(shared, entries), "ngram-shared")
+    common = post = stored(in_few_tasks(index.join(shared, "sig").distinct(), entries),
+                           "ngram-shared-index")
     discard(index, shared)
     strong = post.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n")).where(
         F.col("n") >= _least_shared())
-    strong = stored(strong.select("node", "bucket", "n"), "ngram-strong")
+    entries = post.count()
+    strong = stored(in_few_tasks(strong.select("node", "bucket", "n"), entries), "ngram-strong")
     # Of the signatures that a set shares, the least_shared - 1 most frequent may
     # go: the rarest one that two linked sets have in common stays in both.
-    sizes = stored(post.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "ngram-sizes")
+    sizes = post.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    sizes = stored(in_few_tasks(sizes, entries), "ngram-sizes")
     rarest = Window.partitionBy("node", "bucket").orderBy("size", "sig")
     post = (post.join(strong, ["node", "bucket"]).join(sizes, "sig")
             .withColumn("place", F.row_number().over(rarest))
             .where(F.col("place") <= F.col("n") - _least_shared() + 1))
-    post = stored(post.select("sig", "node"), "ngram-post")
+    post = stored(in_few_tasks(post.select("sig", "node"), entries), "ngram-post")
     discard(common, strong, sizes)
-    needed = stored(post.select("node").distinct().join(classes, "node"), "ngram-needed")
+    needed = post.select("node").distinct().join(classes, "node")
+    needed = stored(in_few_tasks(needed, texts), "ngram-needed")
     ids = needed.select(F.col("first").alias("doc_id")).distinct()
-    if needed.count() <= FEW:  # at most 8 bytes each; beyond it the join shuffles the texts
+    if (count := needed.count()) <= FEW:  # at most 8 bytes each; beyond it the join shuffles the texts
         ids = F.broadcast(ids)
     sets = (docs.join(ids, "doc_id", "left_semi")
             .mapInArrow(_whole_sets(size), "node bigint, n bigint, "
                         "parity array<bigint>, tokens array<bigint>"))
-    sets = stored(sets.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]),
-                  "ngram-sets")
-    links = _links(post, sets, num, den)
-    if links is None:  # no two sets share a signature
+    sets = sets.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = stored(in_few_tasks(sets, count, SETS_A_TASK), "ngram-sets")
+    comps = _linked(post, sets, num, den)
+    if comps is None:  # no two sets share a signature
         named = classes.select("node", F.col("first").alias("component_id"),
                                F.col("node").alias("cluster"))
     else:
-        ids = stored(connected_components(links).withColumnRenamed("id", "node")
-                     .join(classes, "node"), "ngram-ids")
-        low = stored(ids.groupBy("root").agg(F.min("first").alias("low")), "ngram-low")
+        ids = comps.withColumnRenamed("id", "node").join(classes, "node")
+        ids = stored(in_few_tasks(ids, texts), "ngram-ids")
+        low = ids.groupBy("root").agg(F.min("first").alias("low"))
+        low = stored(in_few_tasks(low, texts), "ngram-low")
         low = ids.join(low, "root").select("node", "low", "root")
         named = classes.join(low, "node", "left").select(
             "node", F.coalesce("low", "first").alias("component_id"),
             F.coalesce("root", "node").alias("cluster"))
-    named = stored(named.withColumnRenamed("node", "class"), "ngram-named")
+    named = stored(in_few_tasks(named.withColumnRenamed("node", "class"), texts), "ngram-named")
     discard(needed, sets, classes)
     # Rows without a set or an id stand alone.
     linked = (F.col("node") == F.col("class")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()

@@ -271,6 +271,67 @@ def test_rounds_leave_out_what_is_settled(spark, monkeypatch):
     assert read[0] > 0 and read[1:] == [0]
 
 
+def test_signatures_of_many_classes_begin_with_a_star(spark, monkeypatch):
+    """However few pairs there are: the steps depend on group sizes, not on the input's.
+    Signatures of few classes wait and are tried once."""
+    whole, read = ngram_join.stored, []
+
+    def counted(df, name):
+        table = whole(df, name)
+        if name.endswith("members"):
+            read.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    monkeypatch.setattr(ngram_join, "SMALL", 4)
+    texts = [" ".join([f"w{n}" for n in range(40)] + [f"own{k}"]) for k in range(9)]
+    texts += [" ".join([f"v{k // 2}x{n}" for n in range(40)] + [f"end{k}"]) for k in range(30)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(ngram_join.similar_documents(df, 3, 90, 100)) == sorted(
+        brute(rows, 3, 90, 100), key=str)
+    names = [name for name, _ in read]
+    assert names.count("ngram-few-members") == 1
+    assert names.index("ngram-few-members") > names.index("ngram-open-members")
+    later = [n for name, n in read if name == "ngram-members"][1:]
+    assert later and max(later) < read[0][1]
+
+
+def test_few_rows_take_few_tasks(spark, tmp_dir, monkeypatch):
+    """A cluster's number of partitions is not the number of tasks of a table of a few rows."""
+    import os
+
+    from rivulet.llm import common
+    files = {}
+
+    def counted(df, name):
+        table = whole(df, name)
+        path = table._stored_at.replace("file:", "")
+        files.setdefault(name, []).append(sum(f.endswith(".parquet") for f in os.listdir(path)))
+        return table
+
+    whole = common.stored
+    monkeypatch.setattr(common, "stored", counted)
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    options = {"spark.sql.shuffle.partitions": "40",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        rows = [(k, " ".join([f"v{k // 3}x{n}" for n in range(40)] + [f"end{k}"]))
+                for k in range(90)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert result(ngram_join.similar_documents(df, 3, 90, 100)) == sorted(
+            brute(rows, 3, 90, 100), key=str)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    few = {"cc-edges", "cc-low", "cc-large", "ngram-classes", "ngram-post", "ngram-open",
+           "ngram-pairs", "ngram-links", "ngram-named"}
+    assert few <= set(files) and max(max(files[name]) for name in few) <= 4
+
+
 def test_tables_nothing_reads_are_removed(spark, tmp_dir, monkeypatch):
     import os
 
