@@ -288,6 +288,20 @@ def test_state_is_bounded_by_the_open_windows(spark, tmp_dir):
     assert max(x for q in queries for x in _state_rows(q)) <= 20  # a value and a timer per user
 
 
+@pytest.mark.parametrize("lost", [None, 2])
+def test_keys_share_values_of_the_state(spark, tmp_dir, monkeypatch, lost):
+    """A state key costs a micro-batch calls and an Arrow batch: keys must not."""
+    monkeypatch.setattr(SO, "BUCKETS", 8)
+    df = _clicks(spark, 900, keys=[f"u{k}" for k in range(200)] + [None])
+    batch = WN.with_zero_rows(WN.rolling_count(df, "ts", ["user"], 7200 * 3, 7200), ["user"], 7200)
+    feed, queries = _windows(spark, tmp_dir, df, lambda s, delay: SO.window_counts(
+        s, "ts", ["user"], 7200 * 3, 7200, delay, weight="weight"), lost)
+    got = feed.read().select("user", SO.wall_clock("end_ms").alias("window_end"), "count")
+    assert sorted(got.collect(), key=str) == sorted(batch.select(*got.columns).collect(), key=str)
+    held = [x for q in queries for x in _state_rows(q)]
+    assert 0 < max(held) <= 16 and held[-1] == 0   # a value and a timer per bucket
+
+
 def test_late_rows_are_handed_on(spark, tmp_dir):
     data = [(0, "a", "2024-01-01 00:10:00"), (0, "a", "2024-01-01 05:00:00"),
             (1, "a", "2024-01-01 00:20:00"), (1, "b", "2024-01-01 00:30:00"),
@@ -409,6 +423,26 @@ def test_expired_sides_come_out_and_leave_the_state(spark, tmp_dir, lost):
     assert max(held) > 0 and held[-1] == 0
 
 
+def test_sides_of_many_keys_share_values_of_the_state(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(SO, "BUCKETS", 4)
+    base = F.lit("2024-03-01").cast("timestamp_ntz")
+    df = spark.range(150).select("id", F.timestamp_add("SECOND", F.col("id") * 60, base).alias("ts"))
+    sides = [df.withColumn("a", F.col("id")),
+             df.withColumn("ts", F.timestamp_add("SECOND", F.col("id") * 30, F.col("ts")))
+             .withColumn("b", F.col("id"))]
+    parts, delay = DV.sides_in_arrival_order(sides, "ts", "id", 4, 600)
+    streams = [SS.landed_stream(p.drop("weight"), "batch", 5, os.path.join(tmp_dir, f"s{i}"), 2)
+               for i, p in enumerate(parts)]
+    feed = BatchLog(spark, os.path.join(tmp_dir, "feed"))
+    query = SO.run_available(SO.feed_writer(
+        SO.natural_join(streams, ["id", "a", "b"], "ts", 1800, delay), feed,
+        os.path.join(tmp_dir, "ck")))
+    got = rows(feed.read().groupBy("kind", "sides").count())
+    assert got == [("expired", 1, 89), ("expired", 2, 89), ("joined", 3, 61)]
+    held = _state_rows(query)
+    assert 0 < max(held) <= 8 and held[-1] == 0
+
+
 def test_time_bounded_join_of_streams(spark, tmp_dir):
     """Spark's own interval join: a left row whose partner does not arrive within the
     bound is emitted with a NULL right side once the watermark passes it."""
