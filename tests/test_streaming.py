@@ -17,6 +17,7 @@ from rivulet.session import keyed_state_store
 from rivulet.sinks.tables import BatchLog
 from rivulet.streaming import operators as SO
 from rivulet.streaming import sources as SS
+from rivulet.streaming import state as ST
 from tests.conftest import rows
 
 # Words that land together, batch by batch.
@@ -301,6 +302,63 @@ def test_keys_share_values_of_the_state(spark, tmp_dir, monkeypatch):
     assert 0 < max(held) <= 16 and held[-1] == 0   # a value and a timer per bucket
 
 
+def test_counts_of_many_keys_share_values_of_the_state(spark, tmp_dir, monkeypatch):
+    """1,100 words in 4 buckets, whose pages double as words come; a key of the state for
+    each word cost a micro-batch calls and an Arrow batch."""
+    monkeypatch.setattr(SO, "BUCKETS", 4)
+    rng = random.Random(3)
+    batches = [[f"w{rng.randrange(k)}" for _ in range(900)] + [None] * k for k in (200, 1500)]
+    df = spark.createDataFrame([(i, w) for i, ws in enumerate(batches) for w in ws],
+                               "batch int, word string").repartition(3)
+    feed, held = BatchLog(spark, os.path.join(tmp_dir, "feed")), []
+    for s in SS.landed_batches(df, "batch", [0, 1], os.path.join(tmp_dir, "in")):
+        q = SO.run_available(SO.feed_writer(SO.keyed_counts(s, ["word"]), feed,
+                                            os.path.join(tmp_dir, "ck")))
+        held.append(max(_state_rows(q)))
+    got = [(r["batch_id"], r["word"], r["count"], r["prev_count"]) for r in feed.read().collect()]
+    counts = [Counter(ws) for ws in batches]
+    assert sorted(got, key=str) == sorted(
+        [(0, w, n, None) for w, n in counts[0].items()]
+        + [(1, w, n + counts[0][w], counts[0].get(w)) for w, n in counts[1].items()], key=str)
+    assert 0 < held[0] <= 4 * 2 and held[1] <= 4 * 5   # a size per bucket, and its pages
+
+
+def test_pages_of_counts_are_read_for_their_keys_only():
+    """A page is read and written by a micro-batch that has one of its keys."""
+    class Held(dict):
+        calls = 0
+        exists = lambda self: 0 in self
+        get = lambda self: self[0]
+        update = lambda self, v: self.update_(0, v)
+        containsKey = dict.__contains__  # noqa: N815
+        getValue = dict.__getitem__  # noqa: N815
+
+        def update_(self, k, v):
+            self.calls += 1
+            self[k] = v
+
+        updateValue = update_  # noqa: N815
+
+    size, pages = Held(), Held()
+    counts = ST.KeyedCounts(["word"], 1)
+    counts.page = 8
+    counts.size, counts.counts = size, pages
+    row = lambda words: {"word": words, "_hash": [abs(w) for w in words], "n": [1] * len(words)}
+    list(counts.handleInputRows((0,), iter([row([*range(100)]), row([*range(50)])]), None))
+    assert size[0] == (16, 100) and len(pages) == 16
+    pages.calls = 0
+    out = list(counts.handleInputRows((0,), iter([row([3, 3, 100])]), None))
+    assert sorted((w, c, p) for r in out for w, c, p in zip(r.word, r["count"], r.prev_count)) == [
+        (3, 4, 2), (100, 1, None)]
+    assert pages.calls == 2 and size[0] == (16, 101)
+
+
+def test_a_task_sends_few_rows_to_the_rankings(spark):
+    df = spark.range(0, 3000, numPartitions=1).selectExpr("id % 4 AS _bucket", "id % 1000 AS obj", "id AS count")
+    sent = rows(ST.partial_highest(df, ["_bucket"], "obj", 3))
+    assert sent == sorted((b, o, 2000 + o) for b in range(4) for o in (988 + b, 992 + b, 996 + b))
+
+
 def test_late_rows_are_handed_on(spark, tmp_dir):
     data = [(0, "a", "2024-01-01 00:10:00"), (0, "a", "2024-01-01 05:00:00"),
             (1, "a", "2024-01-01 00:20:00"), (1, "b", "2024-01-01 00:30:00"),
