@@ -12,6 +12,7 @@ from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import topk as TK
 from rivulet.operators.reach import reach as reach_op
+from rivulet.operators.reach import reach_links
 from rivulet.plans.derived import listings, stock_lines
 from rivulet.plans.registry import register
 from rivulet.sinks import reports as RP
@@ -339,8 +340,10 @@ def reach_approx(spark, sf_dir):
     within four relative standard deviations of the exact reach."""
     edges = (_order_requests(spark, sf_dir), _order_parts(spark, sf_dir),
              _part_shippers(spark, sf_dir))
-    approx = reach_op(*edges, approx=True, rsd=APPROX_RSD).withColumnRenamed("reach", "about")
-    exact = reach_op(*edges)
+    links = reach_links(*edges)
+    approx = reach_op(*edges, approx=True, rsd=APPROX_RSD, links=links).withColumnRenamed(
+        "reach", "about")
+    exact = reach_op(*edges, links=links)
     return approx.join(exact, "request_id").select(
         "request_id", (F.abs(F.col("about") - F.col("reach"))
                        <= 4 * APPROX_RSD * F.col("reach")).alias("within_bound"))

@@ -2,6 +2,7 @@
 plans collapse the hot key before any exchange."""
 
 import io
+import os
 import random
 from collections import Counter
 from contextlib import redirect_stdout
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from rivulet.operators import aggregates as AG
 from rivulet.operators import joins as JN
 from rivulet.operators import topk as TK
+from rivulet.operators import reach as RE
 from rivulet.operators.reach import reach
 from rivulet.plans import derived as DV
 from rivulet.sources import documents as DOC
@@ -101,6 +103,27 @@ def test_reach_shuffles_sets_not_pairs(spark):
     assert "array_distinct(flatten(collect_list" in plan and "count(distinct" not in plan
 
 
+@pytest.mark.parametrize("light", [0, 10_000])
+def test_reach_in_rounds_keeps_no_shuffle(spark, monkeypatch, light):
+    """100,000 pairs, at most 30,000 at a time: four rounds, each stored; what a
+    round shuffled is gone when it ends."""
+    monkeypatch.setattr(RE, "ROUND", 30_000)
+    disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: sum(disk.getAllFiles().apply(i).getName().startswith("shuffle_")
+                           for i in range(disk.getAllFiles().size()))
+    req = spark.range(52).selectExpr("id AS request_id", "id AS url")
+    tw = spark.range(50 * 40).selectExpr("id % 50 AS url", "id DIV 50 AS tweeter")
+    fo = spark.range(40 * 50).selectExpr("id % 40 AS tweeter", "id % 100 AS follower")
+    for approx in (False, True):
+        before = shuffled()
+        df = reach(req, tw, fo, approx=approx, rsd=0.01, light=light)
+        assert shuffled() <= before + 20   # of the two sums; a round shuffles some ten times
+        assert len({os.path.dirname(f) for f in df.inputFiles() if "reach-counts" in f}) == 4
+        got = dict(rows(df))
+        assert set(got) == set(range(52)) and got[50] == got[51] == 0
+        assert all(abs(got[i] - 100) <= (2 if approx else 0) for i in range(50))
+
+
 def test_hot_tweeter_reach(spark):
     rnd = random.Random(5)
     tweeters = [(f"u{r}", "star") for r in range(300)] + \
